@@ -118,7 +118,7 @@ class Files:
 
 
 def opened(model: Model) -> Files:
-    if model.path not in _open:
+    if model.path not in _open or _open[model.path].model != model:  # it is completed while it is trained
         _open.clear()
         _open[model.path] = Files(model)
     return _open[model.path]

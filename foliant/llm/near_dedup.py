@@ -77,8 +77,12 @@ def fingerprint(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
+def text_hash() -> F.Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def sketches(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """doc_id, n_shingles, fp (null where the set is empty), bands."""
+    """doc_id, h (a hash of the text), n_shingles, fp (null where the set is empty), bands."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,9 +93,10 @@ def sketches(docs: DataFrame, size: int = SIZE) -> DataFrame:
                 n = np.diff(cut)
                 fps = pa.array([fingerprint(hashes[cut[d] : cut[d + 1]]) if n[d] else None for d in range(c.n)], pa.binary())
                 lists = K.list_array(pa.array(keys.reshape(-1)), np.arange(c.n + 1) * BANDS)
-                yield pa.RecordBatch.from_arrays([K.column(batch, "doc_id").slice(c.first, c.n), pa.array(n.astype(np.int64)), fps, lists], ["doc_id", "n_shingles", "fp", "bands"])
+                own = [K.column(batch, x).slice(c.first, c.n) for x in ("doc_id", "h")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), fps, lists], ["doc_id", "h", "n_shingles", "fp", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, fp binary, bands array<long>")
+    return docs.select("doc_id", "text", text_hash().alias("h")).mapInArrow(run, f"doc_id {kind}, h long, n_shingles long, fp binary, bands array<long>")
 
 
 def links(owned: list[np.ndarray], threshold: int = THRESHOLD) -> list[tuple[int, int]]:
@@ -168,6 +173,10 @@ def verified(rows: DataFrame, keys: list[str], size: int = SIZE, threshold: int
 
 def resolve(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of docs."""
+    return resolved(docs, size, threshold).drop("h")
+
+
+def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
     all_docs = materialize(sketches(docs, size), "sketches")
     classes = all_docs.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = materialize(classes.withColumn("v", F.xxhash64("fp")), "classes")
@@ -205,14 +214,15 @@ def resolve(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> Da
     named = classes.select("fp", "rep").join(part.select(F.col("v").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "root").select("fp", "component_id")
-    out = all_docs.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
+    out = all_docs.select("doc_id", "h", "n_shingles", "fp").join(named, "fp", "left")
     component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "h", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def dedup(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of docs that stay, one document of each group, with all their columns."""
-    kept = resolve(docs, size, threshold).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    once = Window.partitionBy("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy(F.lit(0))
-    return stay.withColumn("_rank", F.row_number().over(once)).filter("_rank = 1").drop("_rank")
+    kept = resolved(docs, size, threshold).filter("kept").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
+    own = docs.withColumn("_own", text_hash())
+    stay = own.join(kept, own["doc_id"].eqNullSafe(kept["_id"]) & (own["_own"] == kept["_h"]), "left_semi")
+    once = Window.partitionBy("doc_id", "_own").orderBy(F.lit(0))
+    return stay.withColumn("_rank", F.row_number().over(once)).filter("_rank = 1").select(*docs.columns)
