@@ -182,14 +182,16 @@ def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
     classes = materialize(classes.withColumn("v", F.xxhash64("fp")), "classes")
     rows = classes.select("v", F.explode("bands").alias("key"))
     hubs = rows.groupBy("key").agg(F.min("v").alias("hub"), F.max("v").alias("top")).filter("hub <> top").select("key", "hub")
-    near = rows.join(hubs, "key").filter("v <> hub").select(F.col("v").alias("a"), F.col("hub").alias("b"))
+    near = rows.join(hubs.hint("merge"), "key").filter("v <> hub").select(F.col("v").alias("a"), F.col("hub").alias("b"))
     clusters = components(near).select("v", F.col("root").alias("cluster"))
     members = classes.select("v", "fp", "rep", "n").join(clusters, "v")
     blocks = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("n_blocks"))
     members = materialize(members.join(blocks, "cluster"), "members")
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    first = members.select("cluster", F.pmod(F.xxhash64("v", F.lit(1)), "n_blocks").alias("block"), "fp", "rep")
-    found = materialize(verified(texts.join(first, texts["rep"].eqNullSafe(first["rep"])), ["cluster", "block"], size, threshold), "links")
+    first = members.select("cluster", F.pmod(F.xxhash64("v", F.lit(1)), "n_blocks").alias("block"), "fp", F.col("rep").alias("_rep"), "n_blocks")
+    held = texts.join(first.hint("merge"), texts["rep"].eqNullSafe(first["_rep"])).select("cluster", "block", "fp", "n_blocks", "text")
+    held = materialize(held, "member-texts")  # the one shuffle of texts; clusters of several blocks are read again below
+    found = materialize(verified(held, ["cluster", "block"], size, threshold), "links")
 
     many = members.filter("n_blocks > 1")
     if many.limit(1).count():
@@ -206,8 +208,8 @@ def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
         # a block of loose members meets every block; blocks of the core do not meet each other
         loose = F.transform(F.sequence(F.lit(0), F.col("n_loose") + F.col("n_core") - 1), lambda j: F.struct(F.least("at", j).alias("x"), F.greatest("at", j).alias("y")))
         settled = F.transform(F.sequence(F.lit(0), F.col("n_loose") - 1), lambda j: F.struct(j.alias("x"), F.col("at").alias("y")))
-        second = known.withColumn("pair", F.explode(F.when(F.col("loose"), loose).otherwise(settled))).select("cluster", F.col("pair.x").alias("x"), F.col("pair.y").alias("y"), "fp", "rep")
-        again = verified(texts.join(second, texts["rep"].eqNullSafe(second["rep"])), ["cluster", "x", "y"], size, threshold)
+        second = known.withColumn("pair", F.explode(F.when(F.col("loose"), loose).otherwise(settled))).select("cluster", F.col("pair.x").alias("x"), F.col("pair.y").alias("y"), "fp")
+        again = verified(held.filter("n_blocks > 1").select("fp", "text").join(second, "fp"), ["cluster", "x", "y"], size, threshold)
         found = found.unionByName(materialize(again, "links"))
 
     part = components(found)
