@@ -65,6 +65,7 @@ def models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int
                 target += np.bincount(bucket[good[c.first + doc]], minlength=buckets)
         at = np.nonzero(raw)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(target[at]), pa.array(raw[at])], ["bucket", "target", "raw"])
+        K.release()
 
     found = marked.mapInArrow(count, "bucket long, target long, raw long").groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
     pdf = found.toPandas()
@@ -94,6 +95,7 @@ def log_weights(docs: DataFrame, target: np.ndarray, raw: np.ndarray, smoothing:
                 total[c.first : c.first + c.n] = np.bincount(doc, table[bucket], minlength=c.n)
             u = ((K.column(batch, "h").to_numpy().view(np.uint64) >> K.U(11)).astype(float) + 0.5) / 2.0**53
             yield pa.RecordBatch.from_arrays([K.column(batch, "doc_id"), pa.array(n), pa.array(total), pa.array(total - np.log(-np.log(u)))], ["doc_id", "n_grams", "log_weight", "key"])
+        K.release()
 
     return ided.mapInArrow(score, f"doc_id {kind}, n_grams long, log_weight double, key double")
 

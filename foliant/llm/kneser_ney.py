@@ -188,6 +188,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         if ends:
             k, n = np.concatenate([k, [END]]), np.concatenate([n, [ends]])
         yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["w", "n"])
+        K.release()
 
     return docs.select("text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
@@ -241,6 +242,7 @@ def count_pairs(docs: DataFrame, model: Model) -> DataFrame:
         cuts = np.searchsorted(keys, np.array([model.cut(k) for k in range(model.ranges + 1)]) * wide)
         rows = [(k, pack(keys[a:b]), pack(counts[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))], ["k", "keys", "counts"])
+        K.release()
 
     return docs.select("text").mapInArrow(run, "k int, keys binary, counts binary")
 
@@ -342,6 +344,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     known, base, total = np.zeros(c.n, np.int64), np.zeros(c.n), np.zeros(c.n)
                 numbers = [n.astype(np.int64), known, np.full(c.n, model.tokens), base, total, 10.0 ** (-total / n)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(c.first, c.n), *map(pa.array, numbers)], ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+        K.release()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
 

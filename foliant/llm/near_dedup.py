@@ -95,6 +95,7 @@ def sketches(docs: DataFrame, size: int = SIZE) -> DataFrame:
                 lists = K.list_array(pa.array(keys.reshape(-1)), np.arange(c.n + 1) * BANDS)
                 own = [K.column(batch, x).slice(c.first, c.n) for x in ("doc_id", "h")]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), fps, lists], ["doc_id", "h", "n_shingles", "fp", "bands"])
+        K.release()
 
     return docs.select("doc_id", "text", text_hash().alias("h")).mapInArrow(run, f"doc_id {kind}, h long, n_shingles long, fp binary, bands array<long>")
 
@@ -165,6 +166,7 @@ def verified(rows: DataFrame, keys: list[str], size: int = SIZE, threshold: int
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
         found = close()
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+        K.release()
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, *keys).sortWithinPartitions(*keys)

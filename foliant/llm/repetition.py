@@ -175,5 +175,6 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **lim
         for batch in batches:
             for c in K.chunks(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(c.first, c.n), *measure(c, **limits)], ["doc_id", *names])
+        K.release()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
