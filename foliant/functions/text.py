@@ -128,7 +128,7 @@ def bare(provision) -> Column:
 
 def iso_date(text) -> Column:
     """FN-17: a date if text is YYYY-MM-DD."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def valid_number(text, low: int, high: int, prefix: str = "O") -> Column:
