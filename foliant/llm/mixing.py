@@ -6,7 +6,8 @@ as the inverse of the Poisson distribution with that mean says at a uniform numb
 
 Defined cases: a null source is a source of its own (""); null texts and ids are carried as they
 are; rows equal in doc_id get equal counts; a source without a target weight is dropped only if
-weights are given and lack it; an empty table gives no rows; other columns are carried.
+weights are given and lack it; an empty table gives no rows; other columns are carried, but
+those called copy_no or shuffle_key are replaced.
 """
 
 from __future__ import annotations
@@ -53,14 +54,14 @@ def poisson(u, rate) -> F.Column:
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, total: float = 1.0, seed: str = SEED) -> DataFrame:
-    """docs' columns, source null as it was, with copy_no (from 1) and shuffle_key; partitions and rows in hashed order."""
-    rate = materialize(rates(docs, weights, temperature, total).select(F.col("source").alias("_source"), "rate"), "rates")
+    """docs' columns, source null as it was, and copy_no (from 1) and shuffle_key; partitions and rows in hashed order."""
+    rate = materialize(rates(docs, weights, temperature, total).select(F.col("source").alias("_source"), F.col("rate").alias("_rate")), "rates")
     small = rate.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     named = docs.withColumn("_source", F.coalesce("source", F.lit("")))
     rated = named.join(F.broadcast(rate) if small else rate, "_source")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rated = rated.withColumn("_n", poisson(uniform(F.lit(seed), F.lit("n"), key), F.col("rate"))).filter("_n > 0")
+    rated = rated.withColumn("_n", poisson(uniform(F.lit(seed), F.lit("n"), key), F.col("_rate"))).filter("_n > 0")
     copies = rated.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_n"))))
     copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("o"), key, F.col("copy_no").cast("string"))))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return copies.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key").select(*docs.columns, "copy_no", "shuffle_key")
+    return copies.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key").select(*[c for c in docs.columns if c not in ("copy_no", "shuffle_key")], "copy_no", "shuffle_key")
