@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import lower_ascii, materialize
+from .shared import lower_ascii, materialize, one_each
 
 COUNTERS = 1024
 
@@ -75,8 +75,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
 
     The kept (doc_id, digest) pairs are joined back; rows equal in both are the same document and one stays.
     """
-    kept = decide(docs, id_col, text_col, counters).filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    own = docs.withColumn("_own", digest(F.col(text_col)))
-    joined = own.join(kept, own[id_col].eqNullSafe(kept["_id"]) & (own["_own"] == kept["_digest"]), "left_semi")
-    once = Window.partitionBy(id_col, "_own").orderBy(F.lit(0))
-    return joined.withColumn("_rank", F.row_number().over(once)).filter("_rank = 1").select(*docs.columns)
+    kept = decide(docs, id_col, text_col, counters).filter("kept").select(F.struct("doc_id", "digest").alias("key"))
+    own = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("digest")).alias("key"), F.xxhash64(text_col).alias("h"))
+    return one_each(own.join(kept, "key", "left_semi"))

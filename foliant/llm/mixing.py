@@ -55,13 +55,13 @@ def poisson(u, rate) -> F.Column:
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, total: float = 1.0, seed: str = SEED) -> DataFrame:
     """docs' columns, source null as it was, and copy_no (from 1) and shuffle_key; partitions and rows in hashed order."""
-    rate = materialize(rates(docs, weights, temperature, total).select(F.col("source").alias("_source"), F.col("rate").alias("_rate")), "rates")
+    rate = materialize(rates(docs, weights, temperature, total).select("source", "rate"), "rates")
     small = rate.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    named = docs.withColumn("_source", F.coalesce("source", F.lit("")))
-    rated = named.join(F.broadcast(rate) if small else rate, "_source")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rated = rated.withColumn("_n", poisson(uniform(F.lit(seed), F.lit("n"), key), F.col("_rate"))).filter("_n > 0")
-    copies = rated.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("o"), key, F.col("copy_no").cast("string"))))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("copy_no", "shuffle_key")])  # whatever their names, they cannot clash
+    named = docs.select(row.alias("row"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"))
+    rated = named.join(F.broadcast(rate) if small else rate, "source")
+    rated = rated.withColumn("n", poisson(uniform(F.lit(seed), F.lit("n"), F.col("key")), F.col("rate"))).filter("n > 0")
+    copies = rated.select("row", "key", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy_no"))
+    copies = copies.select("row", "copy_no", F.md5(F.concat_ws("|", F.lit(seed), F.lit("o"), "key", F.col("copy_no").cast("string"))).alias("shuffle_key"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return copies.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key").select(*[c for c in docs.columns if c not in ("copy_no", "shuffle_key")], "copy_no", "shuffle_key")
+    return copies.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key").select("row.*", "copy_no", "shuffle_key")

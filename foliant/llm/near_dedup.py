@@ -2,8 +2,9 @@
 
 A sketch has T coordinates. In round i each shingle is hashed to a bin and a value, and a bin that
 no earlier round has filled takes the least value; after T rounds, round T + j sends every shingle to
-bin j, so all coordinates fill. Sketches are cut into BANDS bands of ROWS coordinates; documents
-that share a band are candidates. At a similarity of 0.85 a pair shares none with a chance of 6e-9.
+bin j, so all coordinates fill. Sketches are cut into bands of `band_rows` coordinates; documents
+that share a band are candidates. A pair at the threshold shares none with a chance under MISSED
+(0.85: 6e-9 with 40 bands of 6; 0.8: 5e-9 with 48 bands of 5).
 
 Candidates are joined into clusters (links to the least member of each bucket, then connected
 components), so hot buckets give one row a member, not pairs. Clusters are verified on
@@ -25,17 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
 from .components import components
-from .shared import materialize
+from .shared import materialize, one_each
 
-SIZE = 3
-THRESHOLD = 85
-ROWS, BANDS = 6, 40
-T = ROWS * BANDS
+SIZE = 5
+THRESHOLD = 80
+T = 240
+MISSED = 1e-8
 BLOCK, BLOCK_SHINGLES = 512, 2_000_000
 EDGES = "a binary, b binary"
 
@@ -59,7 +60,12 @@ def sketch(docs: np.ndarray, hashes: np.ndarray, n_docs: int, t: int = T) -> np.
     return out.reshape(n_docs, t)
 
 
-def bands(values: np.ndarray, rows: int = ROWS) -> np.ndarray:
+def band_rows(threshold: int, t: int = T) -> int:
+    """The most rows a band may have so that a pair at the threshold is missed with a chance under MISSED; 1 if none is that good."""
+    return max((r for r in range(1, t + 1) if t % r == 0 and (1 - (threshold / 100) ** r) ** (t // r) < MISSED), default=1)
+
+
+def bands(values: np.ndarray, rows: int) -> np.ndarray:
     n, t = values.shape
     parts = values.reshape(n, t // rows, rows)
     key = np.broadcast_to(np.arange(t // rows, dtype=np.uint64), (n, t // rows)).copy()
@@ -81,18 +87,18 @@ def text_hash() -> F.Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def sketches(docs: DataFrame, size: int = SIZE) -> DataFrame:
+def sketches(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, h (a hash of the text), n_shingles, fp (null where the set is empty), bands."""
-    kind = dict(docs.dtypes)["doc_id"]
+    kind, rows = dict(docs.dtypes)["doc_id"], band_rows(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in K.chunks(K.column(batch, "text")):
                 docs, hashes, cut = sets(c, size)
-                keys = bands(sketch(docs, hashes, c.n))
+                keys = bands(sketch(docs, hashes, c.n), rows)
                 n = np.diff(cut)
                 fps = pa.array([fingerprint(hashes[cut[d] : cut[d + 1]]) if n[d] else None for d in range(c.n)], pa.binary())
-                lists = K.list_array(pa.array(keys.reshape(-1)), np.arange(c.n + 1) * BANDS)
+                lists = K.list_array(pa.array(keys.reshape(-1)), np.arange(c.n + 1) * keys.shape[1])
                 own = [K.column(batch, x).slice(c.first, c.n) for x in ("doc_id", "h")]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), fps, lists], ["doc_id", "h", "n_shingles", "fp", "bands"])
         K.release()
@@ -100,7 +106,7 @@ def sketches(docs: DataFrame, size: int = SIZE) -> DataFrame:
     return docs.select("doc_id", "text", text_hash().alias("h")).mapInArrow(run, f"doc_id {kind}, h long, n_shingles long, fp binary, bands array<long>")
 
 
-def links(owned: list[np.ndarray], threshold: int = THRESHOLD) -> list[tuple[int, int]]:
+def links(owned: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among sorted sets: 100 * intersection >= threshold * union."""
     m, n = len(owned), np.array([len(x) for x in owned])
     h = np.concatenate(owned)
@@ -137,7 +143,7 @@ def links(owned: list[np.ndarray], threshold: int = THRESHOLD) -> list[tuple[int
     return found
 
 
-def verified(rows: DataFrame, keys: list[str], size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
+def verified(rows: DataFrame, keys: list[str], size: int, threshold: int) -> DataFrame:
     """rows: keys, fp, text. Links (a, b) inside each group of equal keys; a group is at most two blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +185,7 @@ def resolve(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> Da
 
 
 def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    all_docs = materialize(sketches(docs, size), "sketches")
+    all_docs = materialize(sketches(docs, size, threshold), "sketches")
     classes = all_docs.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = materialize(classes.withColumn("v", F.xxhash64("fp")), "classes")
     rows = classes.select("v", F.explode("bands").alias("key"))
@@ -225,8 +231,6 @@ def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
 
 def dedup(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of docs that stay, one document of each group, with all their columns."""
-    kept = resolved(docs, size, threshold).filter("kept").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
-    own = docs.withColumn("_own", text_hash())
-    stay = own.join(kept, own["doc_id"].eqNullSafe(kept["_id"]) & (own["_own"] == kept["_h"]), "left_semi")
-    once = Window.partitionBy("doc_id", "_own").orderBy(F.lit(0))
-    return stay.withColumn("_rank", F.row_number().over(once)).filter("_rank = 1").select(*docs.columns)
+    kept = resolved(docs, size, threshold).filter("kept").select(F.struct("doc_id", "h").alias("key"))
+    own = docs.select(F.struct("*").alias("row"), F.struct("doc_id", text_hash().alias("h")).alias("key"), text_hash().alias("h"))
+    return one_each(own.join(kept, "key", "left_semi"))

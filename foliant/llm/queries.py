@@ -29,7 +29,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.resolve(table(spark, sf_dir, "documents"))
+    return near_dedup.resolve(table(spark, sf_dir, "documents"), size=3, threshold=85)
 
 
 def op5_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -29,6 +29,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """rows: row (a struct), key, h. The columns of one row for each key, that of the least h; whatever their names, they cannot clash."""
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("h"))
+    return rows.select("row", rank.alias("rank")).filter("rank = 1").select("row.*")
+
+
 def lower_ascii(col):
     """Lower-case A-Z only; pure ASCII takes lower(), which does just that."""
     c = F.coalesce(col, F.lit(""))

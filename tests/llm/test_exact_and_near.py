@@ -46,16 +46,16 @@ def test_exact_dedup_of_nothing(docs):
     assert exact_dedup.decide(docs([])).count() == 0 and exact_dedup.dedup(docs([])).count() == 0
 
 
-def shingles(text):
+def shingles(text, size):
     words = re.findall(r"[^\x20\x09-\x0D]+", low(text))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
-def brute(rows):
+def brute(rows, size=near_dedup.SIZE, threshold=near_dedup.THRESHOLD):
     """component of each row, by comparing all pairs of sets that share a shingle."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -71,7 +71,7 @@ def brute(rows):
     pairs = {p for h in holders.values() for p in itertools.combinations(h, 2)}
     for a, b in pairs:
         inter = len(sets[a] & sets[b])
-        if 100 * inter >= 85 * (len(sets[a]) + len(sets[b]) - inter):
+        if 100 * inter >= threshold * (len(sets[a]) + len(sets[b]) - inter):
             root[find(a)] = find(b)
     least = {}
     for k, (i, _) in enumerate(rows):
@@ -100,20 +100,33 @@ def near_rows(n_hot):
     return list(enumerate(rows))
 
 
-def check_near(spark, docs, rows):
-    got = near_dedup.resolve(docs(rows)).toPandas().sort_values("doc_id")
-    want = brute(rows)
+def check_near(docs, rows, size=3, threshold=85):
+    got = near_dedup.resolve(docs(rows), size, threshold).toPandas().sort_values("doc_id")
+    want = brute(rows, size, threshold)
     assert [tuple(x) for x in got[["doc_id", "n_shingles", "component_id"]].to_numpy()] == want
     assert (got["kept"] == (got["doc_id"] == got["component_id"])).all()
 
 
-def test_near_dedup_against_all_pairs(spark, docs):
-    check_near(spark, docs, near_rows(60))
+@pytest.mark.parametrize("size, threshold", [(3, 85), (5, 80)])
+def test_near_dedup_against_all_pairs(docs, size, threshold):
+    check_near(docs, near_rows(60), size, threshold)
 
 
-def test_near_dedup_in_blocks_loses_no_link(spark, docs, monkeypatch):
+def test_near_dedup_in_blocks_loses_no_link(docs, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
-    check_near(spark, docs, near_rows(120))
+    check_near(docs, near_rows(120))
+
+
+def test_bands_miss_no_pair_at_the_threshold():
+    assert near_dedup.band_rows(85) == 6 and near_dedup.band_rows(80) == 5 and near_dedup.band_rows(1) == 1
+
+
+@pytest.mark.parametrize("dedup, stay", [(exact_dedup.dedup, 5), (near_dedup.dedup, 6)])  # near: x and X, whose ids are null, both stay
+def test_rows_that_stay_keep_all_their_columns(docs, dedup, stay):
+    rows = docs([(i, f"{'abc'[i % 3]} one two three four") for i in range(9)] + [(None, "x"), (None, "X"), (None, None), (3, "a one two three four")])
+    own = {tuple(r) for r in rows.collect()}
+    got = [tuple(r) for r in dedup(rows).collect()]
+    assert set(got) <= own and len(got) == len(set(got)) == stay and dedup(rows).columns == rows.columns
 
 
 def test_near_dedup_repeated_and_null_ids(docs):
@@ -128,8 +141,8 @@ def test_near_dedup_repeated_and_null_ids(docs):
 
 def test_near_dedup_on_the_documents(spark):
     d = table(spark, "/root/testdata/sf0.01", "documents")
-    got = near_dedup.resolve(d).toPandas().sort_values("doc_id")
-    want = brute([(r["doc_id"], r["text"]) for r in d.orderBy("doc_id").collect()])
+    got = near_dedup.resolve(d, 3, 85).toPandas().sort_values("doc_id")
+    want = brute([(r["doc_id"], r["text"]) for r in d.orderBy("doc_id").collect()], 3, 85)
     assert [tuple(x) for x in got[["doc_id", "n_shingles", "component_id"]].to_numpy()] == want
 
 

@@ -123,10 +123,11 @@ def test_license_rules_need_their_order(docs):
 
 
 def test_mixing_meets_its_weights(spark):
-    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 16_000, "big").when(F.col("id") < 19_000, "small").alias("source"), F.lit(1).alias("rate"), F.lit(9).alias("copy_no"), F.lit("w").alias("w"))
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 16_000, "big").when(F.col("id") < 19_000, "small").alias("source"), F.lit(1).alias("rate"), F.lit(9).alias("copy_no"), F.lit("w").alias("w"), F.lit("r").alias("row"), F.lit("k").alias("key"), F.lit(-1).alias("n"), F.lit("d").alias("a.b"))
     got = {r.source: r["count"] for r in mixing.mix(rows, {"big": 1.0, "small": 2.0, "": 1.0}).groupBy("source").count().collect()}
     assert abs(got["big"] - 5000) < 300 and abs(got["small"] - 10_000) < 400 and abs(got[None] - 5000) < 300
-    assert "" not in got and mixing.mix(rows.limit(0)).count() == 0 and mixing.mix(rows).columns == ["doc_id", "text", "source", "rate", "w", "copy_no", "shuffle_key"]
+    assert "" not in got and mixing.mix(rows.limit(0)).count() == 0 and mixing.mix(rows).columns == ["doc_id", "text", "source", "rate", "w", "row", "key", "n", "a.b", "copy_no", "shuffle_key"]
+    assert mixing.mix(rows).select("rate", "w", "row", "key", "n", "`a.b`").distinct().collect() == [(1, "w", "r", "k", -1, "d")]
 
 
 def test_pipeline_stage_by_stage(spark):
