@@ -1,7 +1,10 @@
 """Licence recognition from sentences, in DataFrame functions only.
 
-A text is cut into sentences, each is normalised (A-Z lower-cased, runs of other than a-z and 0-9
-to one space) and mapped to the identifier of a known licence sentence. A document's identifiers,
+A text is normalised (A-Z lower-cased, runs of other than a-z and 0-9 to one space, so comment
+leaders go) and cut at ends of clauses and lines. A known licence sentence is found where it is a
+run of whole pieces inside one paragraph: on one line or wrapped, and with marks as in 'v. 2.0'
+or 'free software: you can' inside it; of runs that overlap, the first counts, and the longest
+that begins there. The SQL knows pieces of one line only. A document's identifiers,
 in order, are held against ordered rules: a rule matches if its identifiers occur in its order,
 others between them or not. A rule that is a part of another matched rule is left out.
 
@@ -73,6 +76,8 @@ RULES = [
     ("unlicense-text", "Unlicense", ["unlicense-grant"], []),
 ]
 SPLIT = r"[.!?;:]+[ \t\r\n]+|[ \t\r]*\n[ \t\r]*\n|\n[ \t\r]*"
+PARAGRAPH = r"\n[^a-z0-9\n]*\n"
+BREAK = r"[.!?;:]+[ \t\r\n]+|\n(?:[ \t]*(?:dnl|rem)(?![a-z0-9]))?"
 CUE = "licen|permi|copyright|redistribut|warrant|public domain"
 
 
@@ -80,12 +85,18 @@ def pattern(identifiers: list[str]) -> str:
     return "," + ",(.*,)?".join(identifiers) + ","
 
 
+# Known sentences, longest first, in text where P stands for the end of a paragraph and S for the end of a clause or line.
+RUNS = "[SP] ?(" + "|".join(s.replace(" ", "[ S]+") for s in sorted(SENTENCES, key=len, reverse=True)) + ") ?(?=[SP])"
+
+
 def sentence_ids(text) -> F.Column:
-    """Identifiers of the known sentences of a text, in order. Every known sentence holds a cue, so others are not normalised."""
+    """Identifiers of the known sentences of a text, in order. Every known sentence holds a cue, so texts without are not normalised."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    parts = F.filter(F.split(lower_ascii(text), SPLIT), lambda s: s.rlike(CUE))
-    named = F.transform(parts, lambda s: F.try_element_at(known, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))))
-    return F.filter(named, lambda x: x.isNotNull())
+    low = lower_ascii(text)
+    cut = F.regexp_replace(F.regexp_replace(F.concat(F.lit("\n"), low, F.lit("\n")), PARAGRAPH, "P"), BREAK, "S")
+    found = F.regexp_extract_all(F.regexp_replace(cut, "[^a-z0-9SP]+", " "), F.lit(RUNS), F.lit(1))
+    named = F.transform(found, lambda s: F.try_element_at(known, F.regexp_replace(s, "[ S]+", " ")))
+    return F.when(low.rlike(CUE), F.filter(named, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

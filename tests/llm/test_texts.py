@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 import duckdb
 import pytest
@@ -122,6 +123,44 @@ def test_license_rules_need_their_order(docs):
     assert got == [(["bsd3-text"], ["BSD-3-Clause"]), (["bsd2-text"], ["BSD-2-Clause"]), ([], []), (["mit-notice"], ["MIT"]), ([], []), ([], []), ([], [])]
 
 
+MIT = [
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+]
+ISC = ["Copyright (c) 2020 Some Body", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."]
+BSD3 = [
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+]
+APACHE = [
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    "    http://www.apache.org/licenses/LICENSE-2.0",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+]
+GPL = "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+USEFUL = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+MPL = ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."]
+WRAPPED = {"mit-text": MIT, "isc-text": ISC, "bsd3-text": BSD3, "bsd2-text": BSD3[:3] + BSD3[4:], "apache2-header": APACHE, "gpl3-header": [GPL.format(":", ",", 3), USEFUL], "gpl2-header": [GPL.format(";", ";", 2), USEFUL], "mpl2-notice": MPL}
+
+
+@pytest.mark.parametrize("leader", ["", " * ", "# ", "// ", ";; ", "dnl "])
+def test_wrapped_licences_are_found(docs, leader):
+    wrap = lambda p: "\n".join(leader + x for x in textwrap.wrap(p, 72))
+    texts = [f"\n{leader.rstrip()}\n".join(map(wrap, paragraphs)) for paragraphs in WRAPPED.values()]
+    got = [r.rules for r in licenses.scan(docs(texts + [t.replace("\n", "\r\n") for t in texts])).orderBy("doc_id").collect()]
+    assert got == [[x] for x in WRAPPED] * 2
+
+
+def test_known_sentences_need_whole_pieces_of_one_paragraph(docs):
+    texts = ["This project is\nlicensed under the MIT License", "Licensed under the\n\nMIT License.", "It is not licensed under the MIT License.", "It is\nreleased under the MIT License\nLicensed under CC BY 4.0\n", "x. Licensed under the MIT\nLicense or not"]
+    got = [(r.n_license_sentences, r.rules) for r in licenses.scan(docs(texts)).orderBy("doc_id").collect()]
+    assert got == [(1, ["mit-notice"]), (0, []), (0, []), (2, ["mit-notice", "ccby4-notice"]), (0, [])]
+
+
 def test_mixing_meets_its_weights(spark):
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 16_000, "big").when(F.col("id") < 19_000, "small").alias("source"), F.lit(1).alias("rate"), F.lit(9).alias("copy_no"), F.lit("w").alias("w"), F.lit("r").alias("row"), F.lit("k").alias("key"), F.lit(-1).alias("n"), F.lit("d").alias("a.b"))
     got = {r.source: r["count"] for r in mixing.mix(rows, {"big": 1.0, "small": 2.0, "": 1.0}).groupBy("source").count().collect()}
