@@ -2,7 +2,8 @@
 
 A source's rate is (its target share x total) / its own size; each document is repeated as often
 as the inverse of the Poisson distribution with that mean says at a uniform number hashed from
-(seed, doc_id). All copies are then dealt to partitions and ordered by a second hash.
+(seed, doc_id). A mean over SPLIT is cut into equal parts whose draws, at uniform numbers hashed
+from (seed, doc_id, part), are added. All copies are then dealt to partitions and ordered by a second hash.
 
 Defined cases: a null source is a source of its own (""); null texts and ids are carried as they
 are; rows equal in doc_id get equal counts; a source without a target weight is dropped only if
@@ -20,6 +21,7 @@ from .shared import materialize
 TEMPERATURE = 0.5
 SEED = "mix-1"
 BROADCAST_ROWS = 10_000
+SPLIT = 700.0  # exp(-rate) is a normal double up to 708
 
 
 def uniform(*parts) -> F.Column:
@@ -41,7 +43,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, temperature:
 
 
 def poisson(u, rate) -> F.Column:
-    """The least k whose distribution function exceeds u; the terms up to mean + 12 deviations + 20 leave under 2**-53."""
+    """The least k whose distribution function exceeds u; the terms up to mean + 12 deviations + 20 leave under 2**-53. For rates up to SPLIT."""
     top = F.ceil(rate + F.sqrt(rate) * 12 + 20).cast("int")
     start = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.lit(0).alias("k"))
 
@@ -53,6 +55,14 @@ def poisson(u, rate) -> F.Column:
     return F.aggregate(F.sequence(F.lit(1), top), start, step, lambda acc: acc["k"])
 
 
+def draws(seed: str, key, rate) -> F.Column:
+    """A Poisson number of mean `rate`: the sum of independent ones of equal means up to SPLIT, each at a uniform number of its own."""
+    parts = F.greatest(F.ceil(rate / SPLIT).cast("int"), F.lit(1))
+    own = lambda j: F.when(j == 0, uniform(F.lit(seed), F.lit("n"), key)).otherwise(uniform(F.lit(seed), F.lit("n"), key, j.cast("string")))
+    us = F.transform(F.sequence(F.lit(0), parts - 1), own)
+    return F.aggregate(us, F.lit(0), lambda n, u: n + poisson(u, rate / parts))
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, total: float = 1.0, seed: str = SEED) -> DataFrame:
     """docs' columns, source null as it was, and copy_no (from 1) and shuffle_key; partitions and rows in hashed order."""
     rate = materialize(rates(docs, weights, temperature, total).select("source", "rate"), "rates")
@@ -60,7 +70,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("copy_no", "shuffle_key")])  # whatever their names, they cannot clash
     named = docs.select(row.alias("row"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"))
     rated = named.join(F.broadcast(rate) if small else rate, "source")
-    rated = rated.withColumn("n", poisson(uniform(F.lit(seed), F.lit("n"), F.col("key")), F.col("rate"))).filter("n > 0")
+    rated = rated.withColumn("n", draws(seed, F.col("key"), F.col("rate"))).filter("n > 0")
     copies = rated.select("row", "key", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy_no"))
     copies = copies.select("row", "copy_no", F.md5(F.concat_ws("|", F.lit(seed), F.lit("o"), "key", F.col("copy_no").cast("string"))).alias("shuffle_key"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

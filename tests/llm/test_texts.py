@@ -169,6 +169,21 @@ def test_mixing_meets_its_weights(spark):
     assert mixing.mix(rows).select("rate", "w", "row", "key", "n", "`a.b`").distinct().collect() == [(1, "w", "r", "k", -1, "d")]
 
 
+@pytest.mark.parametrize("rate", [3.0, 690.0, 1000.0, 50_000.0])
+def test_poisson_numbers_have_their_mean_and_variance(spark, rate):
+    n = 2000 if rate < 10_000 else 300
+    got = [r.n for r in spark.range(n).select(mixing.draws("s", F.col("id").cast("string"), F.lit(rate)).alias("n")).collect()]
+    mean = sum(got) / n
+    assert abs(mean - rate) < 5 * (rate / n) ** 0.5
+    assert abs(sum((x - mean) ** 2 for x in got) / n / rate - 1) < 5 * (2 / n) ** 0.5 + 0.1
+
+
+def test_mixing_of_a_small_source_with_a_large_share(spark):
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 2, "tiny").otherwise("big").alias("source"))
+    got = {r.source: r["count"] for r in mixing.mix(rows, {"tiny": 1.0, "big": 1.0}).groupBy("source").count().collect()}
+    assert abs(got["tiny"] - 2000) < 5 * 2000**0.5 and abs(got["big"] - 2000) < 5 * 2000**0.5
+
+
 def test_pipeline_stage_by_stage(spark):
     import corpus_pipeline as p
 
