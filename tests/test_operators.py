@@ -78,6 +78,17 @@ def test_one_page_each_counts_earlier_decisions_as_further(spark):
     assert {r.file for r in orphans.collect()} == {"early", "late"}
 
 
+def test_aliases_of_any_number_of_words_are_found(spark):
+    texts = ["The Book of Order applies", "a notebook of ordering", "Committee\ton  Women", "womenfolk and e of o", "xab", "", None, "the whole counsel of God is here", "Book of  Order"]
+    names = ["Women", "women", "oke", "book of order", "of order", "order applies", "Book  of", "ttee\ton", "e o", "e of o", "a", "b", "xab", " of ", "God is", "whole counsel of God", "hole counsel of Go", "", " ", "absent", "of absent", "the absent order", "counsel of god", None, "k of o", "and e"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    aliases = spark.createDataFrame(list(enumerate(names)), "alias_id int, alias string")
+    got = sorted(tuple(r) for r in joins.alias_matches(docs, "doc_id", "text", aliases).collect())
+    assert got == sorted((i, d) for i, a in enumerate(names) for d, t in enumerate(texts) if a is not None and t is not None and a.lower() in t.lower())
+    gaps, extra, _ = joins.reconcile(aliases.filter("alias_id in (0, 19)"), joins.alias_matches(docs, "doc_id", "text", aliases.filter("alias_id in (0, 19)")), docs, "doc_id")
+    assert [r.alias_id for r in gaps.collect()] == [19] and sorted(r.doc_id for r in extra.collect()) == [0, 1, 4, 5, 6, 7, 8]
+
+
 def test_concordance_applies_only_later_events_and_chains(spark):
     schema = "adopted_year int, chapter string, ga int, kind string, status string, mappings array<struct<`from`:string,`to`:string>>"
     events = spark.createDataFrame([(1980, "9", 8, "r", "k", [("9-1", "9-3")]), (1990, "9", 18, "r", "k", [("9-3", "9-7")])], schema)
