@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,15 +15,17 @@ def identity(df: DataFrame) -> DataFrame:
 
 
 def likely_same(df: DataFrame, most: float = 0.3) -> DataFrame:
-    """JN-26: pairs of neighbouring descriptions of one body and provision that differ in at most `most` of their letters: candidates for one thread.
+    """JN-26: pairs of descriptions of one body and provision that differ in at most `most` of their letters: candidates for one thread.
 
-    Within a block records are compared with the next in the order of their text only, not all with all.
+    Within a block each record is compared with all of like length (a shorter one of less than 1 - most of the other's cannot be near), so no
+    pair is lost, and the work grows with the square of a block's descriptions of like length. The lesser description is `thread`'s.
     """
-    from pyspark.sql import Window
-
-    each = df.select("thread", "body", "description", F.explode("provisions").alias("provision"))
-    w = Window.partitionBy("body", "provision").orderBy("description", "thread")
-    near = each.withColumns({"other": F.lead("thread").over(w), "_d": F.lead("description").over(w)}).filter("other is not null and other <> thread")
+    size = F.greatest(F.length("description"), F.lit(1))
+    band = F.floor(F.log(size.cast("double")) / (-math.log(1 - most) * (1 + 1e-9))) if 0 < most < 1 else size if most <= 0 else F.lit(0)
+    each = df.select("thread", "body", "description", F.explode("provisions").alias("provision")).filter("description is not null").distinct().withColumn("_band", band.cast("long"))
+    theirs = each.select(F.col("thread").alias("other"), F.col("body").alias("_b"), F.col("provision").alias("_p"), F.col("description").alias("_d"), F.explode(F.array(*[F.col("_band") + i for i in (-1, 0, 1)])).alias("_o"))
+    met = each.join(theirs, (F.col("_band") == F.col("_o")) & F.col("body").eqNullSafe(F.col("_b")) & F.col("provision").eqNullSafe(F.col("_p")))
+    near = met.filter((F.struct("description", "thread") < F.struct(F.col("_d"), F.col("other"))) & (F.col("thread") != F.col("other")))
     share = F.levenshtein("description", "_d") / F.greatest(F.length("description"), F.length("_d"), F.lit(1))
     return near.withColumn("distance", share).filter(F.col("distance") <= most).select("thread", "other", "distance").distinct()
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliant.functions import text as fn
-from foliant.operators import audit, hierarchy, joins, parsing, quality, repair, search
+from foliant.operators import audit, hierarchy, joins, lifecycle, parsing, quality, repair, search
 from foliant.sources import readers, sinks
 from foliant.streaming import state
 
@@ -89,6 +89,22 @@ def test_aliases_of_any_number_of_words_are_found(spark):
     assert [r.alias_id for r in gaps.collect()] == [19] and sorted(r.doc_id for r in extra.collect()) == [0, 1, 4, 5, 6, 7, 8]
 
 
+def test_likely_same_compares_all_of_a_block(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1] / max(len(a), len(b), 1)
+
+    texts = ["Minutes lack the date of the meeting", "The minutes lack the date of the meeting", "No record of examinations", "Minutes lack the dates of a meeting", "Zealous minutes lack the date of meeting", "abcdefg", "abcdefgxyz", "abcdefghij", "", "abc", "Minutes lack the date of the meeting"]
+    rows = [(f"t{i}", "west" if i != 3 else None, t, ["9-3"]) for i, t in enumerate(texts)] + [("u", None, "Minutes lack the dates of the meeting", ["9-3", "1-1"]), ("v", "east", texts[0], ["9-3"])]
+    got = {frozenset((r.thread, r.other)): r.distance for r in lifecycle.likely_same(spark.createDataFrame(rows, "thread string, body string, description string, provisions array<string>")).collect()}
+    want = {frozenset((a[0], b[0])): distance(a[2], b[2]) for k, a in enumerate(rows) for b in rows[:k] if a[1] == b[1] and set(a[3]) & set(b[3]) and distance(a[2], b[2]) <= 0.3}
+    assert got == want and frozenset(("t0", "t1")) in got and frozenset(("t5", "t6")) in got
+
+
 def test_concordance_applies_only_later_events_and_chains(spark):
     schema = "adopted_year int, chapter string, ga int, kind string, status string, mappings array<struct<`from`:string,`to`:string>>"
     events = spark.createDataFrame([(1980, "9", 8, "r", "k", [("9-1", "9-3")]), (1990, "9", 18, "r", "k", [("9-3", "9-7")])], schema)
