@@ -115,6 +115,28 @@ def test_merkle_audit_finds_changed_missing_and_extra(spark):
     assert merkle.fixity(make([]), make([]), fanout=4).count() == 0
 
 
+def test_merkle_audit_locates_losses_and_extras_in_the_middle(spark):
+    rows = [(2 * i, f"http://x/{i}", f"<p>{i}</p>" * (i % 7)) for i in range(300)] + [(None, None, None), (100, "u", "twin"), (100, "u", "twin"), (200, "u", "other")]
+    make = lambda r: spark.createDataFrame(r, "page_id long, url string, html string")
+    state = lambda a, b: sorted(((r.page_id, r.state) for r in merkle.fixity(make(a), make(b), fanout=4).collect() if r.state != "same"), key=repr)
+    without = lambda i: [r for r in rows if r[0] != i]
+    assert state(rows, without(302)) == [(302, "missing")] and state(without(302), rows) == [(302, "extra")]
+    assert state(rows, [*rows, (301, "u", "new"), (-5, "u", "first"), (9999, "u", "last")]) == [(-5, "extra"), (301, "extra"), (9999, "extra")]
+    changed = [(i, u, "!" if i == 88 else h) for i, u, h in without(44)] + [(45, "u", "new")]
+    assert state(rows, changed) == [(44, "missing"), (45, "extra"), (88, "differs")]
+    one_twin = [*rows]
+    one_twin.remove((100, "u", "twin"))
+    assert state(rows, one_twin) == [(100, "missing")] and state(one_twin, rows) == [(100, "extra")]
+    assert state(rows, [r for r in rows if r[2] != "other"] + [(200, "u", "changed")]) == [(200, "differs")]
+    assert state(rows, without(None)) == [(None, "missing")] and state([], rows[:9]) == [(2 * i, "extra") for i in sorted(range(9), key=lambda i: repr((2 * i, "extra")))]
+    a = merkle.leaves(make(rows), "a", None, 4)
+    b = merkle.leaves(make(without(302)), "b", merkle.starts(a, 4), 4)
+    n = -(-a.count() // 4)
+    assert merkle.audit(merkle.tree(a, n, 4), merkle.tree(b, n, 4), 4).count() == 1
+    got = merkle.fixity(make(without(302)), make(rows), fanout=4).filter("state = 'extra'").first()
+    assert got.rec_no == sum(i is None or i < 302 for i, _, _ in rows) and got.size > 0
+
+
 def test_license_rules_need_their_order(docs):
     by = {i: s for s, i in licenses.SENTENCES.items()}
     bsd = [by[x] for x in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-asis")]
