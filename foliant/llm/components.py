@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import lookup, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,16 +13,21 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while not stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = told(both, F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialize(large, "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        small = told(large, F.lit(True)).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.unionByName(large.groupBy("a").agg(F.min("b").alias("b"))).distinct()
         now = materialize(small, "small")
     return now.select(F.col("a").alias("v"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())
 
 
+def told(rows: DataFrame, which) -> DataFrame:
+    """The rows (a, b) in question with m, the least of a and of all its b. A vertex of many edges is looked up by broadcast."""
+    least = rows.groupBy("a").agg(F.min("b").alias("m"), F.count_if(which).alias("n"))
+    least = materialize(least.filter("n > 0").select("a", F.least("a", "m").alias("m"), "n"), "least")
+    return lookup(rows.filter(which), least, "a", least.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+
+
 def stars(edges: DataFrame) -> bool:
     """Whether every vertex with a smaller neighbour has one only, and no greater ones: then each b is the root of its a."""
     ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))

@@ -8,15 +8,19 @@ that share a band are candidates. A pair at the threshold shares none with a cha
 
 Candidates are joined into clusters (links to the least member of each bucket, then connected
 components), so hot buckets give one row a member, not pairs. Clusters are verified on
-their full shingle sets: in blocks of about BLOCK members inside one task each; in clusters of
-several blocks, members outside the largest verified component are then held against every block, in pairs of blocks,
-so no link is lost. Equal sets are one class from the start.
+their full shingle sets, in blocks of about BLOCK members inside one task each; in clusters of several
+blocks, about PIVOTS members lie in every block and tie the blocks' links together. Where links do not
+join such a cluster, as in pages of one template that are alike but no near copies, it is narrowed
+to the clusters that rare tokens make (`prefixes`), which are verified likewise; only if one of these has
+several blocks and is not joined either, members outside its largest component are held against every block, in
+pairs of blocks. So no link is lost. Equal sets are one class from the start.
 
 Sets are of 64-bit fingerprints, classes have 128-bit ones.
 
 Defined cases: null or blank text has an empty set and is linked with nothing; a text of fewer than
-`size` words is one shingle; rows with equal sets are linked; of rows equal in doc_id all are kept or none; a null doc_id
-is never the smallest unless all are null; an empty table gives no rows; other columns are ignored here and carried by `dedup`.
+`size` words is one shingle; a very long text is whole, held by one task; rows with equal sets are linked; of rows equal in doc_id all are
+kept or none; a null doc_id is never the smallest unless all are null; an empty table gives no rows; other columns are ignored here
+and carried by `dedup`.
 """
 
 from __future__ import annotations
@@ -31,13 +35,15 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .components import components
-from .shared import materialize, one_each
+from .shared import lookup, materialize, one_each
 
 SIZE = 5
 THRESHOLD = 80
 T = 240
 MISSED = 1e-8
 BLOCK, BLOCK_SHINGLES = 512, 2_000_000
+PIVOTS = 64
+RARE = 20_000
 EDGES = "a binary, b binary"
 
 
@@ -184,49 +190,135 @@ def resolve(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> Da
     return resolved(docs, size, threshold).drop("h")
 
 
+def placed(members: DataFrame) -> DataFrame:
+    """members (cluster, fp, n, ...) with n_blocks, block (the own one) and blocks (for about PIVOTS members of a cluster of several, all)."""
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("size"), F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
+    out = lookup(members, materialize(sizes, "sizes"), "cluster", members.count(), "size")
+    h = lambda seed: F.xxhash64("fp", F.lit(seed))
+    pivot = F.pmod(h(3), F.ceil(F.col("size") / PIVOTS)) == 0
+    out = out.withColumn("block", F.pmod(h(1), "n_blocks").cast("int"))
+    return out.withColumn("blocks", F.when(pivot, F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array("block"))).drop("size")
+
+
+def settled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of clusters whose members the links found do not join into one component, with root."""
+    part = components(found)
+    known = members.join(part.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    known = materialize(known, "known")
+    roots = known.groupBy("cluster").agg(F.min("root").alias("_least"), F.max("root").alias("_most"), F.count("*").alias("size"))
+    roots = materialize(roots.filter("_least <> _most").select("cluster", "size"), "open")
+    return lookup(known, roots, "cluster", known.count(), "size").drop("size")
+
+
+def prefixes(sets_: DataFrame, threshold: int) -> DataFrame:
+    """sets_: cluster, root, fp, tokens. key, fp for each token of a set's prefix that sets of different roots have: any two sets of a cluster
+    whose intersection is large enough share a token among the rarest n - ceil(threshold * n / 100) + 1 of each, by one order of all tokens
+    (their number in the cluster, then themselves). So what all pages of a template have is not tried."""
+    each = sets_.select("cluster", "root", "fp", F.explode("tokens").alias("token"))
+    key = F.xxhash64("cluster", "token").alias("key")  # where two tokens meet in one key, more is tried
+    counts = each.groupBy(key).agg(F.count("*").alias("n"), (F.min("root") != F.max("root")).alias("mixed"))
+    counts = materialize(counts.filter("n > 1"), "tokens")
+    hot = F.broadcast(counts.filter(F.col("n") * RARE > counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]).select("key", F.struct("n", "mixed").alias("_hot")))  # RARE rows at most
+    own = each.select("fp", key, F.col("token")).join(hot, "key", "left")
+    cold = own.filter("_hot is null").join(counts.hint("merge"), "key", "left").select("fp", "key", "token", "n", "mixed")
+    own = own.filter("_hot is not null").select("fp", "key", "token", "_hot.n", "_hot.mixed").unionByName(cold)
+    rank = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1).cast("long")).alias("n"), "token", "key", "mixed")))
+    size = F.size("t") - F.ceil(F.size("t") * threshold / 100).cast("int") + 1
+    first = own.groupBy("fp").agg(rank.alias("t")).select("fp", F.explode(F.slice("t", 1, size)).alias("x"))
+    return first.filter("x.mixed").select("x.key", "fp")
+
+
+def tokens_of(texts: DataFrame, size: int) -> DataFrame:
+    """texts: cluster, root, fp, text. cluster, root, fp, tokens (the set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in K.chunks(K.column(batch, "text")):
+                _, hashes, cut = sets(c, size)
+                own = [K.column(batch, x).slice(c.first, c.n) for x in ("cluster", "root", "fp")]
+                yield pa.RecordBatch.from_arrays([*own, K.list_array(pa.array(hashes.view(np.int64)), cut)], ["cluster", "root", "fp", "tokens"])
+        K.release()
+
+    kind = dict(texts.dtypes)["cluster"]
+    return texts.select("cluster", "root", "fp", "text").mapInArrow(run, f"cluster {kind}, root binary, fp binary, tokens array<long>")
+
+
+def narrowed(members: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+    """cluster, fp, n: the members of unsettled clusters, in the smaller clusters that rare shared tokens make; those that share none are left out."""
+    own = texts.select("fp", "text").join(members.select("fp", "cluster", "root"), "fp")
+    tokens = materialize(prefixes(materialize(tokens_of(own, size), "sets"), threshold), "prefixes")
+    linked = components(stars_of(tokens, "fp"))
+    return members.select("fp", "n").join(linked.select(F.col("v").alias("fp"), F.col("root").alias("cluster")), "fp")
+
+
+def stars_of(rows: DataFrame, member: str) -> DataFrame:
+    """rows: key, member. a, b: each member of a key with the key's least; a row a member, whatever the key's size."""
+    hubs = rows.groupBy("key").agg(F.min(member).alias("hub"), F.max(member).alias("_top"), F.count("*").alias("n")).filter("hub <> _top").select("key", "hub", "n")
+    met = lookup(rows, materialize(hubs, "hubs"), "key", rows.count())
+    return met.filter(F.col(member) != F.col("hub")).select(F.col(member).alias("a"), F.col("hub").alias("b"))
+
+
+def across(known: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Links of the members outside each cluster's largest component with all of the cluster, in pairs of blocks."""
+    sizes = materialize(known.groupBy("cluster", "root").count(), "components")
+    core = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("core"), F.sum("count").alias("size"))
+    total = known.count()
+    known = lookup(known, materialize(core, "core"), "cluster", total, "size").drop("size").withColumn("loose", F.col("root") != F.col("core"))
+    count = lambda what: F.greatest(F.ceil(F.sum(what.cast("long")) / BLOCK), F.ceil(F.sum(F.when(what, F.col("n")).otherwise(0)) / BLOCK_SHINGLES), F.lit(0))
+    known = materialize(known, "loose")
+    sides = known.groupBy("cluster").agg(count(F.col("loose")).cast("int").alias("n_loose"), count(~F.col("loose")).cast("int").alias("n_core"), F.count("*").alias("size"))
+    known = lookup(known, materialize(sides, "sides"), "cluster", total, "size")
+    at = F.pmod(F.xxhash64("fp", F.lit(2)), F.when(F.col("loose"), F.col("n_loose")).otherwise(F.col("n_core"))).cast("int")
+    known = known.withColumn("at", at + F.when(F.col("loose"), 0).otherwise(F.col("n_loose")))
+    # a block of loose members meets every block; blocks of the core do not meet each other
+    loose = F.transform(F.sequence(F.lit(0), F.col("n_loose") + F.col("n_core") - 1), lambda j: F.struct(F.least("at", j).alias("x"), F.greatest("at", j).alias("y")))
+    core_ = F.transform(F.sequence(F.lit(0), F.col("n_loose") - 1), lambda j: F.struct(j.alias("x"), F.col("at").alias("y")))
+    second = known.withColumn("pair", F.explode(F.when(F.col("loose"), loose).otherwise(core_))).select("cluster", F.col("pair.x").alias("x"), F.col("pair.y").alias("y"), "fp")
+    return materialize(verified(texts.select("fp", "text").join(second, "fp"), ["cluster", "x", "y"], size, threshold), "links")
+
+
 def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
     all_docs = materialize(sketches(docs, size, threshold), "sketches")
-    classes = all_docs.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    classes = materialize(classes.withColumn("v", F.xxhash64("fp")), "classes")
-    rows = classes.select("v", F.explode("bands").alias("key"))
-    hubs = rows.groupBy("key").agg(F.min("v").alias("hub"), F.max("v").alias("top")).filter("hub <> top").select("key", "hub")
-    near = rows.join(hubs.hint("merge"), "key").filter("v <> hub").select(F.col("v").alias("a"), F.col("hub").alias("b"))
-    clusters = components(near).select("v", F.col("root").alias("cluster"))
-    members = classes.select("v", "fp", "rep", "n").join(clusters, "v")
-    blocks = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("n_blocks"))
-    members = materialize(members.join(blocks, "cluster"), "members")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    first = members.select("cluster", F.pmod(F.xxhash64("v", F.lit(1)), "n_blocks").alias("block"), "fp", F.col("rep").alias("_rep"), "n_blocks")
-    held = texts.join(first.hint("merge"), texts["rep"].eqNullSafe(first["_rep"])).select("cluster", "block", "fp", "n_blocks", "text")
-    held = materialize(held, "member-texts")  # the one shuffle of texts; clusters of several blocks are read again below
-    found = materialize(verified(held, ["cluster", "block"], size, threshold), "links")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep")
+    classes = all_docs.filter("fp is not null").groupBy("fp").agg(rep, F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = materialize(classes.select("fp", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("h"), "n", "bands", F.xxhash64("fp").alias("v")), "classes")
+    clusters = components(stars_of(classes.select("v", F.explode("bands").alias("key")), "v")).select("v", F.col("root").alias("cluster"))
+    members = materialize(classes.select("v", "fp", "rep", "h", "n").join(clusters, "v").drop("v"), "members")
+    members = placed(members).withColumn("_rep", F.col("rep")).withColumn("_h", F.col("h")).drop("rep", "h")
+    members = materialize(members, "members")
+    texts = docs.select("doc_id", text_hash().alias("h"), "text")
+    at = members.select("_rep", "_h", "cluster", "block", "n_blocks", "fp", F.explode("blocks").alias("at")).hint("merge")
+    held = texts.join(at, (texts["h"] == at["_h"]) & texts["doc_id"].eqNullSafe(at["_rep"])).select("cluster", "at", "fp", "text", ((F.col("n_blocks") > 1) & (F.col("at") == F.col("block"))).alias("many"))
+    held = materialize(held, "member-texts")  # the one shuffle of texts; those of clusters of several blocks are read again below
+    found = materialize(verified(held, ["cluster", "at"], size, threshold), "links")
 
     many = members.filter("n_blocks > 1")
-    if many.limit(1).count():
-        part = components(found)
-        known = many.join(part, many["fp"] == part["v"], "left").select("cluster", many["v"], "fp", "rep", "n", F.coalesce("root", "fp").alias("root"))
-        sizes = known.groupBy("cluster", "root").count()
-        core = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("core"))
-        known = known.join(core, "cluster").withColumn("loose", F.col("root") != F.col("core"))
-        count = lambda what: F.greatest(F.ceil(F.sum(what.cast("long")) / BLOCK), F.ceil(F.sum(F.when(what, F.col("n")).otherwise(0)) / BLOCK_SHINGLES), F.lit(0))
-        sides = known.groupBy("cluster").agg(count(F.col("loose")).cast("int").alias("n_loose"), count(~F.col("loose")).cast("int").alias("n_core")).filter("n_loose > 0")
-        known = known.join(sides, "cluster")
-        at = F.pmod(F.xxhash64("v", F.lit(2)), F.when(F.col("loose"), F.col("n_loose")).otherwise(F.col("n_core"))).cast("int")
-        known = known.withColumn("at", at + F.when(F.col("loose"), 0).otherwise(F.col("n_loose")))
-        # a block of loose members meets every block; blocks of the core do not meet each other
-        loose = F.transform(F.sequence(F.lit(0), F.col("n_loose") + F.col("n_core") - 1), lambda j: F.struct(F.least("at", j).alias("x"), F.greatest("at", j).alias("y")))
-        settled = F.transform(F.sequence(F.lit(0), F.col("n_loose") - 1), lambda j: F.struct(j.alias("x"), F.col("at").alias("y")))
-        second = known.withColumn("pair", F.explode(F.when(F.col("loose"), loose).otherwise(settled))).select("cluster", F.col("pair.x").alias("x"), F.col("pair.y").alias("y"), "fp")
-        again = verified(held.filter("n_blocks > 1").select("fp", "text").join(second, "fp"), ["cluster", "x", "y"], size, threshold)
-        found = found.unionByName(materialize(again, "links"))
+    if not many.isEmpty():
+        texts = held.filter("many")
+        left = settled(many.select("cluster", "fp", "n"), found)
+        if not left.isEmpty():
+            left = materialize(placed(materialize(narrowed(left, texts, size, threshold), "narrowed")), "placed")
+            own = texts.select("fp", "text").join(left.select("cluster", "fp", F.explode("blocks").alias("at")), "fp")
+            found = found.unionByName(materialize(verified(own, ["cluster", "at"], size, threshold), "links"))
+            left = settled(left.filter("n_blocks > 1").select("cluster", "fp", "n"), found)
+            if not left.isEmpty():
+                found = found.unionByName(across(left, texts, size, threshold))
 
     part = components(found)
     named = classes.select("fp", "rep").join(part.select(F.col("v").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "root").select("fp", "component_id")
-    out = all_docs.select("doc_id", "h", "n_shingles", "fp").join(named, "fp", "left")
+    named = materialize(named, "named")
+    least = materialize(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "least")
+    named = lookup(named, least, "root", named.count()).select("fp", "component_id")
+    out = all_docs.select("doc_id", "h", "n_shingles", "fp")
     component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "h", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return with_classes(out, named).select("doc_id", "h", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def with_classes(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """rows with component_id, null where fp is null; a class of very many equal rows is looked up by broadcast."""
+    n = materialize(rows.filter("fp is not null").groupBy("fp").agg(F.count("*").alias("n")).join(named, "fp"), "classes")
+    met = lookup(rows.filter("fp is not null"), n, "fp", rows.count()).drop("n")
+    return met.unionByName(rows.filter("fp is null").withColumn("component_id", F.lit(None).cast(dict(named.dtypes)["component_id"])))
 
 
 def dedup(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:

@@ -10,17 +10,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+HOT = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, one of our own on a local master (tests), else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="foliant-"))
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
 
+def lookup(rows: DataFrame, values: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
+    """rows joined with values, one row for each key with `n`, how many of the `total` rows have the key; both are written tables.
+
+    Keys of over 1/HOT of the rows, HOT at most, are broadcast; the rows of these stay where they are, so no task gets all rows of one key.
+    """
+    many = F.col(n) * HOT > total
+    if values.filter(many).isEmpty():
+        return rows.join(values.hint("merge"), key)
+    hot = F.broadcast(values.filter(many))  # HOT rows at most, as their n sum to no more than total
+    rest = rows.join(hot.select(key), key, "left_anti").join(values.filter(~many).hint("merge"), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: the lineage ends there."""
     spark = df.sparkSession

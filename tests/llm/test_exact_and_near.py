@@ -117,6 +117,22 @@ def test_near_dedup_in_blocks_loses_no_link(docs, monkeypatch):
     check_near(docs, near_rows(120))
 
 
+def test_near_dedup_narrows_templates_and_loses_no_link(docs, monkeypatch):
+    """Pages of one template are a cluster of many blocks without links; three near copies among them are still found, and few sets are compared."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    text = lambda n: " ".join(word() for _ in range(n))
+    template = text(130)
+    rows = [f"{template} {text(70)}" for _ in range(240)]
+    rows += [varied(rng, rows[7], 3, word), varied(rng, rows[7], 3, word), varied(rng, rows[90], 2, word)]
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    seen, real = [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda r, *rest: (seen.append(r.count()), real(r, *rest))[1])
+    check_near(docs, list(enumerate(rows)), 3, 85)
+    assert len(seen) == 2 and seen[1] < 20 and seen[0] < 2 * len(rows)  # linear: not a row for each pair of blocks
+
+
 def test_bands_miss_no_pair_at_the_threshold():
     assert near_dedup.band_rows(85) == 6 and near_dedup.band_rows(80) == 5 and near_dedup.band_rows(1) == 1
 
