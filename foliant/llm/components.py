@@ -1,35 +1,43 @@
-"""Connected components by alternating large-star and small-star steps, in joins and groupings only."""
+"""Connected components by alternating large-star and small-star steps, in windows and groupings only."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import lookup, materialize
+from .shared import HOT, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
     """edges: a, b of one orderable type. v, root for every vertex with an edge; root is the least vertex of its component."""
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while not stars(now):
+    while True:
+        up, down, stars = shape(now)
+        if stars:
+            break
+        n = now.count()
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = told(both, F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialize(large, "large")
-        small = told(large, F.lit(True)).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.unionByName(large.groupBy("a").agg(F.min("b").alias("b"))).distinct()
-        now = materialize(small, "small")
+        large = told(both, max(up, down) * HOT > n).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = told(materialize(large, "large"), up * HOT > n)
+        ends = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
+        now = materialize(small.select(ends).select("e.*").filter("a <> b").distinct(), "small")
     return now.select(F.col("a").alias("v"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())
 
 
-def told(rows: DataFrame, which) -> DataFrame:
-    """The rows (a, b) in question with m, the least of a and of all its b. A vertex of many edges is looked up by broadcast."""
-    least = rows.groupBy("a").agg(F.min("b").alias("m"), F.count_if(which).alias("n"))
-    least = materialize(least.filter("n > 0").select("a", F.least("a", "m").alias("m"), "n"), "least")
-    return lookup(rows.filter(which), least, "a", least.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+def told(rows: DataFrame, crowded: bool) -> DataFrame:
+    """rows (a, b) with m, the least of a and of all its b. Vertices of over 1/HOT of the rows, HOT at most, get theirs by broadcast."""
+    own = F.least("a", F.min("b").over(Window.partitionBy("a"))).alias("m")
+    if not crowded:
+        return rows.select("a", "b", own)
+    counts = rows.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    hot = F.broadcast(materialize(counts.filter(F.col("n") * HOT > rows.count()).select("a", F.least("a", "m").alias("m")), "hot"))
+    return rows.join(hot, "a", "left_anti").select("a", "b", own).unionByName(rows.join(hot, "a").select("a", "b", "m"))
 
 
-def stars(edges: DataFrame) -> bool:
-    """Whether every vertex with a smaller neighbour has one only, and no greater ones: then each b is the root of its a."""
+def shape(edges: DataFrame) -> tuple[int, int, bool]:
+    """The most smaller and the most greater neighbours of a vertex, and whether every vertex with a smaller neighbour has
+    one only, and no greater ones: then each b is the root of its a."""
     ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    sums = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return not sums.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
+    sums = ends.groupBy("v").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    up, down, more = sums.agg(F.max("up"), F.max("down"), F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()
+    return up or 0, down or 0, not more

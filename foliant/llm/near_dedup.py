@@ -200,14 +200,13 @@ def placed(members: DataFrame) -> DataFrame:
     return out.withColumn("blocks", F.when(pivot, F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array("block"))).drop("size")
 
 
-def settled(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The members of clusters whose members the links found do not join into one component, with root."""
-    part = components(found)
+def settled(members: DataFrame, part: DataFrame) -> DataFrame:
+    """The members of clusters that links do not join into one component, with root. part: the links' components."""
     known = members.join(part.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     known = materialize(known, "known")
     roots = known.groupBy("cluster").agg(F.min("root").alias("_least"), F.max("root").alias("_most"), F.count("*").alias("size"))
     roots = materialize(roots.filter("_least <> _most").select("cluster", "size"), "open")
-    return lookup(known, roots, "cluster", known.count(), "size").drop("size")
+    return known.limit(0) if roots.isEmpty() else lookup(known, roots, "cluster", known.count(), "size").drop("size")
 
 
 def prefixes(sets_: DataFrame, threshold: int) -> DataFrame:
@@ -274,14 +273,14 @@ def across(known: DataFrame, texts: DataFrame, size: int, threshold: int) -> Dat
     loose = F.transform(F.sequence(F.lit(0), F.col("n_loose") + F.col("n_core") - 1), lambda j: F.struct(F.least("at", j).alias("x"), F.greatest("at", j).alias("y")))
     core_ = F.transform(F.sequence(F.lit(0), F.col("n_loose") - 1), lambda j: F.struct(j.alias("x"), F.col("at").alias("y")))
     second = known.withColumn("pair", F.explode(F.when(F.col("loose"), loose).otherwise(core_))).select("cluster", F.col("pair.x").alias("x"), F.col("pair.y").alias("y"), "fp")
-    return materialize(verified(texts.select("fp", "text").join(second, "fp"), ["cluster", "x", "y"], size, threshold), "links")
+    return verified(texts.select("fp", "text").join(second, "fp"), ["cluster", "x", "y"], size, threshold)
 
 
 def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
     all_docs = materialize(sketches(docs, size, threshold), "sketches")
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep")
-    classes = all_docs.filter("fp is not null").groupBy("fp").agg(rep, F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    classes = materialize(classes.select("fp", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("h"), "n", "bands", F.xxhash64("fp").alias("v")), "classes")
+    classes = all_docs.filter("fp is not null").groupBy("fp").agg(rep, F.min("n_shingles").alias("n"), F.count("*").alias("rows"), F.first("bands").alias("bands"))
+    classes = materialize(classes.select("fp", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("h"), "n", "rows", "bands", F.xxhash64("fp").alias("v")), "classes")
     clusters = components(stars_of(classes.select("v", F.explode("bands").alias("key")), "v")).select("v", F.col("root").alias("cluster"))
     members = materialize(classes.select("v", "fp", "rep", "h", "n").join(clusters, "v").drop("v"), "members")
     members = placed(members).withColumn("_rep", F.col("rep")).withColumn("_h", F.col("h")).drop("rep", "h")
@@ -290,35 +289,36 @@ def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
     at = members.select("_rep", "_h", "cluster", "block", "n_blocks", "fp", F.explode("blocks").alias("at")).hint("merge")
     held = texts.join(at, (texts["h"] == at["_h"]) & texts["doc_id"].eqNullSafe(at["_rep"])).select("cluster", "at", "fp", "text", ((F.col("n_blocks") > 1) & (F.col("at") == F.col("block"))).alias("many"))
     held = materialize(held, "member-texts")  # the one shuffle of texts; those of clusters of several blocks are read again below
-    found = materialize(verified(held, ["cluster", "at"], size, threshold), "links")
+    part = materialize(components(materialize(verified(held, ["cluster", "at"], size, threshold), "links")), "components")
 
-    many = members.filter("n_blocks > 1")
-    if not many.isEmpty():
+    many = members.filter("n_blocks > 1").select("cluster", "fp", "n")
+    left = settled(many, part) if not many.isEmpty() else many
+    if not left.isEmpty():
         texts = held.filter("many")
-        left = settled(many.select("cluster", "fp", "n"), found)
+        left = materialize(placed(materialize(narrowed(left, texts, size, threshold), "narrowed")), "placed")
+        own = texts.select("fp", "text").join(left.select("cluster", "fp", F.explode("blocks").alias("at")), "fp")
+        part = joined(part, verified(own, ["cluster", "at"], size, threshold))
+        many = left.filter("n_blocks > 1").select("cluster", "fp", "n")
+        left = settled(many, part) if not many.isEmpty() else many
         if not left.isEmpty():
-            left = materialize(placed(materialize(narrowed(left, texts, size, threshold), "narrowed")), "placed")
-            own = texts.select("fp", "text").join(left.select("cluster", "fp", F.explode("blocks").alias("at")), "fp")
-            found = found.unionByName(materialize(verified(own, ["cluster", "at"], size, threshold), "links"))
-            left = settled(left.filter("n_blocks > 1").select("cluster", "fp", "n"), found)
-            if not left.isEmpty():
-                found = found.unionByName(across(left, texts, size, threshold))
-
-    part = components(found)
-    named = classes.select("fp", "rep").join(part.select(F.col("v").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+            part = joined(part, across(left, texts, size, threshold))
+
+    named = classes.select("fp", "rep", "rows").join(part.select(F.col("v").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = materialize(named, "named")
     least = materialize(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "least")
-    named = lookup(named, least, "root", named.count()).select("fp", "component_id")
-    out = all_docs.select("doc_id", "h", "n_shingles", "fp")
-    component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return with_classes(out, named).select("doc_id", "h", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def with_classes(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """rows with component_id, null where fp is null; a class of very many equal rows is looked up by broadcast."""
-    n = materialize(rows.filter("fp is not null").groupBy("fp").agg(F.count("*").alias("n")).join(named, "fp"), "classes")
-    met = lookup(rows.filter("fp is not null"), n, "fp", rows.count()).drop("n")
-    return met.unionByName(rows.filter("fp is null").withColumn("component_id", F.lit(None).cast(dict(named.dtypes)["component_id"])))
+    named = materialize(lookup(named, least, "root", named.count()).select("fp", "component_id", "rows"), "named")
+    full, empty = all_docs.filter("fp is not null"), all_docs.filter("fp is null")
+    met = lookup(full.drop("bands"), named, "fp", all_docs.count(), "rows").select("doc_id", "h", "n_shingles", "component_id")
+    out = met.unionByName(empty.select("doc_id", "h", "n_shingles", F.col("doc_id").alias("component_id")))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def joined(part: DataFrame, links_: DataFrame) -> DataFrame:
+    """Components (v, root) after more links (a, b)."""
+    links_ = materialize(links_, "links")
+    if links_.isEmpty():
+        return part
+    return materialize(components(part.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(links_)), "components")
 
 
 def dedup(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:

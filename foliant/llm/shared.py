@@ -31,9 +31,9 @@ def lookup(rows: DataFrame, values: DataFrame, key: str, total: int, n: str = "n
     """
     many = F.col(n) * HOT > total
     if values.filter(many).isEmpty():
-        return rows.join(values.hint("merge"), key)
+        return rows.join(values, key)
     hot = F.broadcast(values.filter(many))  # HOT rows at most, as their n sum to no more than total
-    rest = rows.join(hot.select(key), key, "left_anti").join(values.filter(~many).hint("merge"), key)
+    rest = rows.join(hot.select(key), key, "left_anti").join(values.filter(~many), key)
     return rows.join(hot, key).unionByName(rest)
 
 
