@@ -11,27 +11,28 @@ from .shared import HOT, materialize
 def components(edges: DataFrame) -> DataFrame:
     """edges: a, b of one orderable type. v, root for every vertex with an edge; root is the least vertex of its component."""
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    n = now.count()
     while True:
         up, down, stars = shape(now)
         if stars:
             break
-        n = now.count()
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = told(both, max(up, down) * HOT > n).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = told(materialize(large, "large"), up * HOT > n)
+        large = told(both, max(up, down) * HOT > n, n).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = told(materialize(large, "large", n), True, n) if up * HOT > n else told(large, False, n)
         ends = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
-        now = materialize(small.select(ends).select("e.*").filter("a <> b").distinct(), "small")
-    return now.select(F.col("a").alias("v"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())
+        now = materialize(small.select(ends).select("e.*").filter("a <> b").distinct(), "small", n)
+    out = now.select(F.col("a").alias("v"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())
+    return materialize(out, "components", n)
 
 
-def told(rows: DataFrame, crowded: bool) -> DataFrame:
-    """rows (a, b) with m, the least of a and of all its b. Vertices of over 1/HOT of the rows, HOT at most, get theirs by broadcast."""
+def told(rows: DataFrame, crowded: bool, n: int) -> DataFrame:
+    """rows (a, b) with m, the least of a and of all its b. Vertices of over a HOTth of n rows get theirs by broadcast: 2 HOT at most."""
     own = F.least("a", F.min("b").over(Window.partitionBy("a"))).alias("m")
     if not crowded:
         return rows.select("a", "b", own)
-    counts = rows.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-    hot = F.broadcast(materialize(counts.filter(F.col("n") * HOT > rows.count()).select("a", F.least("a", "m").alias("m")), "hot"))
-    return rows.join(hot, "a", "left_anti").select("a", "b", own).unionByName(rows.join(hot, "a").select("a", "b", "m"))
+    hot = rows.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).filter(F.col("n") * HOT > n).select("a", F.least("a", "m").alias("m"))
+    met = rows.join(F.broadcast(hot), "a", "left").select("a", "b", "m")
+    return met.filter("m is null").select("a", "b", own).unionByName(met.filter("m is not null"))
 
 
 def shape(edges: DataFrame) -> tuple[int, int, bool]:

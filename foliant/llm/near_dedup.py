@@ -113,7 +113,7 @@ def sketches(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> D
 
 
 def links(owned: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among sorted sets: 100 * intersection >= threshold * union."""
+    """The components of the links among sorted sets, each member with its component's first: 100 * intersection >= threshold * union."""
     m, n = len(owned), np.array([len(x) for x in owned])
     h = np.concatenate(owned)
     who = np.repeat(np.arange(m), n)
@@ -141,10 +141,9 @@ def links(owned: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
         left[start] = False
         todo = [start]
         while todo:
-            one = todo.pop()
-            near = np.nonzero(linked[one] & left)[0]
+            near = np.nonzero(linked[todo.pop()] & left)[0]
             left[near] = False
-            found += [(one, int(x)) for x in near]
+            found += [(start, int(x)) for x in near]
             todo += near.tolist()
     return found
 
@@ -157,7 +156,7 @@ def verified(rows: DataFrame, keys: list[str], size: int, threshold: int) -> Dat
         group = None
 
         def close() -> list[tuple[bytes, bytes]]:
-            names = list(held)
+            names = sorted(held)
             out = [(names[a], names[b]) for a, b in links([held[x] for x in names], threshold)] if len(held) > 1 else []
             held.clear()
             return out
@@ -193,7 +192,8 @@ def resolve(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> Da
 def placed(members: DataFrame) -> DataFrame:
     """members (cluster, fp, n, ...) with n_blocks, block (the own one) and blocks (for about PIVOTS members of a cluster of several, all)."""
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size"), F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
-    out = lookup(members, materialize(sizes, "sizes"), "cluster", members.count(), "size")
+    total = members.count()
+    out = lookup(members, materialize(sizes, "sizes", total), "cluster", total, "size")
     h = lambda seed: F.xxhash64("fp", F.lit(seed))
     pivot = F.pmod(h(3), F.ceil(F.col("size") / PIVOTS)) == 0
     out = out.withColumn("block", F.pmod(h(1), "n_blocks").cast("int"))
@@ -203,10 +203,11 @@ def placed(members: DataFrame) -> DataFrame:
 def settled(members: DataFrame, part: DataFrame) -> DataFrame:
     """The members of clusters that links do not join into one component, with root. part: the links' components."""
     known = members.join(part.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    known = materialize(known, "known")
+    total = members.count()
+    known = materialize(known, "known", total)
     roots = known.groupBy("cluster").agg(F.min("root").alias("_least"), F.max("root").alias("_most"), F.count("*").alias("size"))
-    roots = materialize(roots.filter("_least <> _most").select("cluster", "size"), "open")
-    return known.limit(0) if roots.isEmpty() else lookup(known, roots, "cluster", known.count(), "size").drop("size")
+    roots = materialize(roots.filter("_least <> _most").select("cluster", "size"), "open", total)
+    return known.limit(0) if roots.isEmpty() else lookup(known, roots, "cluster", total, "size").drop("size")
 
 
 def prefixes(sets_: DataFrame, threshold: int) -> DataFrame:
@@ -253,20 +254,21 @@ def narrowed(members: DataFrame, texts: DataFrame, size: int, threshold: int) ->
 def stars_of(rows: DataFrame, member: str) -> DataFrame:
     """rows: key, member. a, b: each member of a key with the key's least; a row a member, whatever the key's size."""
     hubs = rows.groupBy("key").agg(F.min(member).alias("hub"), F.max(member).alias("_top"), F.count("*").alias("n")).filter("hub <> _top").select("key", "hub", "n")
-    met = lookup(rows, materialize(hubs, "hubs"), "key", rows.count())
+    n = rows.count()
+    met = lookup(rows, materialize(hubs, "hubs", n), "key", n)
     return met.filter(F.col(member) != F.col("hub")).select(F.col(member).alias("a"), F.col("hub").alias("b"))
 
 
 def across(known: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
     """Links of the members outside each cluster's largest component with all of the cluster, in pairs of blocks."""
-    sizes = materialize(known.groupBy("cluster", "root").count(), "components")
-    core = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("core"), F.sum("count").alias("size"))
     total = known.count()
-    known = lookup(known, materialize(core, "core"), "cluster", total, "size").drop("size").withColumn("loose", F.col("root") != F.col("core"))
+    sizes = known.groupBy("cluster", "root").count()
+    core = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("core"), F.sum("count").alias("size"))
+    known = lookup(known, materialize(core, "core", total), "cluster", total, "size").drop("size").withColumn("loose", F.col("root") != F.col("core"))
     count = lambda what: F.greatest(F.ceil(F.sum(what.cast("long")) / BLOCK), F.ceil(F.sum(F.when(what, F.col("n")).otherwise(0)) / BLOCK_SHINGLES), F.lit(0))
-    known = materialize(known, "loose")
+    known = materialize(known, "loose", total)
     sides = known.groupBy("cluster").agg(count(F.col("loose")).cast("int").alias("n_loose"), count(~F.col("loose")).cast("int").alias("n_core"), F.count("*").alias("size"))
-    known = lookup(known, materialize(sides, "sides"), "cluster", total, "size")
+    known = lookup(known, materialize(sides, "sides", total), "cluster", total, "size")
     at = F.pmod(F.xxhash64("fp", F.lit(2)), F.when(F.col("loose"), F.col("n_loose")).otherwise(F.col("n_core"))).cast("int")
     known = known.withColumn("at", at + F.when(F.col("loose"), 0).otherwise(F.col("n_loose")))
     # a block of loose members meets every block; blocks of the core do not meet each other
@@ -282,20 +284,21 @@ def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
     classes = all_docs.filter("fp is not null").groupBy("fp").agg(rep, F.min("n_shingles").alias("n"), F.count("*").alias("rows"), F.first("bands").alias("bands"))
     classes = materialize(classes.select("fp", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("h"), "n", "rows", "bands", F.xxhash64("fp").alias("v")), "classes")
     clusters = components(stars_of(classes.select("v", F.explode("bands").alias("key")), "v")).select("v", F.col("root").alias("cluster"))
-    members = materialize(classes.select("v", "fp", "rep", "h", "n").join(clusters, "v").drop("v"), "members")
-    members = placed(members).withColumn("_rep", F.col("rep")).withColumn("_h", F.col("h")).drop("rep", "h")
-    members = materialize(members, "members")
+    members = classes.select("fp", F.col("rep").alias("_rep"), F.col("h").alias("_h"), "n", "v").join(clusters, "v").drop("v")
+    total = classes.count()
+    members = materialize(placed(materialize(members, "members", total)), "members", total)
     texts = docs.select("doc_id", text_hash().alias("h"), "text")
     at = members.select("_rep", "_h", "cluster", "block", "n_blocks", "fp", F.explode("blocks").alias("at")).hint("merge")
     held = texts.join(at, (texts["h"] == at["_h"]) & texts["doc_id"].eqNullSafe(at["_rep"])).select("cluster", "at", "fp", "text", ((F.col("n_blocks") > 1) & (F.col("at") == F.col("block"))).alias("many"))
     held = materialize(held, "member-texts")  # the one shuffle of texts; those of clusters of several blocks are read again below
-    part = materialize(components(materialize(verified(held, ["cluster", "at"], size, threshold), "links")), "components")
+    part = components(verified(held, ["cluster", "at"], size, threshold))
 
     many = members.filter("n_blocks > 1").select("cluster", "fp", "n")
     left = settled(many, part) if not many.isEmpty() else many
     if not left.isEmpty():
         texts = held.filter("many")
-        left = materialize(placed(materialize(narrowed(left, texts, size, threshold), "narrowed")), "placed")
+        total = left.count()
+        left = materialize(placed(materialize(narrowed(left, texts, size, threshold), "narrowed", total)), "placed", total)
         own = texts.select("fp", "text").join(left.select("cluster", "fp", F.explode("blocks").alias("at")), "fp")
         part = joined(part, verified(own, ["cluster", "at"], size, threshold))
         many = left.filter("n_blocks > 1").select("cluster", "fp", "n")
@@ -304,9 +307,10 @@ def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
             part = joined(part, across(left, texts, size, threshold))
 
     named = classes.select("fp", "rep", "rows").join(part.select(F.col("v").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = materialize(named, "named")
-    least = materialize(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "least")
-    named = materialize(lookup(named, least, "root", named.count()).select("fp", "component_id", "rows"), "named")
+    total = classes.count()
+    named = materialize(named, "named", total)
+    least = materialize(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "least", total)
+    named = materialize(lookup(named, least, "root", total).select("fp", "component_id", "rows"), "named", total)
     full, empty = all_docs.filter("fp is not null"), all_docs.filter("fp is null")
     met = lookup(full.drop("bands"), named, "fp", all_docs.count(), "rows").select("doc_id", "h", "n_shingles", "component_id")
     out = met.unionByName(empty.select("doc_id", "h", "n_shingles", F.col("doc_id").alias("component_id")))
@@ -315,10 +319,7 @@ def resolved(docs: DataFrame, size: int, threshold: int) -> DataFrame:
 
 def joined(part: DataFrame, links_: DataFrame) -> DataFrame:
     """Components (v, root) after more links (a, b)."""
-    links_ = materialize(links_, "links")
-    if links_.isEmpty():
-        return part
-    return materialize(components(part.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(links_)), "components")
+    return components(part.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(links_))
 
 
 def dedup(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HOT = 1000
+LEAST_FILES, ROWS_A_FILE = 16, 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,11 +38,12 @@ def lookup(rows: DataFrame, values: DataFrame, key: str, total: int, n: str = "n
     return rows.join(hot, key).unionByName(rest)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: the lineage ends there."""
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write df as a Parquet table in the shared folder and read it back: the lineage ends there. rows: about how many there
+    will be, if they are small and known; they then go to no more files than it takes."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/foliant/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(LEAST_FILES, rows // ROWS_A_FILE))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
