@@ -1,3 +1,4 @@
+import bisect
 import random
 import re
 import textwrap
@@ -87,20 +88,68 @@ def test_repetition_against_all_pairs(docs):
 CONV = "conv_id long, turn long, role string, text string, node string"
 
 
-def test_chat_round_trip_and_shared_turns(spark):
-    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|> \\<\\| <\\|x"), (2, 0, "user", "hi"), (2, 1, "assistant", "other"), (3, 0, None, None), (4, 0, "a\nb%0A", "x"), (None, 0, "user", "hi"), (4, 0, "a\nb%0A", "x")]
-    forest = chat.build(spark.createDataFrame([(*r, "n") for r in rows], CONV))
-    back = {r.conv_id: [(t.role, t.text, t.loss) for t in r.turns] for r in chat.read_back(forest).collect()}
-    assert back[1] == [("user", "hi", None), ("assistant", rows[1][3], rows[1][3])] and back[3] == [("", "", None)] and back[4] == [("a\nb%0A", "x", None)] * 2
-    nodes = forest.nodes.collect()
-    assert len(nodes) == 6  # hi, its two answers, the empty one, and two equal turns in a row
-    spans = sorted((n.dfs_start, n.dfs_end) for n in nodes)
+def check_forest(spark, rows, n_nodes=None):
+    """The stream, the places and the ancestors of a forest, and the conversations read back, against a tree of dictionaries."""
+    frame = spark.createDataFrame([(*r, "n") for r in rows], CONV)
+    forest = chat.build(frame)
+    convs = {}
+    for c, t, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        convs.setdefault(c, []).append((role or "", text or ""))
+    back = {}
+    for r in sorted(chat.read_back(forest).collect(), key=lambda r: r.depth):
+        back.setdefault(r.conv_id, []).append((r.role, r.text, r.loss))
+    assert back == {c: [(a, b, b if a == "assistant" else None) for a, b in turns] for c, turns in convs.items()}
+    nodes = {n.node: n for n in forest.nodes.collect()}
+    assert len(nodes) == len({tuple(turns[: k + 1]) for turns in convs.values() for k in range(len(turns))})
+    spans = sorted((n.dfs_start, n.dfs_end) for n in nodes.values())
     assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
-    by = {n.node: n for n in nodes}
-    for n in nodes:
+    inside = {n.node: n.dfs_end for n in nodes.values()}  # where each subtree ends
+    for n in sorted(nodes.values(), key=lambda n: -n.depth):
         if n.parent:
-            assert n.pos_start == by[n.parent].pos_start + len(by[n.parent].segment) == sum(a.dfs_end - a.dfs_start for a in n.ancestors)
-    assert chat.build(spark.createDataFrame([], CONV)).nodes.count() == 0
+            inside[n.parent] = max(inside[n.parent], inside[n.node])
+    size = dict.fromkeys(nodes, 0)
+    for n in sorted(nodes.values(), key=lambda n: -n.depth):
+        size[n.node] += len(n.segment)
+        if n.parent:
+            size[n.parent] += size[n.node]
+    starts = sorted((n.dfs_start, n.node) for n in nodes.values())
+    for n in nodes.values():
+        assert inside[n.node] - n.dfs_start == size[n.node] and n.dfs_end - n.dfs_start == len(n.segment)  # depth first: a subtree is one run
+        up, way = n, []
+        while up.parent:
+            up = nodes[up.parent]
+            way.append(up)
+        assert n.depth == len(way) and n.pos_start == sum(len(x.segment) for x in way)
+        held = [node for a in n.ancestors for node in (s[1] for s in starts[bisect.bisect_left(starts, (a.dfs_start, "")) : bisect.bisect_left(starts, (a.dfs_end, ""))])]
+        assert sorted(held) == sorted(x.node for x in way) and sum(a.dfs_end - a.dfs_start for a in n.ancestors) == n.pos_start
+    return nodes
+
+
+def test_chat_round_trip_and_shared_turns(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|> \\<\\| <\\|x"), (2, 0, "user", "hi"), (2, 1, "assistant", "other"), (3, 0, None, None), (4, 0, "a\nb%0A", "x"), (None, 0, "user", "hi"), (4, 0, "a\nb%0A", "x")]
+    assert len(check_forest(spark, rows)) == 6  # hi, its two answers, the empty one, and two equal turns in a row
+    empty = chat.build(spark.createDataFrame([], CONV))
+    assert empty.nodes.count() == 0 and chat.digests(chat.read_back(empty)).count() == 0
+
+
+def test_chat_trees_of_many_shapes(spark):
+    rng = random.Random(6)
+    rows = []
+    for c in range(120):  # a system prompt shared by most, then few words, so many branches
+        turns = [("system", "be brief")] if c % 9 else []
+        turns += [(("user", "assistant")[k % 2], rng.choice("ab")) for k in range(rng.randint(0, 9))]
+        rows += [(c, k, *t) for k, t in enumerate(turns)]
+    rows += [(500 + c, k, "user", "same" if k < c else f"own {c}") for c in range(12) for k in range(13)]  # a branch at every turn
+    check_forest(spark, rows)
+
+
+def test_chat_of_one_very_long_conversation_grows_linearly(spark):
+    """A conversation of 5,000 turns over several partitions, equal turns and a null id; what a row holds does not grow with its depth."""
+    rows = [(None, k // 3, ("user", "assistant")[k % 2], f"t{k // 4}") for k in range(5000)] + [(1, 0, "user", "t0"), (1, 1, "assistant", "x" * 100_000)]
+    nodes = check_forest(spark, rows)
+    assert max(len(n.ancestors) for n in nodes.values()) <= 2
+    got = {r.conv_id: r for r in chat.digests(chat.read_back(chat.build(spark.createDataFrame([(*r, "n") for r in rows], CONV)))).collect()}
+    assert got[None].n_turns == 5000 and got[1].loss_chars == 100_000
 
 
 def test_merkle_audit_finds_changed_missing_and_extra(spark):
