@@ -66,7 +66,7 @@ def markdown_cell(text) -> Column:
 
 
 def topic_key(topic) -> Column:
-    """FN-7: one key for a topic's articles, report qualifiers, parts and punctuation."""
+    """FN-7 (its patterns are fixed values): one key for a topic's articles, report qualifiers, parts and punctuation."""
     k = F.regexp_replace(F.upper(topic), r"^(THE|A|AN)\s+", "")
     k = F.regexp_replace(k, r"\b(MAJORITY|MINORITY|INITIAL|FINAL|PRELIMINARY)\s+REPORT\b", "")
     k = F.regexp_replace(k, r"\bPARTS?\s+[IVX]+(\s*[-–]\s*[IVX]+)?\b", "")
@@ -75,7 +75,7 @@ def topic_key(topic) -> Column:
 
 def display_title(topic, acronyms: dict[str, str]) -> Column:
     """FN-8: words capitalised if the topic is all upper or all lower case; acronyms as listed."""
-    word = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 10_000)))
+    word = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))
     plain = (topic == F.upper(topic)) | (topic == F.lower(topic))
     words = F.split(F.trim(topic), r"\s+")
     words = F.when(plain, F.transform(words, word)).otherwise(words)
@@ -160,6 +160,16 @@ def case_variants(raw) -> Column:
     return F.when(raw.rlike(pattern), F.array_sort(F.array_distinct(F.concat(both(year), both(other))))).otherwise(F.array().cast("array<string>"))
 
 
+def string_key(n) -> Column:
+    """SRT-3: numbers in the order of their digits, so that 10 comes before 2."""
+    return n.cast("string")
+
+
+def null_as(value, at: int) -> Column:
+    """SRT-5: a sort key that puts nulls where `at` would stand (0 or 99)."""
+    return F.coalesce(value, F.lit(at))
+
+
 def natural_key(text) -> Column:
     """SRT-4: the number in an id, so that O2 comes before O10."""
     return F.regexp_extract(text, r"(\d+)", 1).try_cast("int")

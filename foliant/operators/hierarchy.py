@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def flatten(documents: DataFrame, root: str, depth: int, key: str = "vol", fields: tuple[str, ...] = ("type", "label", "title")) -> DataFrame:
-    """TRE-1, WIN-3, WIN-4: key, path, parent_path, level, fields and seq (preorder within the key) of nested `children` arrays, level by level."""
+    """TRE-1, WIN-3: key, path, parent_path, level, fields and seq (preorder within the key) of nested `children` arrays, level by level."""
     now = documents.select(key, F.posexplode(root).alias("_i", "_n")).select(key, F.array("_i").alias("path"), "_n")
     out = None
     for level in range(depth):
@@ -21,6 +21,16 @@ def flatten(documents: DataFrame, root: str, depth: int, key: str = "vol", field
     return out.withColumn("seq", F.row_number().over(Window.partitionBy(key).orderBy("path")) - 1)
 
 
+def with_ids(flat: DataFrame, key: str = "vol") -> DataFrame:
+    """WIN-4: flat with node_id, the number of each node over all keys in order (from 1), and parent_id. Keys are numbered by themselves and
+    moved on by the sizes of the keys before: one row a key goes through one task."""
+    sizes = flat.groupBy(key).agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).drop("_n")
+    out = flat.join(before, key).withColumn("node_id", (F.col("_before") + F.col("seq") + 1).cast("long")).drop("_before")
+    up = out.select(F.col(key), F.col("path").alias("parent_path"), F.col("node_id").alias("parent_id"))
+    return out.join(up, [key, "parent_path"], "left")
+
+
 def children(nodes: DataFrame, parent: int | None) -> DataFrame:
     """TRE-2."""
     return nodes.filter(F.col("parent_id").isNull() if parent is None else F.col("parent_id") == parent).orderBy("seq")

@@ -64,7 +64,7 @@ def asof(left: DataFrame, right: DataFrame, key: list[str], at: str, point: str,
     w = Window.partitionBy(*key).orderBy("_t", "_side")
     out = a.unionByName(b).withColumn("_v", F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     if clamp:
-        out = out.withColumn("_v", F.coalesce("_v", F.first("_r", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))))
+        out = out.withColumn("_v", F.coalesce("_v", F.min_by("_r", F.when(F.col("_side") == 0, F.col("_t"))).over(Window.partitionBy(*key))))
     return out.filter("_side = 1").select(*[F.col(f"_l.{c}").alias(c) for c in cols], *[F.col(f"_v.{c}").alias(c) for c in take])
 
 
@@ -75,6 +75,16 @@ def first_match_in_list(left: DataFrame, right: DataFrame, id_col: str, array: s
     return left.join(found, id_col, "left")
 
 
+def with_titles(bodies: DataFrame, titles: DataFrame, dispositions: DataFrame, page: bool = False) -> DataFrame:
+    """JN-2, JN-3: bodies: vol, number, [pdf_page]; titles: vol, number, title, _seq; dispositions: vol, number, [pdf_page], disposition, _seq.
+    bodies with title and disposition by (vol, number) as text, dispositions also by page if asked; the last record of a key wins."""
+    on = ["vol", "_n"]
+    text = lambda df: df.withColumn("_n", F.col("number").cast("string"))
+    last = lambda df, key, value: keep_last(text(df).select(*key, value, "_seq"), key, "_seq").drop("_seq")
+    at = [*on, "pdf_page"] if page else on
+    return text(bodies).join(last(titles, on, "title"), on, "left").join(last(dispositions, at, "disposition"), at, "left").drop("_n")
+
+
 def first_in_following(left: DataFrame, right: DataFrame, at: str, steps: int, on: list[str], id_col: str, value: str, name: str) -> DataFrame:
     """JN-13: the value of the first of the positions at..at+steps where right has a row (right calls it `position`)."""
     tried = left.select(id_col, *on, F.explode(F.sequence(F.col(at), F.col(at) + steps)).alias("position")).join(right.select(*on, "position", value), [*on, "position"])
@@ -88,10 +98,14 @@ def page_windows(candidates: DataFrame, before: int = 1, after: int = 7, most: i
 
 
 def relink(missing: DataFrame, cases: DataFrame, span: int = 3) -> DataFrame:
-    """JN-6: missing: key, lead (array), year; cases: case_id, lead, year, _seq. The first case that shares a name and lies within `span` years (null counts as 0)."""
+    """JN-6: missing: key, lead (array), year; cases: case_id, lead, year, _seq. The first case that shares a name and lies within `span` years (null counts as 0).
+
+    Both meet on the name and on runs of `span` years, so a common name pairs only records of near years."""
+    run = lambda y: F.floor(y / max(span, 1))
     a = missing.select("key", F.explode(F.array_distinct("lead")).alias("t"), F.coalesce("year", F.lit(0)).alias("_y"))
     b = cases.select("case_id", "_seq", F.explode(F.array_distinct("lead")).alias("t"), F.coalesce("year", F.lit(0)).alias("_z"))
-    return a.join(b, "t").filter(F.abs(F.col("_y") - F.col("_z")) <= span).groupBy("key").agg(F.min_by("case_id", "_seq").alias("relink"))
+    a = a.withColumn("_r", F.explode(F.array(*[run(F.col("_y")) + k for k in (-1, 0, 1)])))
+    return a.join(b.withColumn("_r", run(F.col("_z"))), ["t", "_r"]).filter(F.abs(F.col("_y") - F.col("_z")) <= span).groupBy("key").agg(F.min_by("case_id", "_seq").alias("relink"))
 
 
 def merge_found(existing: DataFrame, found: DataFrame, share: float = 0.5) -> DataFrame:
@@ -302,6 +316,12 @@ def top_k(df: DataFrame, partition: list[str], order: list, k: int) -> DataFrame
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*partition).orderBy(*order))).filter(F.col("rank") <= k)
 
 
+def ordered_distinct(column: str, order: str, separator: str = ", ") -> Column:
+    """AGG-10 as an aggregate: values in order, each once, as one text."""
+    rows = F.array_sort(F.collect_list(F.when(F.col(column).isNotNull(), F.struct(F.col(order).alias("o"), F.col(column).alias("v")))))
+    return F.array_join(F.array_distinct(F.transform(rows, lambda x: x["v"])), separator)
+
+
 def ordered_set_union(column: str) -> Column:
     """AGG-9 as an aggregate."""
     return F.array_sort(F.array_distinct(F.flatten(F.collect_list(column))))

@@ -7,12 +7,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .repair import despace
+
 # Abbreviations that count as words.
 ABBREVIATIONS = "sjc ccb bco rao pca opc arp epc wcf wlc wsc te re ga gas msc msa mtw mna ac cmc rpr byfc ruf pcus pcusa nae".split()
+# The shape of a stray letter, and what is no symbol.
 STRAY = r"(?:(?<=\s)|^)[B-HJ-Zb-hj-z](?=\s)"
 SYMBOL = r"[^\p{L}\p{N}_\s.,;:'\"()\-/&]"
 
 
+SMALL = 500_000  # words of a lexicon that is broadcast
+
+
 @dataclass(frozen=True)
 class Limits:
     """The thresholds."""
@@ -54,15 +60,19 @@ def symbol_share(text) -> Column:
 def hit_rates(df: DataFrame, key: str, text: str, lexicon: DataFrame, least: int = 1, empty: float = 1.0) -> DataFrame:
     """QC-1 (least 1, empty 1.0) and QC-9 (least 2, empty 0.0): key, n_tokens, hit_rate.
 
-    lexicon: distinct lower-case `word`. Tokens are counted within each document first, so what is joined is
-    document vocabularies; Catalyst picks a broadcast for a small lexicon.
+    lexicon: distinct lower-case `word`. Up to SMALL words it is broadcast, so what is shuffled is one row a document and partition; beyond,
+    tokens are counted within each document first, so what is joined is document vocabularies.
     """
     known = lexicon.select("word").distinct().withColumn("_known", F.lit(1))
     short = known.sparkSession.createDataFrame([(w, 1) for w in ABBREVIATIONS], "word string, _known int")
     known = known.unionByName(short).distinct()
     tokens = F.filter(word_tokens(F.col(text)), lambda t: F.length(t) >= least)
-    counted = df.select(key, F.explode(tokens).alias("word")).groupBy(key, "word").count()
-    hits = counted.join(known, "word", "left").groupBy(key).agg(F.sum("count").alias("n_tokens"), F.sum(F.when(F.col("_known").isNotNull(), F.col("count")).otherwise(0)).alias("_hits"))
+    each = df.select(key, F.explode(tokens).alias("word"))
+    if known.limit(SMALL + 1).count() <= SMALL:
+        met = each.join(F.broadcast(known), "word", "left").withColumn("count", F.lit(1).cast("long"))  # SMALL words at most
+    else:
+        met = each.groupBy(key, "word").count().join(known, "word", "left")
+    hits = met.groupBy(key).agg(F.sum("count").alias("n_tokens"), F.sum(F.when(F.col("_known").isNotNull(), F.col("count")).otherwise(0)).alias("_hits"))
     out = df.select(key).distinct().join(hits, key, "left")
     return out.select(key, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.col("_hits") / F.col("n_tokens"), F.lit(empty)).alias("hit_rate"))
 
@@ -84,12 +94,26 @@ def verdict(frag, hit, despaced, limits: Limits = Limits()) -> Column:
     return F.when((frag >= limits.fragments) & (after >= limits.recovered), "despace").when((hit < limits.reread) & (after < limits.recovered), "reocr").otherwise("good")
 
 
+def classify(df: DataFrame, key: str, text: str, lexicon: DataFrame, terms: dict[str, list[str]], limits: Limits = Limits()) -> DataFrame:
+    """QC-4: key, frag, hit_rate, despaced_rate, verdict. Only texts with enough fragments are despaced and rated again."""
+    base = df.select(key, text, fragments(F.col(text)).alias("frag"))
+    broken = despace(base.filter(F.col("frag") >= limits.fragments), text, terms)
+    again = hit_rates(broken, key, text, lexicon).select(key, F.col("hit_rate").alias("_after"))
+    met = base.select(key, "frag").join(hit_rates(df, key, text, lexicon), key).join(again, key, "left")
+    after = F.coalesce("_after", "hit_rate")
+    return met.select(key, "frag", "hit_rate", after.alias("despaced_rate"), verdict(F.col("frag"), F.col("hit_rate"), after, limits).alias("verdict"))
+
+
 def recoverable(df: DataFrame, key: str, text: str) -> DataFrame:
-    """QC-10, AGG-5: key, n_alpha, vowel_share, top_share, recoverable."""
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit("([a-z]+)"), F.lit(1))
-    counted = df.select(key, F.explode(tokens).alias("t")).groupBy(key, "t").count()
-    own = counted.groupBy(key).agg(F.sum("count").alias("n_alpha"), F.max("count").alias("_top"), F.sum(F.when(F.col("t").rlike("[aeiou]"), F.col("count")).otherwise(0)).alias("_vowel"))
-    out = df.select(key).distinct().join(own, key, "left").withColumn("n_alpha", F.coalesce("n_alpha", F.lit(0)).cast("long"))
+    """QC-10, AGG-5: key, n_alpha, vowel_share, top_share, recoverable: a row for each of df; no shuffle."""
+    start = F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(acc, w):
+        run = F.when(acc["word"] == w, acc["run"] + 1).otherwise(1)
+        return F.struct(w.alias("word"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
+
+    out = df.select(key, F.array_sort(word_tokens(F.col(text))).alias("_t"))  # equal words stand together
+    out = out.select(key, F.size("_t").cast("long").alias("n_alpha"), F.aggregate("_t", start, step, lambda acc: acc["best"]).alias("_top"), F.size(F.filter("_t", lambda t: t.rlike("[aeiou]"))).alias("_vowel"))
     share = lambda c: F.coalesce(F.try_divide(F.col(c).cast("double"), F.col("n_alpha").cast("double")), F.lit(0.0))
     out = out.select(key, "n_alpha", share("_vowel").alias("vowel_share"), share("_top").alias("top_share"))
     return out.withColumn("recoverable", (F.col("n_alpha") >= 20) & (F.col("vowel_share") >= 0.55) & (F.col("top_share") <= 0.15))

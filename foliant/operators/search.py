@@ -11,15 +11,31 @@ from pyspark.sql import functions as F
 WORD = r"([\p{L}\p{N}]+)"
 
 
+def terms_of(text: str) -> list[str]:
+    """The words of a query, by the rule of WORD: letters and digits."""
+    return re.findall(r"[^\W_]+", text.lower())
+
+
 def words(text) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(1))
 
 
 def postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """term, doc, pos (from 0). Write it clustered by term to search without a scan of the texts."""
+    """term, doc, pos (from 0). `write_postings` keeps it, so that searches scan no texts."""
     return docs.select(F.col(doc_id).alias("doc"), F.posexplode(words(F.col(text))).alias("pos", "term")).select("term", "doc", "pos")
 
 
+def write_postings(index: DataFrame, path: str) -> DataFrame:
+    """The index as a Parquet table in ranges of terms, sorted: a search reads only the row groups that may hold its terms."""
+    index.repartitionByRange("term", "doc").sortWithinPartitions("term", "doc", "pos").write.mode("overwrite").parquet(path)
+    return index.sparkSession.read.schema(index.schema).parquet(path)
+
+
+def base_rows(found: DataFrame, docs: DataFrame, doc_id: str) -> DataFrame:
+    """JN-4: the rows of docs that a search has found."""
+    return docs.join(found.select(F.col("doc").alias(doc_id)).distinct(), doc_id, "left_semi")
+
+
 def match_groups(index: DataFrame, groups: list[list[str]]) -> DataFrame:
     """FTS-1, FTS-2: docs with a term of every group: one pass with a filter pushed to the terms, one grouping by document."""
     if not groups or not all(groups):
@@ -31,7 +47,7 @@ def match_groups(index: DataFrame, groups: list[list[str]]) -> DataFrame:
 
 def match_phrase(index: DataFrame, phrase: str) -> DataFrame:
     """FTS-3: doc, pos of each place where the words follow each other; word k votes for the place pos - k."""
-    terms = re.findall(r"\w+", phrase.lower())
+    terms = terms_of(phrase)
     places = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(k).alias("k")) for k, t in enumerate(terms)])
     votes = index.filter(F.col("term").isin(*terms)).select("doc", F.explode(F.filter(F.transform(places, lambda x: F.when(x["t"] == F.col("term"), F.col("pos") - x["k"])), lambda p: p.isNotNull())).alias("pos"))
     return votes.groupBy("doc", "pos").count().filter(F.col("count") == len(terms)).select("doc", "pos")
@@ -49,9 +65,9 @@ def search(index: DataFrame, query: str) -> DataFrame:
         if part == "AND":
             continue
         terms = [t for t in re.findall(atom, part.strip("()")) if t != "OR"]
-        single = [w for t in terms for w in re.findall(r"\w+", t.strip('"').lower()) if len(re.findall(r"\w+", t)) == 1]
+        single = [w for t in terms for w in terms_of(t) if len(terms_of(t)) == 1]
         docs = [match_groups(index, [single])] if single else []
-        docs += [match_phrase(index, t.strip('"')).select("doc") for t in terms if len(re.findall(r"\w+", t)) > 1]
+        docs += [match_phrase(index, t.strip('"')).select("doc") for t in terms if len(terms_of(t)) > 1]
         if not docs:
             return none
         found.append(reduce(DataFrame.unionByName, docs).distinct())
@@ -78,14 +94,21 @@ def locate(index: DataFrame, queries: DataFrame, docs: DataFrame, k: int = 4, us
 
     A candidate has one of the first `used` lead terms and, if there are court terms, one of the first `used` of these;
     score = 3 x lead hits + 2 x court hits - 0.2 x min(years apart, 10) + 100 where the ordinal agrees. All candidates are ranked.
+    Hits are terms that are words of the document; if docs has a column text, terms that it contains anywhere (AGG-11).
     """
     side = lambda c, name: queries.select("key", F.explode(F.array_distinct(c)).alias("term"), F.lit(name).alias("side"), F.col(c).alias("_all"))
     asked = side("lead", "lead").unionByName(side("court", "court"))
     asked = asked.withColumn("_head", F.array_contains(F.slice("_all", 1, used), F.col("term"))).drop("_all")
-    hits = index.select("term", "doc").distinct().join(asked, "term")
+    hits = index.join(asked.select("term").distinct(), "term", "left_semi").select("term", "doc").distinct().join(asked, "term")
     count = lambda s: F.count_if(F.col("side") == s)
     got = hits.groupBy("key", "doc").agg(count("lead").alias("lead_hits"), count("court").alias("court_hits"), F.max((F.col("side") == "lead") & F.col("_head")).alias("_l"), F.max((F.col("side") == "court") & F.col("_head")).alias("_c"))
     got = got.join(queries.select("key", "year", "ga", (F.size("court") > 0).alias("_asks")), "key").filter(F.col("_l") & (F.col("_c") | ~F.col("_asks")))
+    if "text" in docs.columns:
+        sides = got.select("key", "doc").join(queries.select("key", "lead", "court"), "key").groupBy("doc").agg(F.collect_list(F.struct("key", "lead", "court")).alias("_q"))  # queries at most
+        low = docs.select("doc", F.lower("text").alias("_t")).join(sides, "doc")
+        inside = lambda side: F.size(F.filter(F.array_distinct(side), lambda t: F.contains(F.col("_t"), t))).cast("long")
+        counts = low.select("doc", F.explode(F.transform("_q", lambda q: F.struct(q["key"].alias("key"), inside(q["lead"]).alias("lead_hits"), inside(q["court"]).alias("court_hits")))).alias("c")).select("doc", "c.*")
+        got = got.drop("lead_hits", "court_hits").join(counts, ["key", "doc"])
     got = got.join(docs.select("doc", F.col("year").alias("_y"), F.col("ga").alias("_g")), "doc")
     apart = F.least(F.abs(F.coalesce("_y", F.lit(0)) - F.coalesce("year", F.lit(0))), F.lit(10)).cast("double")
     score = F.col("lead_hits") * 3.0 + F.col("court_hits") * 2.0 - apart * F.lit(0.2) + F.when(F.col("ga") == F.col("_g"), 100.0).otherwise(0.0)

@@ -9,8 +9,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import case_key
+
 PAGES = "vol string, pdf_page int, printed_page int, text string, char_count int, reocr boolean"
-# Entities that the text of a page may have.
+# Entities that the text of a page may have. &amp; is read last, so that &amp;quot; is not read twice.
 ENTITIES = {"&nbsp;": " ", "&quot;": '"', "&#146;": "'", "&rsquo;": "'", "&#147;": '"', "&#148;": '"', "&amp;": "&"}
 
 
@@ -104,6 +106,14 @@ def links(df: DataFrame, key: str, html: str, pattern: str = r'href="([^"]*)"')
     return df.select(key, F.posexplode(found).alias("at", "href"))
 
 
+def keyed_links(df: DataFrame, html: str, pattern: str = r'href="(cases/((\d{4})-[^"/]*?)\.pdf)"[^>]*>([^<]*)<') -> DataFrame:
+    """SRC-9: key (case number), url, raw (file name), year and title of the links to case files; of equal keys the last wins."""
+    rows = df.select(F.posexplode(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(pattern), F.lit(0))).alias("_at", "a"))
+    part = lambda g: F.regexp_extract("a", pattern, g)
+    rows = rows.select("_at", case_key(part(2)).alias("key"), part(1).alias("url"), part(2).alias("raw"), part(3).cast("int").alias("year"), F.trim(part(4)).alias("title"))
+    return rows.groupBy("key").agg(F.max_by(F.struct("url", "raw", "year", "title"), "_at").alias("l")).select("key", "l.*")
+
+
 def anchors(rows: DataFrame, key: str = "vol", pattern: str = r'<a id="ga\d+-p(\d+)">') -> DataFrame:
     """SRC-13: key, line_no, page of numeric page anchors."""
     page = F.regexp_extract("line", pattern, 1)

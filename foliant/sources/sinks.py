@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+WHOLE = 200_000  # rows of a catalogue that is loaded whole
+
+
 def load_table(df: DataFrame, name: str, keys: list[str] | None = None) -> int:
     """SNK-1, SNK-2: replaces a table, clustered by keys in place of indexes; its number of rows."""
     ordered = df.repartition(*keys).sortWithinPartitions(*keys) if keys else df
@@ -17,7 +20,9 @@ def upsert_meta(spark: SparkSession, name: str, values: dict[str, str]) -> None:
     """SNK-3: sets keys of a small key-value table, if it exists."""
     if spark.catalog.tableExists(name):
         new = spark.createDataFrame(sorted(values.items()), "key string, value string")
-        rows = spark.table(name).join(new, "key", "left_anti").unionByName(new).collect()  # settings: a few rows
+        if spark.table(name).limit(WHOLE + 1).count() > WHOLE:
+            raise ValueError(f"{name} has more than {WHOLE} rows, so it is no table of settings")
+        rows = spark.table(name).join(new, "key", "left_anti").unionByName(new).collect()  # WHOLE rows at most
         spark.createDataFrame(rows, "key string, value string").write.mode("overwrite").saveAsTable(name)
 
 
@@ -38,7 +43,9 @@ def write_pages(df: DataFrame, path: str, name: str = "slug", text: str = "page"
 
 
 def json_array(df: DataFrame, order: list[str]) -> DataFrame:
-    """SNK-7: one row, a compact array of all rows. For catalogues that a browser loads whole; larger ones go to write_json_lines."""
+    """SNK-7: one row, a compact array of all rows. For catalogues that a browser loads whole: an error beyond WHOLE rows; larger ones go to write_json_lines."""
+    if df.limit(WHOLE + 1).count() > WHOLE:
+        raise ValueError(f"more than {WHOLE} rows; use write_json_lines")
     rows = F.transform(F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("k"), F.struct("*").alias("v")))), lambda x: x["v"])
     return df.agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("json"))
 
@@ -49,13 +56,13 @@ def grouped_listing(df: DataFrame, group: str, line, order: list[str]) -> DataFr
     return df.groupBy(group).agg(F.concat(F.lit("## "), F.first(group), F.lit("\n"), F.array_join(F.transform(rows, lambda x: x["_line"]), "\n")).alias("text"))
 
 
-def pack(parts: list[tuple[str, DataFrame]], text: str = "text") -> DataFrame:
-    """SNK-9: ordinal, name, text: named documents in the given order, as rows; write with one partition for one file."""
+def pack(parts: list[tuple[str, DataFrame]], text: str = "text", order: str | None = None) -> DataFrame:
+    """SNK-9: ordinal, name, text: named documents in the given order, those of one name by the column order (else by text); write with one partition for one file."""
     out = None
     for k, (name, df) in enumerate(parts):
-        one = df.select(F.lit(k).alias("ordinal"), F.lit(name).alias("name"), F.col(text).alias("text"))
+        one = df.select(F.lit(k).alias("ordinal"), F.lit(name).alias("name"), F.col(text).alias("text"), F.col(order or text).cast("string" if order is None else dict(df.dtypes)[order]).alias("_o"))
         out = one if out is None else out.unionByName(one)
-    return out.orderBy("ordinal")
+    return out.orderBy("ordinal", "_o").drop("_o")
 
 
 def backup_once(df: DataFrame, path: str) -> None:

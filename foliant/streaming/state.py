@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,19 +47,19 @@ def overrides(dates: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def keep_notes(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """STR-2, STR-3 on a stream: each micro-batch is folded into the table at path; a batch that runs again changes nothing.
-    States are numbered folders, so a reader never sees half a table; the newest is the last."""
-
-    def fold(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = batch.groupBy("key").agg(F.max_by(F.struct("text", "star", "lean", "seen", "ts"), F.struct("ts", "text")).alias("n")).select("key", "n.*")
-        if epoch:
-            old = spark.read.schema(new.schema).parquet(f"{path}/state={epoch - 1}")
-            both = old.withColumn("_old", F.lit(1)).unionByName(new.withColumn("_old", F.lit(0)))
-            new = both.groupBy("key").agg(F.max_by(F.struct("text", "star", "lean", "seen", "ts"), F.struct("ts", "_old")).alias("n")).select("key", "n.*")
-        new.write.mode("overwrite").parquet(f"{path}/state={epoch}")  # tombstones stay, so that late older rows do not come back
-
-    return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """STR-2, STR-3 on a stream: Spark's state store keeps the newest row of each key; each micro-batch writes only the keys that changed, to
+    batch=<n>, so a batch that runs again changes nothing. `latest_notes(read_notes(...))` is the state; tombstones stay, so late older rows do not come back."""
+    newest = stream.groupBy("key").agg(F.max_by(F.struct("text", "star", "lean", "seen", "ts"), F.struct("ts", "text")).alias("n")).select("key", "n.*")
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+
+    return newest.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_notes(spark: SparkSession, path: str) -> DataFrame:
+    """The changes that keep_notes wrote; to shorten them, write latest_notes of them as a batch of its own and drop the rest."""
+    return spark.read.parquet(path).drop("batch")
 
 
 def log_results(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
