@@ -14,7 +14,7 @@ No piece has a space after another character, or a line break, so the lattice fa
 
 Defined cases: a null or empty text has one row, sample 0, without pieces; texts with
 fewer than k segmentations give all they have; equal rows give equal samples; a null doc_id is a
-key of its own; the character U+2581 is written in bytes, so it is kept; an empty table gives no rows; other columns are ignored.
+key of its own; a very long text is whole, its lattice held by one task; the character U+2581 is written in bytes, so it is kept; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ WORD = 2**64 - 1
 CHUNK = 1 << 19
 NODES = 2_500_000
 _built: dict[tuple, "Vocabulary"] = {}
+_checked: set[bytes] = set()
 
 
 @dataclass
@@ -423,21 +424,39 @@ def start_of(u: Units, e: np.ndarray) -> np.ndarray:
 SCHEMA = "sample int, n_pieces int, log_prob double, perturbed double, threshold double, log_inclusion double, ids array<int>"
 
 
-def sample(docs: DataFrame, k: int = SAMPLES, model: Model | None = None, seed: int = SEED) -> DataFrame:
-    """doc_id and SCHEMA: up to k rows for each row of docs, best first.
+def check_units(model: Model) -> None:
+    """An error if a piece of the model would lie across the units: a space after another character, or a line break with others."""
+    import sentencepiece
+
+    if model.proto in _checked:
+        return
+    p = sentencepiece.SentencePieceProcessor()
+    p.LoadFromSerializedProto(model.proto)
+    for i in range(p.get_piece_size()):
+        piece = p.id_to_piece(i)
+        if not (p.is_control(i) or p.is_unknown(i) or p.is_unused(i) or p.is_byte(i)) and ("▁" in piece.lstrip("▁") or ("\n" in piece and piece != "\n")):
+            raise ValueError(f"the piece {piece!r} has a space or line break inside; texts are cut there")
+    _checked.add(model.proto)
+
+
+def sample(docs: DataFrame, k: int = SAMPLES, model: Model | None = None, seed: int = SEED, copy: str | None = None) -> DataFrame:
+    """doc_id and SCHEMA: up to k rows for each row of docs, best first. copy: an integer column that is part of the row key and comes after doc_id.
 
     threshold: the (k+1)-th perturbed bound (null if there is none); log_inclusion: the log of the chance
     that a segmentation of this probability exceeds it (0 without one).
     """
-    kind = dict(docs.dtypes)["doc_id"]
     proto = docs.sparkSession.sparkContext.broadcast((model or Model.read()).proto)  # a vocabulary file
-    keyed = docs.select("doc_id", "text", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key"))
+    check_units(model or Model.read())
+    own = ["doc_id"] + ([copy] if copy else [])
+    key = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *([F.col(copy).cast("long")] if copy else []))
+    keyed = docs.select(*own, "text", key.alias("key"))
+    kinds_of = ", ".join(f"`{c}` {t}" for c, t in keyed.dtypes if c in own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(proto.value)
         for batch in batches:
             keys = K.column(batch, "key").to_numpy().view(np.uint64)
-            ids = K.column(batch, "doc_id")
+            ids = [K.column(batch, x) for x in own]
             for c in K.chunks(K.column(batch, "text"), CHUNK):
                 u = units(c, v)
                 found = search(u, keys[c.first : c.first + c.n], k)
@@ -458,10 +477,10 @@ def sample(docs: DataFrame, k: int = SAMPLES, model: Model | None = None, seed:
                 lists = K.list_array(pa.array(u.piece[np.concatenate(paths)].astype(np.int32)), np.concatenate([[0], np.cumsum([len(x) for x in paths])]))
                 columns = list(zip(*rows))
                 kinds = [pa.int32(), pa.int32(), *[pa.float64()] * 4]
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), *(pa.array(x, t) for x, t in zip(columns, kinds)), lists], ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "threshold", "log_inclusion", "ids"])
+                yield pa.RecordBatch.from_arrays([*(x.take(pa.array(at)) for x in ids), *(pa.array(x, t) for x, t in zip(columns, kinds)), lists], [*own, "sample", "n_pieces", "log_prob", "perturbed", "threshold", "log_inclusion", "ids"])
         K.release()
 
-    return keyed.mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
+    return keyed.mapInArrow(run, f"{kinds_of}, {SCHEMA}")
 
 
 def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 import bisect
+import math
 import random
 import re
 import textwrap
@@ -53,6 +54,36 @@ def test_samples_of_a_short_text_follow_their_probabilities(docs):
     assert p.sum() <= 1 + 1e-6 and ((seen["n"] / n - p).abs() < 4 * (p * (1 - p) / n) ** 0.5 + 1e-3).all()
 
 
+def test_three_samples_follow_the_law_of_drawing_without_replacement(docs):
+    """Of a small lattice: how often each ordered triple comes, and how often each segmentation is among the three, beside its inclusion score."""
+    n = 3000
+    got = pieces.sample(docs([(i, "aaa") for i in range(n)]), k=3).toPandas()
+    p = {}
+    for ids, x in zip(got["ids"].map(tuple), got["log_prob"]):
+        p[ids] = math.exp(x)
+    assert abs(sum(p.values()) - 1) < 1e-5 and len(p) >= 4  # all ways to write ' aaa' came up
+    order = got.sort_values(["doc_id", "sample"]).groupby("doc_id")["ids"].apply(lambda x: tuple(map(tuple, x)))
+    seen = order.value_counts()
+    for way, count in seen.items():
+        q, left = 1.0, 1.0
+        for ids in way:
+            q, left = q * p[ids] / left, left - p[ids]
+        assert abs(count / n - q) < 5 * (q * (1 - q) / n) ** 0.5 + 2e-3
+    estimate = got.assign(w=1 / got["log_inclusion"].map(math.exp)).groupby(got["ids"].map(tuple))["log_prob"].size()
+    weights = got.assign(w=[math.exp(a - b) for a, b in zip(got["log_prob"], got["log_inclusion"])])
+    total = weights.groupby("doc_id")["w"].sum()  # probabilities over inclusion chances add up to 1 on average
+    assert len(estimate) == len(p) and abs(total.mean() - 1) < 5 * total.std() / n**0.5 + 1e-3
+
+
+def test_copies_draw_samples_of_their_own_and_encode_round_trips(spark, docs):
+    rows = spark.createDataFrame([(7, "some longer words in a row", c) for c in (1, 2, 3)], "doc_id long, text string, copy_no int")
+    got = pieces.sample(rows, copy="copy_no").toPandas()
+    assert got.columns[:2].tolist() == ["doc_id", "copy_no"] and len({tuple(x) for x in got.loc[got["sample"] == 1, "ids"]}) > 1
+    plain = [t for t in TEXTS if t is None or "▁" not in t and "\t" not in t]
+    back = {r.doc_id: r.text for r in pieces.decode(pieces.encode(docs(plain))).collect()}
+    assert back == {i: t or "" for i, t in enumerate(plain)}
+
+
 def repeats(words, least):
     """Covered words and the longest repeat, by comparing all pairs of places."""
     n, inside, longest = len(words), set(), 0
@@ -274,6 +305,28 @@ def test_pipeline_stage_by_stage(spark):
     before, after = done["mixing"]
     assert set(after.columns) == set(p.COLUMNS) and after.select("doc_id").subtract(before.select("doc_id")).count() == 0
     before, after = done["sentencepiece"]
+    keys = after.select("doc_id", "copy_no").distinct()
+    assert keys.count() == before.count() and keys.groupBy("doc_id").max("copy_no").agg({"max(copy_no)": "max"}).first()[0] > 1
     texts = {r.doc_id: r.text or "" for r in before.collect()}
     back = pieces.decode(after).select("doc_id", "text").collect()
     assert {r.doc_id for r in back} == set(texts) and all(r.text == texts[r.doc_id] for r in back)
+
+
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, null and empty texts, null sources, repeated rows, labels without rows and extra columns."""
+    import corpus_pipeline as p
+
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kind = "doc_id long, text string, lang string, source string, n_chars long, kept string, rank int"
+    long = "very long text " * 20_000
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "one two three four five six", "en", "a", 5), (3, "one two three four five six", "en", "a", 5), (None, "null id here", "en", None, 3), (9, long, "en", "b", len(long))]
+    for table in ([], rows):
+        docs = spark.createDataFrame([(*r, "k", 1) for r in table], kind)
+        for name, stage in p.STAGES:
+            before = docs
+            docs = p.materialize(stage(spark, docs, str(tmp_path)), "odd")
+            if name != "sentencepiece":
+                assert docs.columns == p.COLUMNS
+            if name in ("quality classifier", "exact dedup"):
+                assert docs.count() == {"quality classifier": len(table), "exact dedup": 4 if table else 0}[name]
+        assert docs.select("doc_id").distinct().count() == before.select("doc_id").distinct().count()
