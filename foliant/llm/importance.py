@@ -3,15 +3,16 @@
 Tokens (runs of punctuation or of other characters, A-Z lower-cased) and pairs of neighbours are
 hashed into `buckets`. The target model is counted on a bounded sample of labelled good documents,
 the raw model on every document. A document's log weight is the sum over its n-grams of
-log p_target - log p_raw, where both counts, brought to the same total, get `smoothing` more: rare
-n-grams, seen in the sample by chance, then say little. Gumbel top-k takes
+log p_target - log p_raw, where both counts, brought to the same total, get `smoothing` more. An n-gram
+counts 0 unless its target count is SURE deviations from what the raw model expects: differences that
+chance explains would add up over a long text. Gumbel top-k takes
 the k documents with the largest log weight + Gumbel noise hashed from (seed, doc_id): a sample
-without replacement in proportion to the weights. k is `keep` x rows, or by default the
-share of documents of quality 1 among the labelled sample, and SLACK more.
+without replacement in proportion to the weights. k is `keep` x rows, or by default the number of documents
+that are above all but a LOST share of the labelled good ones (quality 1, not toxic).
 
 Defined cases: a null or empty text has no n-grams and log weight 0; a null doc_id hashes as empty;
-rows equal in doc_id and text tie, and all rows that tie with the k-th stay; without good labels, every
-log weight is 0 and only noise decides; without labels, all rows are kept; an empty table gives no rows; other columns are carried by `select`.
+rows equal in doc_id and text tie, and all rows that tie with the k-th stay; a very long text is whole, one row of one task; without
+good labels, every log weight is 0, and all rows are kept unless `keep` is given; an empty table gives no rows; other columns are carried by `select`.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .shared import materialize
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 LABELLED = 20_000
-SMOOTHING = 100.0
-SLACK = 0.02
+SMOOTHING = 3.0
+SURE = 3.0
+LOST = 0.01
 SEED = 11
 
 
@@ -42,17 +44,16 @@ def features(chunk: K.Chunk, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample_labels(labels: DataFrame, most: int = LABELLED) -> DataFrame:
-    """At most `most` labelled rows, those with the smallest hash of doc_id: doc_id, fine (quality 1), good (and not toxic)."""
-    fine = F.coalesce("quality", F.lit(0)) == 1
-    good = fine & (F.coalesce("toxic", F.lit(0)) == 0)
-    rows = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(fine).alias("fine"), F.min(good).alias("good"))
+    """At most `most` labelled rows, those with the smallest hash of doc_id: doc_id, good (quality 1 and not toxic)."""
+    good = (F.coalesce("quality", F.lit(0)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+    rows = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(good).alias("good"))
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int = LABELLED) -> tuple[np.ndarray, np.ndarray, float | None]:
-    """Counts of the target and of the raw text by bucket, and the share of labelled rows of quality 1. Only `buckets` rows reach the driver."""
-    labelled = materialize(sample_labels(labels, most), "labels")
-    marked = docs.select("doc_id", "text").join(F.broadcast(labelled.filter("good")), "doc_id", "left")  # `most` rows at most
+def models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int = LABELLED) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """Counts of the target and of the raw text by bucket, and the ids of the labelled good rows. Only `buckets` rows reach the driver."""
+    labelled = materialize(sample_labels(labels, most).filter("good"), "labels", most)
+    marked = docs.select("doc_id", "text").join(F.broadcast(labelled), "doc_id", "left")  # `most` rows at most
     marked = marked.select("text", F.col("good").isNotNull().alias("good"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,17 +72,21 @@ def models(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, most: int
     pdf = found.toPandas()
     target, raw = np.zeros(buckets), np.zeros(buckets)
     target[pdf["bucket"].to_numpy(np.int64)], raw[pdf["bucket"].to_numpy(np.int64)] = pdf["target"].to_numpy(), pdf["raw"].to_numpy()
-    share = labelled.agg(F.avg(F.col("fine").cast("double"))).first()[0]
-    return target, raw, share
+    return target, raw, labelled
+
+
+def ratios(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
+    """log p_target - log p_raw of each bucket, 0 where the difference is not sure."""
+    if not target.sum():
+        return np.zeros(len(raw))
+    expected = raw * (target.sum() / raw.sum())
+    sure = np.abs(target - expected) >= SURE * np.sqrt(expected + 1)
+    return np.where(sure, np.log(target + smoothing) - np.log(expected + smoothing), 0.0)
 
 
 def log_weights(docs: DataFrame, target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING, seed: int = SEED) -> DataFrame:
     """doc_id, n_grams, log_weight, key = log_weight + Gumbel noise."""
-    if target.sum():
-        table = np.log(target + smoothing) - np.log(raw * (target.sum() / raw.sum()) + smoothing)
-    else:
-        table = np.zeros(len(raw))
-    held = docs.sparkSession.sparkContext.broadcast(table)  # one number for each bucket
+    held = docs.sparkSession.sparkContext.broadcast(ratios(target, raw, smoothing))  # one number for each bucket
     kind = dict(docs.dtypes)["doc_id"]
     ided = docs.select("doc_id", "text", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"))
 
@@ -126,14 +131,15 @@ def kth_largest(keys: DataFrame, k: int) -> float | None:
 
 def classify(docs: DataFrame, labels: DataFrame, keep: float | None = None, buckets: int = BUCKETS, most: int = LABELLED, smoothing: float = SMOOTHING, seed: int = SEED) -> DataFrame:
     """doc_id, n_grams, log_weight, key, kept: one row for each row of docs."""
-    target, raw, share = models(docs, labels, buckets, most)
+    target, raw, good = models(docs, labels, buckets, most)
     scored = materialize(log_weights(docs, target, raw, smoothing, seed), "weights")
-    rate = keep if keep is not None else 1.0 if share is None else min(1.0, share + SLACK)
-    n = scored.count()
-    k = min(n, int(np.ceil(rate * n)))
-    least = kth_largest(scored, k) if 0 < k < n else None
-    kept = F.lit(k == n) if least is None else F.col("key") >= F.lit(least)
-    return scored.withColumn("kept", kept)
+    if keep is None:
+        least = scored.join(F.broadcast(good), "doc_id").agg(F.percentile("key", F.lit(LOST))).first()[0]  # `most` ids at most; k is how many are above
+    else:
+        n = scored.count()
+        k = min(n, int(np.ceil(keep * n)))
+        least = kth_largest(scored, k) if 0 < k < n else -np.inf if k else np.inf
+    return scored.withColumn("kept", F.lit(True) if least is None else F.col("key") >= F.lit(float(least)))
 
 
 def select(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
