@@ -2,9 +2,10 @@
 
 Training runs in three Spark jobs. (1) Words are counted; the vocabulary is written as sorted arrays of
 64-bit hashes, cut by their leading bits into files of about a million; a word's id is its place.
-(2) Bigrams are counted in each partition, packed by ranges of the first word into blocks (sorted,
+(2) Bigrams are counted in each partition, packed by ranges into blocks (sorted,
 differenced, compressed), shuffled and merged; each range is written as a sorted array of
-packed pairs with counts, with totals of each first word. (3) The numbers of different first words of each word are
+packed pairs with counts, with totals of each first word. Ranges are cut by the words' counts, so each has
+about PENDING tokens or fewer; a word of more is cut by second word, and its totals are added up. (3) The numbers of different first words of each word are
 packed, shuffled and merged likewise. Workers map the files read-only and search sorted queries.
 The files lie in the shared folder (spark.checkpoint.dir), which must be mounted as files on all workers.
 
@@ -12,7 +13,7 @@ Training tokens of a text are its words (A-Z lower-cased) and one end; the first
 The unigram level is the continuation distribution, interpolated with 1 / (V + 1).
 
 Defined cases: a null or empty text has the end token only; a null doc_id is held out like id "";
-rows are scored one by one, equal rows alike; without training rows, each token has probability 1; an
+rows are scored one by one, equal rows alike; a very long text is whole, one row of one task; without training rows, each token has probability 1; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -46,7 +47,9 @@ class Model:
     path: str
     bits: int
     starts: list[int]  # first id of each vocabulary file, and V
-    ranges: int
+    cuts: list[int]  # packed pairs at which the ranges begin, and the end of all
+    full: frozenset[int]  # the ranges that have bigrams
+    hot: dict[int, list[int]]  # total, n1, n2, n3 of first words that are cut by second word
     tokens: int
     discounts: tuple[float, float, float]
     below: tuple[float, float, float]  # discounts of the continuation counts
@@ -57,9 +60,13 @@ class Model:
     def size(self) -> int:
         return self.starts[-1]
 
-    def cut(self, k: int) -> int:
-        """First id of range k of the V + 1 first words (the last is the begin mark)."""
-        return -(-k * (self.size + 1) // self.ranges)
+    @property
+    def ranges(self) -> int:
+        return len(self.cuts) - 1
+
+    def low(self, k: int) -> int:
+        """The first word at which range k begins."""
+        return self.cuts[k] // (self.size + 1)
 
 
 def save(path: str, values: np.ndarray) -> None:
@@ -102,18 +109,20 @@ class Files:
         return out
 
     def pairs(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of bigrams sorted by (first, second), and total, n1, n2, n3 of their first words."""
+        """Counts of bigrams sorted by (first, second), and total, n1, n2, n3 of their first words. Ranges without bigrams have no files."""
         m = self.model
         counts, sums = np.zeros(len(first), np.int64), np.zeros((4, len(first)), np.int64)
-        cuts = np.searchsorted(first, [m.cut(k) for k in range(m.ranges + 1)])
+        asked = first * np.int64(m.size + 1) + second
+        cuts = np.searchsorted(asked, m.cuts)
         for k in range(m.ranges):
             at = slice(cuts[k], cuts[k + 1])
-            if cuts[k] < cuts[k + 1]:
-                known, asked = self.get(f"pair-{k}"), first[at] * np.int64(m.size + 1) + second[at]
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-                    counts[at] = np.where(known[place] == asked, self.get(f"times-{k}")[place], 0)
-                sums[:, at] = self.get(f"first-{k}")[:, first[at] - m.cut(k)]
+            if cuts[k] < cuts[k + 1] and k in m.full:
+                known = self.get(f"pair-{k}")
+                place = np.minimum(np.searchsorted(known, asked[at]), len(known) - 1)
+                counts[at] = np.where(known[place] == asked[at], self.get(f"times-{k}")[place], 0)
+                sums[:, at] = self.get(f"first-{k}")[:, first[at] - m.low(k)]
+        for word, of in m.hot.items():
+            sums[:, slice(*np.searchsorted(first, [word, word + 1]))] = np.array(of)[:, None]
         return counts, sums
 
 
@@ -193,8 +202,8 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
 
-def write_words(counts: DataFrame, path: str) -> tuple[int, list[int], int]:
-    """Vocabulary files of sorted hashes (word-k) and counts (count-k). Bits of the cut, first ids, tokens."""
+def write_words(counts: DataFrame, path: str) -> tuple[int, list[int], list[tuple[int, int]], int]:
+    """Vocabulary files of sorted hashes (word-k) and counts (count-k). Bits of the cut, first ids, marks (id, count so far: about four for PENDING tokens), tokens."""
     bits = max(0, int(np.ceil(np.log2(max(1, counts.count() / PER_FILE)))))
     file = F.shiftrightunsigned("w", 64 - bits).cast("int") if bits else F.lit(0)
 
@@ -203,14 +212,37 @@ def write_words(counts: DataFrame, path: str) -> tuple[int, list[int], int]:
         order = np.argsort(w)
         save(f"{path}/word-{k}.npy", w[order])
         save(f"{path}/count-{k}.npy", pdf["n"].to_numpy(np.int64)[order])
-        return pd.DataFrame({"k": [k], "words": [len(w)], "tokens": [int(pdf["n"].sum())]})
-
-    done = materialize(counts.withColumn("k", file).groupBy("k").applyInPandas(write, "k int, words long, tokens long"), "words").collect()  # a row for each file
-    sizes = {r["k"]: r["words"] for r in done}
-    starts = [0]
+        so_far = np.cumsum(pdf["n"].to_numpy(np.int64)[order])
+        steps = so_far // max(1, PENDING // 4)
+        at = np.nonzero(np.diff(steps, prepend=0))[0]  # the words at which the count passes a step
+        return pd.DataFrame({"k": [k], "words": [len(w)], "tokens": [int(so_far[-1])], "at": [at.tolist()], "upto": [so_far[at].tolist()], "n": [pdf["n"].to_numpy(np.int64)[order][at].tolist()]})
+
+    kind = "k int, words long, tokens long, at array<long>, upto array<long>, n array<long>"
+    done = materialize(counts.withColumn("k", file).groupBy("k").applyInPandas(write, kind), "words").collect()  # a row for each file, four numbers for PENDING tokens
+    of, starts, marks, total = {r["k"]: r for r in done}, [0], [], 0
     for k in range(1 << bits):
-        starts.append(starts[-1] + sizes.get(k, 0))
-    return bits, starts, sum(r["tokens"] for r in done)
+        if k in of:
+            marks += [(starts[-1] + i, n) for i, n in zip(of[k]["at"], of[k]["n"])]
+            total += of[k]["tokens"]
+        starts.append(starts[-1] + (of[k]["words"] if k in of else 0))
+    return bits, starts, marks, total
+
+
+def cut_ranges(marks: list[tuple[int, int]], size: int) -> tuple[list[int], list[int]]:
+    """The packed pairs at which ranges begin, and the first words that lie in several. Every fourth mark ends a range; a word of more than PENDING
+    tokens has ranges of its own, cut at the marks as second words, which are about evenly frequent."""
+    wide, cuts, hot, since = size + 1, {0}, [], 0
+    for word, n in marks:
+        since += 1
+        if n > PENDING:
+            parts = -(-n // PENDING)
+            seconds = {marks[j * len(marks) // parts][0] for j in range(1, parts)}
+            cuts |= {word * wide, (word + 1) * wide} | {word * wide + x for x in seconds}
+            hot.append(word)
+        elif since >= 4:
+            cuts.add((word + 1) * wide)
+        since = 0 if n > PENDING or since >= 4 else since
+    return sorted(cuts | {size * wide, wide * wide}), hot
 
 
 def of_counts(c: np.ndarray) -> list[int]:
@@ -239,7 +271,7 @@ def count_pairs(docs: DataFrame, model: Model) -> DataFrame:
                 _, ids, before = tokens(c, files)
                 tally.add(before * wide + ids)
         keys, counts = tally.merge()
-        cuts = np.searchsorted(keys, np.array([model.cut(k) for k in range(model.ranges + 1)]) * wide)
+        cuts = np.searchsorted(keys, model.cuts)
         rows = [(k, pack(keys[a:b]), pack(counts[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))], ["k", "keys", "counts"])
         K.release()
@@ -247,22 +279,27 @@ def count_pairs(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("text").mapInArrow(run, "k int, keys binary, counts binary")
 
 
-def write_pairs(packed: DataFrame, model: Model) -> DataFrame:
-    """Writes pair-k, times-k and first-k. Rows: j, ids, counts (packed numbers of first words by word, in vocabulary file j), or, with j null, sums."""
+def write_pairs(packed: DataFrame, model: Model, hot: list[int]) -> DataFrame:
+    """Writes pair-k, times-k and first-k. Rows: j, ids, counts (packed numbers of first words by word, in vocabulary file j), or, with j null, sums, and
+    with j -1 the word and the range's part of the totals of a word in several ranges."""
+
+    own = set(hot)
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         k, wide = int(pdf["k"].iloc[0]), np.int64(model.size + 1)
         keys, counts = summed([unpack(x) for x in pdf["keys"]], [unpack(x) for x in pdf["counts"]])
-        low, n = model.cut(k), model.cut(k + 1) - model.cut(k)
+        low, n = model.low(k), -(-model.cuts[k + 1] // int(wide)) - model.low(k)
         first, second = keys // wide - low, keys % wide
         by = lambda weights=None: np.bincount(first, weights, minlength=n).astype(np.int64)
         save(f"{model.path}/pair-{k}.npy", keys)
         save(f"{model.path}/times-{k}.npy", counts.astype(np.uint32 if counts.max(initial=0) < 2**32 else np.int64))
-        save(f"{model.path}/first-{k}.npy", np.stack([by(counts), by(counts == 1), by(counts == 2), by(counts >= 3)]))
+        totals = np.stack([by(counts), by(counts == 1), by(counts == 2), by(counts >= 3)])
+        save(f"{model.path}/first-{k}.npy", totals)
         words, of = np.unique(second, return_counts=True)
         cuts = np.searchsorted(words, model.starts)
         rows = [(j, pack(words[a:b]), pack(of[a:b]), None) for j, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
-        rows.append((None, None, None, [len(keys), *of_counts(counts)]))
+        rows.append((None, None, None, [k, len(keys), *of_counts(counts)]))
+        rows += [(-1, None, None, [low, *totals[:, 0].tolist()])] if low in own and n == 1 else []
         return pd.DataFrame(rows, columns=["j", "ids", "counts", "sums"]).astype({"j": "Int32"})
 
     return packed.groupBy("k").applyInPandas(write, "j int, ids binary, counts binary, sums array<long>")
@@ -279,7 +316,7 @@ def write_below(rows: DataFrame, model: Model) -> DataFrame:
         save(f"{model.path}/below-{j}.npy", dense)
         return pd.DataFrame({"sums": [[int((dense >= 3).sum()), *of_counts(dense)]]})
 
-    return rows.filter("j is not null").groupBy("j").applyInPandas(write, "sums array<long>")
+    return rows.filter("j >= 0").groupBy("j").applyInPandas(write, "sums array<long>")
 
 
 def train(docs: DataFrame, folder: str | None = None) -> Model:
@@ -291,16 +328,22 @@ def train(docs: DataFrame, folder: str | None = None) -> Model:
     path = f"{path}/foliant/ngrams-{uuid.uuid4().hex}"
     os.makedirs(path)
     counts = materialize(count_words(docs), "counts")
-    bits, starts, n = write_words(counts, path)
-    model = Model(path, bits, starts, max(1, -(-n // PENDING)), n, (0.5, 0.75, 0.9), (0.5, 0.75, 0.9), 0, 1.0)
+    bits, starts, marks, n = write_words(counts, path)
+    texts = counts.filter(F.col("w") == int(END.astype(np.int64))).first()
+    cuts, hot = cut_ranges([*marks, (starts[-1], texts["n"] if texts else 0)], starts[-1])  # the begin mark comes last, once a text
+    model = Model(path, bits, starts, cuts, frozenset(), {}, n, (0.5, 0.75, 0.9), (0.5, 0.75, 0.9), 0, 1.0)
     if not n:
         return model
-    rows = materialize(write_pairs(count_pairs(docs, model), model), "pairs")
+    rows = materialize(write_pairs(count_pairs(docs, model), model, hot), "pairs")
+    totals: dict[int, list[int]] = {}
+    for word, *of in (r["sums"] for r in rows.filter("j = -1").select("sums").collect()):  # a row for each range of a hot word
+        totals[word] = [a + b for a, b in zip(totals.get(word, [0] * 4), of)]
     add = lambda df: np.sum([r["sums"] for r in df.select("sums").collect()], axis=0).tolist()  # noqa: E731  # a row for each file
-    types, *of = add(rows.filter("j is null"))
+    full = frozenset(r["sums"][0] for r in rows.filter("j is null").select("sums").collect())
+    _, types, *of = add(rows.filter("j is null"))
     three, *below = add(materialize(write_below(rows, model), "below"))
     d = discounts(below)
-    return Model(path, bits, starts, model.ranges, n, discounts(of), d, types, (d[0] * below[0] + d[1] * below[1] + d[2] * three) / types)
+    return Model(path, bits, starts, cuts, full, totals, n, discounts(of), d, types, (d[0] * below[0] + d[1] * below[1] + d[2] * three) / types)
 
 
 def score_chunk(chunk: K.Chunk, files: Files) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -320,7 +363,7 @@ def score_chunk(chunk: K.Chunk, files: Files) -> tuple[np.ndarray, np.ndarray, n
     both = np.nonzero((first >= 0) & (second >= 0))[0]
     counts, sums = np.zeros(len(keys), np.int64), np.zeros((4, len(keys)), np.int64)
     known = np.nonzero(first >= 0)[0]
-    counts[known], sums[:, known] = files.pairs(first[known], np.where(second >= 0, second, m.size)[known])
+    counts[known], sums[:, known] = files.pairs(first[known], np.maximum(second, 0)[known])
     counts[np.setdiff1d(known, both, assume_unique=True)] = 0
     total = np.maximum(sums[0], 1)
     back = np.where(sums[0] > 0, (np.array(m.discounts) @ sums[1:]) / total, 1.0)

@@ -74,7 +74,10 @@ def test_kneser_ney_against_dictionaries(spark, docs, monkeypatch):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(150)], [1 / (k + 1) for k in range(150)], k=rng.randint(0, 40)))) for i in range(120)]
     rows += [(500, None), (501, ""), (502, "W1 w1 W1"), (503, "unseen words only"), (None, "w1 w2"), (504, "w3 " * 9000)]
+    rows += [(600 + i, f"hot w{i % 90} hot W{i % 7}") for i in range(400)]  # a first word, and the begin mark, of far more than PENDING tokens
     check_scores(spark, docs(rows).repartition(5), rows)
+    model = kneser_ney.train(docs(rows))
+    assert len(model.hot) >= 2 and model.size in model.hot
 
 
 def test_kneser_ney_on_the_documents(spark):
