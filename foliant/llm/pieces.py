@@ -38,7 +38,7 @@ SEED = 23
 STOP = 0xFF
 WORD = 2**64 - 1
 CHUNK = 1 << 19
-NODES = 2_500_000
+NODES = 1_500_000
 _built: dict[tuple, "Vocabulary"] = {}
 _checked: set[bytes] = set()
 
