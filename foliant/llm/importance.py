@@ -31,7 +31,7 @@ BUCKETS = 1 << 18
 LABELLED = 20_000
 SMOOTHING = 3.0
 SURE = 3.0
-LOST = 0.01
+LOST = 0.003
 SEED = 11
 
 
