@@ -262,6 +262,18 @@ def alias_contains_join(spark, d):
     return joins.alias_matches(docs(spark, d), "doc_id", "text", passages(spark, d))
 
 
+SHORT_ALIASES = r"SELECT item_id AS alias_id, regexp_extract(text, CASE item_id % 3 WHEN 0 THEN '^\S+' WHEN 1 THEN '^\S+ \S+' ELSE '^\S+ \S+ \S+' END) AS alias FROM benchmark"
+
+
+@query(f"WITH a AS ({SHORT_ALIASES}) SELECT alias_id, doc_id FROM a JOIN documents d ON contains(lower(d.text), lower(a.alias))")
+def alias_short_join(spark, d):
+    """JN-20 with aliases of one to three words: how each passage begins."""
+    b = table(spark, d, "benchmark")
+    of = lambda n: F.regexp_extract("text", r"^\S+" + r" \S+" * (n - 1), 0)
+    alias = F.when(F.col("item_id") % 3 == 0, of(1)).when(F.col("item_id") % 3 == 1, of(2)).otherwise(of(3))
+    return joins.alias_matches(docs(spark, d), "doc_id", "text", b.select(F.col("item_id").alias("alias_id"), alias.alias("alias")))
+
+
 @query("SELECT item_id AS alias_id FROM benchmark b WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE contains(lower(d.text), lower(b.text)))")
 def roster_gaps(spark, d):
     gaps, _, _ = joins.reconcile(passages(spark, d), alias_contains_join(spark, d), docs(spark, d).select("doc_id"), "doc_id")
