@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import chat, exact_dedup, importance, kneser_ney, licenses, merkle, mixing, near_dedup, pieces, repetition
 from .shared import UPPER
 
-DAMAGED = 97  # op7's replica is damaged where page_id is a multiple of this
+DAMAGED, LOST, ADDED = 97, 101, 103  # where page_id is a multiple of these, op7's replica is damaged, lacks the record or has one more
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +45,11 @@ def op6_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages against a replica that is damaged at known places."""
+    """The pages against a replica that is damaged, lacks records and has others at known places."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    replica = pages.withColumn("html", F.when(F.col("page_id") % DAMAGED == 0, F.concat("html", F.lit("!"))).otherwise(F.col("html")))
+    at = lambda k: F.coalesce(F.col("page_id") % k == 0, F.lit(False))
+    left = pages.filter(~at(LOST)).withColumn("html", F.when(at(DAMAGED), F.concat("html", F.lit("!"))).otherwise(F.col("html")))
+    replica = left.unionByName(pages.filter(at(ADDED)).withColumn("html", F.lit("more")))
     return merkle.fixity(pages, replica).select("page_id", "rec_no", F.col("start").alias("from_byte"), "size", F.col("digest").alias("record_sha256"), "state")
 
 
@@ -77,6 +79,19 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC) = 1 AS kept, text_sha256
 FROM (SELECT doc_id, sha256({LOWERED}) AS text_sha256 FROM documents) WINDOW g AS (PARTITION BY text_sha256)"""
 
+NEAR_DEDUP = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) BETWEEN 1 AND 2 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS t FROM w),
+class AS (SELECT row_number() OVER () AS c, t, len(t) AS n, min(doc_id) AS rep FROM s WHERE len(t) > 0 GROUP BY t),
+token AS (SELECT c, n, unnest(t) AS x FROM class),
+link AS (SELECT a.c AS a, b.c AS b FROM token a JOIN token b ON a.x = b.x AND a.c <> b.c AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+         GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT c, c AS o FROM class UNION SELECT reach.c, link.b FROM reach JOIN link ON reach.o = link.a),
+least AS (SELECT reach.c, min(class.rep) AS component_id FROM reach JOIN class ON reach.o = class.c GROUP BY reach.c)
+SELECT doc_id, CAST(len(s.t) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept
+FROM s LEFT JOIN class ON class.t = s.t LEFT JOIN least USING (c)"""
+
 CHAT = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -88,15 +103,23 @@ g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text ||
 SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g"""
 
 MERKLE = f"""
-WITH r AS (
-  SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), '')
+WITH p AS (
+  SELECT 'a' AS side, page_id, url, html FROM pages
+  UNION ALL SELECT 'b', page_id, url, CASE WHEN page_id % {DAMAGED} = 0 THEN html || '!' ELSE html END FROM pages WHERE NOT coalesce(page_id % {LOST} = 0, false)
+  UNION ALL SELECT 'b', page_id, url, 'more' FROM pages WHERE page_id % {ADDED} = 0),
+r AS (
+  SELECT side, page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), '')
     || '>' || chr(13) || chr(10) || 'WARC-Date: 2000-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || regexp_replace(coalesce(url, ''), '[\\r\\n]', '%20', 'g')
     || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR)
-    || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS t FROM pages),
-d AS (SELECT page_id, CAST(strlen(t) AS BIGINT) AS size, sha256(t) AS record_sha256 FROM r)
-SELECT page_id, row_number() OVER w - 1 AS rec_no, CAST(sum(size) OVER w - size AS BIGINT) AS from_byte, size, record_sha256,
-       CASE WHEN page_id % {DAMAGED} = 0 THEN 'differs' ELSE 'same' END AS state
-FROM d WINDOW w AS (ORDER BY page_id NULLS FIRST, record_sha256 ROWS UNBOUNDED PRECEDING)"""
+    || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS t FROM p),
+d AS (SELECT side, page_id, CAST(strlen(t) AS BIGINT) AS size, sha256(t) AS record_sha256 FROM r),
+placed AS (SELECT *, row_number() OVER w - 1 AS rec_no, CAST(sum(size) OVER w - size AS BIGINT) AS from_byte, row_number() OVER (PARTITION BY side, page_id, record_sha256) AS k
+           FROM d WINDOW w AS (PARTITION BY side ORDER BY page_id NULLS FIRST, record_sha256 ROWS UNBOUNDED PRECEDING)),
+met AS (SELECT *, count(*) OVER (PARTITION BY page_id, record_sha256, k) = 2 AS twice FROM placed),
+alone AS (SELECT *, row_number() OVER (PARTITION BY side, page_id ORDER BY record_sha256) AS j FROM met WHERE NOT twice),
+paired AS (SELECT *, count(*) OVER (PARTITION BY page_id, j) = 2 AS changed FROM alone)
+SELECT page_id, rec_no, from_byte, size, record_sha256, 'same' AS state FROM met WHERE twice AND side = 'a'
+UNION ALL SELECT page_id, rec_no, from_byte, size, record_sha256, CASE WHEN changed THEN 'differs' WHEN side = 'a' THEN 'missing' ELSE 'extra' END FROM paired WHERE side = 'a' OR NOT changed"""
 
 UNIFORM = "(CAST('0x' || substr(md5('{seed}|{what}|' || {key}), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE"
 MIXING = f"""
@@ -112,4 +135,4 @@ SELECT doc_id, text, lang, source, n_chars, copy_no, md5('{mixing.SEED}|o|' || k
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP, "op5_chat_prefix_tree": CHAT, "op7_merkle_fixity": MERKLE, "op8_license_rules": licenses.oracle(), "op10_poisson_mixing": MIXING}
+    return {"op3_exact_dedup": EXACT_DEDUP, "op4_near_dedup": NEAR_DEDUP, "op5_chat_prefix_tree": CHAT, "op7_merkle_fixity": MERKLE, "op8_license_rules": licenses.oracle(), "op10_poisson_mixing": MIXING}
