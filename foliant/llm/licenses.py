@@ -1,14 +1,13 @@
 """Licence recognition from sentences, in DataFrame functions only.
 
-A text is normalised (A-Z lower-cased, runs of other than a-z and 0-9 to one space, so comment
-leaders go) and cut at ends of clauses and lines. A known licence sentence is found where it is a
+A text is normalised (A-Z lower-cased, comment leaders and runs of other than a-z and 0-9 to one
+space) and cut at ends of clauses and lines. A known licence sentence is found where it is a
 run of whole pieces inside one paragraph: on one line or wrapped, and with marks as in 'v. 2.0'
 or 'free software: you can' inside it; of runs that overlap, the first counts, and the longest
-that begins there. The SQL knows pieces of one line only. A document's identifiers,
-in order, are held against ordered rules: a rule matches if its identifiers occur in its order,
+that begins there. A document's identifiers, in order, are held against ordered rules: a rule matches if its identifiers occur in its order,
 others between them or not. A rule that is a part of another matched rule is left out.
 
-Defined cases: a null or empty text has no sentences and no licence; repeated sentences repeat
+Defined cases: a null or empty text has no sentences and no licence; a very long text is whole, one row of one task; repeated sentences repeat
 their identifier; rows with equal ids are rows of their own; an empty table gives no rows; other
 columns are ignored.
 """
@@ -18,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import lower_ascii
+from .shared import UPPER, lower_ascii
 
 # Sentences of public licence texts and notices, normalised, with our identifiers.
 SENTENCES = {
@@ -55,6 +54,16 @@ SENTENCES = {
     "licensed under cc by sa 4 0": "ccbysa4-ref",
     "this work is licensed under a creative commons attribution 4 0 international license": "ccby4-ref",
     "this is free and unencumbered software released into the public domain": "unlicense-grant",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "lgpl21-grant",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "lgpl-warranty",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3-grant",
+    "licensed under the gnu affero general public license version 3": "agpl3-ref",
+    "licensed under the gnu lesser general public license version 3": "lgpl3-ref",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "this software is provided as is without any express or implied warranty": "zlib-asis",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "bsl1-grant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl2-ref",
+    "licensed under cc0 1 0": "cc0-ref",
 }
 # Rule name, licence, identifiers in order, and the rules that it is a part of.
 RULES = [
@@ -65,19 +74,27 @@ RULES = [
     ("bsd2-text", "BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-asis"], ["bsd3-text"]),
     ("apache2-header", "Apache-2.0", ["apache2-ref", "apache2-comply", "apache2-obtain", "apache2-asis"], []),
     ("apache2-notice", "Apache-2.0", ["apache2-ref"], ["apache2-header"]),
-    ("gpl3-header", "GPL-3.0", ["gpl3-grant", "gpl-warranty"], []),
-    ("gpl3-notice", "GPL-3.0", ["gpl3-ref"], []),
-    ("gpl2-header", "GPL-2.0", ["gpl2-grant", "gpl-warranty"], []),
-    ("gpl2-notice", "GPL-2.0", ["gpl2-ref"], []),
+    ("gpl3-header", "GPL-3.0-or-later", ["gpl3-grant", "gpl-warranty"], []),
+    ("gpl3-notice", "GPL-3.0-only", ["gpl3-ref"], []),
+    ("gpl2-header", "GPL-2.0-or-later", ["gpl2-grant", "gpl-warranty"], []),
+    ("gpl2-notice", "GPL-2.0-only", ["gpl2-ref"], []),
     ("mpl2-notice", "MPL-2.0", ["mpl2-ref"], []),
     ("ccbync4-notice", "CC-BY-NC-4.0", ["ccbync4-ref"], []),
     ("ccby4-notice", "CC-BY-4.0", ["ccby4-ref"], []),
     ("ccbysa4-notice", "CC-BY-SA-4.0", ["ccbysa4-ref"], []),
     ("unlicense-text", "Unlicense", ["unlicense-grant"], []),
+    ("lgpl21-header", "LGPL-2.1-or-later", ["lgpl21-grant", "lgpl-warranty"], []),
+    ("lgpl3-notice", "LGPL-3.0-only", ["lgpl3-ref"], []),
+    ("agpl3-header", "AGPL-3.0-or-later", ["agpl3-grant", "gpl-warranty"], []),
+    ("agpl3-notice", "AGPL-3.0-only", ["agpl3-ref"], []),
+    ("zlib-text", "Zlib", ["zlib-asis", "zlib-grant"], []),
+    ("bsl1-text", "BSL-1.0", ["bsl1-grant"], []),
+    ("epl2-notice", "EPL-2.0", ["epl2-ref"], []),
+    ("cc0-notice", "CC0-1.0", ["cc0-ref"], []),
 ]
-SPLIT = r"[.!?;:]+[ \t\r\n]+|[ \t\r]*\n[ \t\r]*\n|\n[ \t\r]*"
+LEADER = r"^[ \t]*(?:dnl|rem)(?:[ \t\r]|$)"
 PARAGRAPH = r"\n[^a-z0-9\n]*\n"
-BREAK = r"[.!?;:]+[ \t\r\n]+|\n(?:[ \t]*(?:dnl|rem)(?![a-z0-9]))?"
+BREAK = r"[.!?;:]+[ \t\r\n]+|\n"
 CUE = "licen|permi|copyright|redistribut|warrant|public domain"
 
 
@@ -86,15 +103,16 @@ def pattern(identifiers: list[str]) -> str:
 
 
 # Known sentences, longest first, in text where P stands for the end of a paragraph and S for the end of a clause or line.
-RUNS = "[SP] ?(" + "|".join(s.replace(" ", "[ S]+") for s in sorted(SENTENCES, key=len, reverse=True)) + ") ?(?=[SP])"
+RUNS = "[SP] ?(" + "|".join(s.replace(" ", "[ S]+") for s in sorted(SENTENCES, key=len, reverse=True)) + ") ?"
 
 
 def sentence_ids(text) -> F.Column:
     """Identifiers of the known sentences of a text, in order. Every known sentence holds a cue, so texts without are not normalised."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     low = lower_ascii(text)
-    cut = F.regexp_replace(F.regexp_replace(F.concat(F.lit("\n"), low, F.lit("\n")), PARAGRAPH, "P"), BREAK, "S")
-    found = F.regexp_extract_all(F.regexp_replace(cut, "[^a-z0-9SP]+", " "), F.lit(RUNS), F.lit(1))
+    bare = F.regexp_replace(F.concat(F.lit("\n"), low, F.lit("\n")), "(?md)" + LEADER, "")
+    cut = F.regexp_replace(F.regexp_replace(bare, PARAGRAPH, "P"), BREAK, "S")
+    found = F.regexp_extract_all(F.regexp_replace(cut, "[^a-z0-9SP]+", " "), F.lit(RUNS + "(?=[SP])"), F.lit(1))
     named = F.transform(found, lambda s: F.try_element_at(known, F.regexp_replace(s, "[ S]+", " ")))
     return F.when(low.rlike(CUE), F.filter(named, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
 
@@ -120,7 +138,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def oracle() -> str:
-    """The same in DuckDB SQL; arrays as comma-joined strings."""
+    """The same in DuckDB SQL; arrays as comma-joined strings. Its regular expressions cannot look ahead, so marks are doubled: one ends a sentence, one begins the next."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(s)}, {quote(i)})" for s, i in SENTENCES.items())
     hits = ", ".join(f"regexp_matches(line, {quote(pattern(ids))}) AS h{k}" for k, (_, _, ids, _) in enumerate(RULES))
@@ -128,16 +146,15 @@ def oracle() -> str:
     met = [" AND NOT ".join([f"h{k}", *(f"h{at[o]}" for o in inside)]) for k, (_, _, _, inside) in enumerate(RULES)]
     rules = ", ".join(f"CASE WHEN {m} THEN {quote(name)} END" for m, (name, *_) in zip(met, RULES))
     spdx = ", ".join(f"CASE WHEN {m} THEN {quote(s)} END" for m, (_, s, *_) in zip(met, RULES))
-    from .shared import UPPER
-
-    return f"""
+    return rf"""
 WITH known(sentence, id) AS (VALUES {known}),
-parts AS (SELECT rowid_ AS rid, doc_id, string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{SPLIT}') AS p
-          FROM (SELECT row_number() OVER () AS rowid_, doc_id, text FROM documents)),
-each AS (SELECT rid, generate_subscripts(p, 1) AS k, unnest(p) AS s FROM parts),
-named AS (SELECT rid, k, id FROM each JOIN known ON sentence = trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))),
-seq AS (SELECT rid, string_agg(id, ',' ORDER BY k) AS ids, count(*) AS n FROM named GROUP BY rid),
-lines AS (SELECT doc_id, coalesce(n, 0) AS n, coalesce(ids, '') AS ids, ',' || coalesce(ids, '') || ',' AS line FROM parts LEFT JOIN seq USING (rid)),
+low AS (SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS t FROM documents),
+bare AS (SELECT rid, regexp_replace(chr(10) || t || chr(10), '(?m){LEADER}', '', 'g') AS t FROM low WHERE regexp_matches(t, '{CUE}')),
+cut AS (SELECT rid, regexp_replace(regexp_replace(regexp_replace(t, '{PARAGRAPH}', 'PP', 'g'), '{BREAK}', 'SS', 'g'), '[^a-z0-9SP]+', ' ', 'g') AS t FROM bare),
+found AS (SELECT rid, regexp_extract_all(t, '{RUNS}[SP]', 1) AS f FROM cut),
+each AS (SELECT rid, generate_subscripts(f, 1) AS k, unnest(f) AS s FROM found),
+seq AS (SELECT rid, string_agg(id, ',' ORDER BY k) AS ids, count(*) AS n FROM each JOIN known ON sentence = regexp_replace(s, '[ S]+', ' ', 'g') GROUP BY rid),
+lines AS (SELECT doc_id, coalesce(n, 0) AS n, coalesce(ids, '') AS ids, ',' || coalesce(ids, '') || ',' AS line FROM low LEFT JOIN seq USING (rid)),
 hit AS (SELECT *, {hits} FROM lines)
 SELECT doc_id, CAST(n AS BIGINT) AS n_license_sentences, ids AS sentence_ids,
        array_to_string(list_filter([{rules}], lambda x: x IS NOT NULL), ',') AS rules,

@@ -5,6 +5,7 @@ import re
 import textwrap
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,15 +247,41 @@ APACHE = [
 GPL = "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
 USEFUL = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
 MPL = ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."]
-WRAPPED = {"mit-text": MIT, "isc-text": ISC, "bsd3-text": BSD3, "bsd2-text": BSD3[:3] + BSD3[4:], "apache2-header": APACHE, "gpl3-header": [GPL.format(":", ",", 3), USEFUL], "gpl2-header": [GPL.format(";", ";", 2), USEFUL], "mpl2-notice": MPL}
+LGPL = [GPL.format(";", ";", 2.1).replace("program", "library").replace("GNU General", "GNU Lesser General"), USEFUL.replace("program", "library").replace("GNU General", "GNU Lesser General")]
+AGPL = [GPL.format(":", ",", 3).replace("GNU General", "GNU Affero General"), USEFUL.replace("GNU General", "GNU Affero General")]
+ZLIB = [
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+]
+EPL = ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"]
+WRAPPED = {"lgpl21-header": LGPL, "agpl3-header": AGPL, "zlib-text": ZLIB, "epl2-notice": EPL, "mit-text": MIT, "isc-text": ISC, "bsd3-text": BSD3, "bsd2-text": BSD3[:3] + BSD3[4:], "apache2-header": APACHE, "gpl3-header": [GPL.format(":", ",", 3), USEFUL], "gpl2-header": [GPL.format(";", ";", 2), USEFUL], "mpl2-notice": MPL}
 
 
 @pytest.mark.parametrize("leader", ["", " * ", "# ", "// ", ";; ", "dnl "])
 def test_wrapped_licences_are_found(docs, leader):
     wrap = lambda p: "\n".join(leader + x for x in textwrap.wrap(p, 72))
     texts = [f"\n{leader.rstrip()}\n".join(map(wrap, paragraphs)) for paragraphs in WRAPPED.values()]
-    got = [r.rules for r in licenses.scan(docs(texts + [t.replace("\n", "\r\n") for t in texts])).orderBy("doc_id").collect()]
+    texts += [t.replace("\n", "\r\n") for t in texts]
+    got = [r.rules for r in licenses.scan(docs(texts)).orderBy("doc_id").collect()]
     assert got == [[x] for x in WRAPPED] * 2
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})  # read by the SQL
+    con = duckdb.connect()
+    con.register("documents", documents)
+    assert con.execute(f"SELECT rules FROM ({licenses.oracle()}) ORDER BY doc_id").fetchall() == [(x,) for x in [*WRAPPED] * 2]
+
+
+def test_licences_on_odd_tables(docs):
+    by = {i: s for s, i in licenses.SENTENCES.items()}
+    long = "word " * 400_000 + "\n\n" + by["mit-ref"] + ".\n\n" + "more " * 100_000
+    rows = [(1, long), (1, long), (None, by["gpl3-ref"]), (2, None), (3, by["mit-ref"] + ".\n" + by["mit-ref"])]
+    got = sorted((r.doc_id or 0, r.n_license_sentences, r.licenses) for r in licenses.scan(docs(rows)).collect())
+    assert got == [(0, 1, ["GPL-3.0-only"]), (1, 1, ["MIT"]), (1, 1, ["MIT"]), (2, 0, []), (3, 2, ["MIT"])]
+    assert licenses.scan(docs([])).count() == 0
+
+
+def test_each_known_sentence_is_found_alone(docs):
+    got = [r.sentence_ids for r in licenses.scan(docs([s.capitalize() + "." for s in licenses.SENTENCES])).orderBy("doc_id").collect()]
+    assert got == [[i] for i in licenses.SENTENCES.values()]
 
 
 def test_known_sentences_need_whole_pieces_of_one_paragraph(docs):
