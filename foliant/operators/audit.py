@@ -37,7 +37,7 @@ def phantom_cases(docs: DataFrame, known: DataFrame) -> DataFrame:
 def old_stars(docs: DataFrame, newest: int = 47) -> DataFrame:
     """AUD-4: starred lines that name only old meetings."""
     rows = docs.select("entity", F.explode(F.split("text", "\n")).alias("line")).filter(F.contains("line", F.lit("⭐")))
-    named = F.regexp_extract_all("line", F.lit(r"GA(\d{2})(?!\d)"), F.lit(1))
+    named = F.regexp_extract_all("line", F.lit(r"GA(\d{2})\b"), F.lit(1))
     return issues(rows.filter((F.size(named) > 0) & F.forall(named, lambda n: n.cast("int") <= newest)), "star_recency", F.substring(F.trim("line"), 1, 90))
 
 

@@ -124,21 +124,23 @@ def merge_found(existing: DataFrame, found: DataFrame, share: float = 0.5) -> Da
 
 
 def cases_citing(cases: DataFrame, targets: DataFrame) -> DataFrame:
-    """JN-14, SET-3: cases: case_id, year, cited_as, cited_current; targets: section. case_id, year, matched (sorted), by year, null as 0."""
-    cited = cases.select("case_id", "year", F.explode(F.array_distinct(F.transform(F.concat("cited_as", "cited_current"), bare))).alias("section"))
+    """JN-14, SET-3: cases: case_id, year, cited_as, cited_current (null: empty); targets: section. case_id, year, matched (sorted), by year, null as 0."""
+    both = F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in ("cited_as", "cited_current")])
+    cited = cases.select("case_id", "year", F.explode(F.array_distinct(F.transform(both, bare))).alias("section"))
     met = cited.join(targets.select(bare(F.col("section")).alias("section")).distinct(), "section")
     return met.groupBy("case_id", "year").agg(F.array_sort(F.collect_set("section")).alias("matched")).orderBy(F.coalesce("year", F.lit(0)), "case_id")
 
 
-def cells_citing(rows: DataFrame, id_col: str, cell: str, targets: DataFrame) -> DataFrame:
-    """JN-15: rows whose cell names a target section as a whole number, by extraction and equality instead of a test of every pair."""
-    found = F.array_distinct(F.regexp_extract_all(F.col(cell), F.lit(r"(?<![\d-])(\d+-\d+)(?![\d-])"), F.lit(1)))
+def cells_citing(rows: DataFrame, id_col: str, cell: str, targets: DataFrame, kinds: bool = False) -> DataFrame:
+    """JN-15: rows whose cell names a target section as a whole number (with kinds, such as 'BCO 9-3'), by extraction and equality instead of a test of every pair."""
+    kind = "(?:BCO|RAO) " if kinds else ""
+    found = F.array_distinct(F.regexp_extract_all(F.col(cell), F.lit(rf"(?<![\d-])({kind}\d+-\d+)(?![\d-])"), F.lit(1)))
     return rows.select(id_col, F.explode(found).alias("section")).join(targets.select("section").distinct(), "section").select(id_col, "section")
 
 
-def overtures_citing(bodies: DataFrame, titles: DataFrame, targets: DataFrame) -> DataFrame:
+def overtures_citing(bodies: DataFrame, titles: DataFrame, targets: DataFrame, kinds: bool = False) -> DataFrame:
     """JN-16, SET-2: keys found by body or by title, with how."""
-    by = lambda df, text, name: cells_citing(df, "key", text, targets).select("key").distinct().withColumn(name, F.lit(True))
+    by = lambda df, text, name: cells_citing(df, "key", text, targets, kinds).select("key").distinct().withColumn(name, F.lit(True))
     both = by(bodies, "body", "_b").join(by(titles, "title", "_t"), "key", "full")
     how = F.when(F.col("_b") & F.col("_t"), "body+title").when(F.col("_b"), "body").otherwise("title")
     return both.select("key", how.alias("matched_by"))
