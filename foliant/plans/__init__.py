@@ -1 +1,3 @@
-"""See the modules."""
+"""Queries and whole jobs; importing the package registers every query in `queries`."""
+
+from . import records, texts  # noqa: F401
