@@ -92,6 +92,32 @@ least AS (SELECT reach.c, min(class.rep) AS component_id FROM reach JOIN class O
 SELECT doc_id, CAST(len(s.t) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept
 FROM s LEFT JOIN class ON class.t = s.t LEFT JOIN least USING (c)"""
 
+REPETITION = rf"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM t),
+v AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM w),
+gram AS (SELECT r, i, w[i:i + {repetition.LEAST - 1}] AS g FROM (SELECT r, w, unnest(range(1, len(w) - {repetition.LEAST - 2})) AS i FROM w)),
+rep(r, i, k, c) AS (
+  SELECT r, i, {repetition.LEAST}, c FROM (SELECT r, i, min(i) OVER p AS c, count(*) OVER p AS n FROM gram WINDOW p AS (PARTITION BY r, g)) WHERE n > 1
+  UNION ALL SELECT r, i, k, c FROM (SELECT rep.r, rep.i, k + 1 AS k, min(rep.i) OVER p AS c, count(*) OVER p AS n FROM rep JOIN v ON v.r = rep.r AND v.i = rep.i + k WINDOW p AS (PARTITION BY rep.r, rep.c, v.x)) WHERE n > 1),
+sides AS (SELECT rep.r, k, c FROM rep LEFT JOIN v a ON a.r = rep.r AND a.i = rep.i - 1 LEFT JOIN v b ON b.r = rep.r AND b.i = rep.i + k
+          GROUP BY ALL HAVING count(DISTINCT coalesce(a.x, ' ')) > 1 AND count(DISTINCT coalesce(b.x, ' ')) > 1),
+maximal AS (SELECT r, count(*) AS n_maximal_repeats FROM sides GROUP BY r),
+longest AS (SELECT r, max(k) AS longest_repeat FROM rep GROUP BY r),
+near AS (SELECT DISTINCT r, i + d AS i FROM rep, range({repetition.WINDOW}) z(d) WHERE k = {repetition.WINDOW}),
+repeated AS (SELECT r, count(*) AS n_repeat_words FROM near GROUP BY r),
+inside AS (SELECT DISTINCT r, i + d AS i FROM rep, range({repetition.LEAST}) z(d) WHERE k = {repetition.LEAST}),
+run AS (SELECT r, min(i) - 1 AS a, max(i) AS b FROM (SELECT r, i, i - row_number() OVER (PARTITION BY r ORDER BY i) AS o FROM inside) GROUP BY r, o),
+cover AS (SELECT r, sum(b - a) AS covered_words, '[' || string_agg('{{"from_word":' || a || ',"to_word":' || b || '}}', ',' ORDER BY a) || ']' AS spans FROM run GROUP BY r),
+line AS (SELECT r, l, count(*) - 1 AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS l FROM t) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r, l),
+dup AS (SELECT r, sum(n) AS n_dup_lines FROM line GROUP BY r),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_maximal_repeats, 0) AS n_maximal_repeats,
+        CAST(coalesce(covered_words, 0) AS BIGINT) AS covered_words, CAST(coalesce(longest_repeat, 0) AS BIGINT) AS longest_repeat, coalesce(spans, '[]') AS spans
+      FROM w LEFT JOIN dup USING (r) LEFT JOIN repeated USING (r) LEFT JOIN maximal USING (r) LEFT JOIN cover USING (r) LEFT JOIN longest USING (r))
+SELECT *, n_words < {repetition.MIN_WORDS} OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < {repetition.MIN_WORDS} OR 100 * n_repeat_words > 30 * n_words) AND covered_words <= {repetition.MOST_SHARE}::DOUBLE * n_words AND longest_repeat <= {repetition.MOST_LONGEST} AS kept FROM m"""
+
 CHAT = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -135,4 +161,4 @@ SELECT doc_id, text, lang, source, n_chars, copy_no, md5('{mixing.SEED}|o|' || k
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP, "op4_near_dedup": NEAR_DEDUP, "op5_chat_prefix_tree": CHAT, "op7_merkle_fixity": MERKLE, "op8_license_rules": licenses.oracle(), "op10_poisson_mixing": MIXING}
+    return {"op3_exact_dedup": EXACT_DEDUP, "op4_near_dedup": NEAR_DEDUP, "op5_chat_prefix_tree": CHAT, "op6_suffix_repetition": REPETITION, "op7_merkle_fixity": MERKLE, "op8_license_rules": licenses.oracle(), "op10_poisson_mixing": MIXING}
