@@ -1,3 +1,3 @@
 """Queries and whole jobs; importing the package registers every query in `queries`."""
 
-from . import records, texts  # noqa: F401
+from . import files, records, texts  # noqa: F401
