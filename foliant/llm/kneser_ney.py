@@ -31,8 +31,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from . import kernel as K
-from .shared import materialize, shared_dir
+from .shared import materialize
 
 END = K.U(0x5E17D1CE0FEED5E1)
 PER_FILE = 1 << 20

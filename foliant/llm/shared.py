@@ -2,29 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HOT = 1000
 LEAST_FILES, ROWS_A_FILE = 16, 50_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, one of our own on a local master (tests), else an error."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="foliant-"))
-        named = spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/")
-
-
 def lookup(rows: DataFrame, values: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
     """rows joined with values, one row for each key with `n`, how many of the `total` rows have the key; both are written tables.
 
