@@ -5,7 +5,7 @@ emitted once, in depth-first order, at code points [dfs_start, dfs_end) of one s
 ids start where its parent's end (pos_start), and it attends to itself and to its ancestors'
 intervals. A member row names the leaf of each conversation.
 
-A node's name is a polynomial hash of its turns' digests (128 bits), so it is a running sum: rows are
+A node's name is a polynomial hash of its turns' digests, at two points of the field of PRIME, so it is a running sum: rows are
 range-sorted by conversation and turn, summed inside each partition, and each partition's first
 conversation is then moved on by what lies before it. The way to a node is not stored turn by turn. Of a
 node's children the one with the most conversations is heavy and comes first, so a heavy path is one
@@ -38,7 +38,8 @@ from .shared import lookup, materialize, running_totals
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 SEGMENT = r"(?s)^<\|im_start\|>([^\n]*)\n(.*)<\|im_end\|>\n$"
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+PRIME = 2**61 - 1  # a field: modulo a power of two, polynomials of some sequences are equal at every point
+BASES = (0x0E3779B97F4A7C15, 0x12B2AE3D27D4EB4F)
 SPAN = "array<struct<dfs_start:bigint,dfs_end:bigint>>"
 
 
@@ -76,12 +77,37 @@ def formatted(conversations: DataFrame) -> DataFrame:
                        F.when(loss, F.col("head").cast("long")).alias("loss_from"), F.when(loss, (F.length("segment") - len(END)).cast("long")).alias("loss_to"), half(1).alias("h0"), half(17).alias("h1"))
 
 
+def times(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """a * b modulo PRIME, for values below it: products of halves of 31 bits, as 2**61 counts as 1."""
+    b = np.asarray(b, np.uint64)
+    low, up = K.U(2**31 - 1), K.U(31)
+    a0, a1, b0, b1 = a & low, a >> up, b & low, b >> up
+    mid = a1 * b0 + a0 * b1
+    return reduced(a0 * b0 + ((a1 * b1) << K.U(1)) + (mid >> K.U(30)) + ((mid & K.U(2**30 - 1)) << up))
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME."""
+    x = (x & K.U(PRIME)) + (x >> K.U(61))
+    return np.where(x >= K.U(PRIME), x - K.U(PRIME), x)
+
+
+def minus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return reduced(a + (K.U(PRIME) - b))
+
+
+def sums(x: np.ndarray) -> np.ndarray:
+    """Running sums modulo PRIME, from 0; halves are summed, so nothing overflows below 2**31 rows."""
+    low, high = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(part)]) for part in (x & K.U(2**31 - 1), x >> K.U(31)))
+    return reduced(reduced(low) + times(reduced(high), 2**31))
+
+
 def power(base: int, n: np.ndarray) -> np.ndarray:
-    """base ** n modulo 2**64."""
+    """base ** n modulo PRIME."""
     out, square = np.ones(len(n), np.uint64), base
     for bit in range(int(n.max(initial=0)).bit_length()):
-        out = np.where((n >> bit) & 1, out * K.U(square), out)
-        square = square * square % 2**64
+        out = np.where((n >> bit) & 1, times(out, square), out)
+        square = square * square % PRIME
     return out
 
 
@@ -118,11 +144,13 @@ def numbered(rows: DataFrame) -> DataFrame:
             goes_on = start < 0
             depth = np.arange(len(first)) - np.where(goes_on, -held[0], start)
             size = K.column(batch, "size").to_numpy()
-            within = lambda x, so_far: np.cumsum(x) - np.where(goes_on, x.dtype.type(0) - x.dtype.type(so_far), (np.cumsum(x) - x)[start])  # noqa: B023, E731
-            ends = within(size, held[1])
-            sums = [within(K.column(batch, f"h{j}").to_numpy().view(np.uint64) * power(BASES[j], depth), held[2 + j]) for j in (0, 1)]
-            last, held = keys[-1].as_py(), (int(depth[-1]) + 1, int(ends[-1]), int(sums[0][-1]), int(sums[1][-1]))
-            new = [depth, ends - size, *(x.view(np.int64) for x in sums), np.full(len(first), part, np.int32)]
+            ends = np.cumsum(size) - np.where(goes_on, -held[1], (np.cumsum(size) - size)[start])
+            hashes = []
+            for j in (0, 1):
+                upto = sums(times(K.column(batch, f"h{j}").to_numpy().view(np.uint64), power(BASES[j], depth)))
+                hashes.append(minus(upto[1:], np.where(goes_on, K.U(PRIME - held[2 + j]), upto[start])))
+            last, held = keys[-1].as_py(), (int(depth[-1]) + 1, int(ends[-1]), int(hashes[0][-1]), int(hashes[1][-1]))
+            new = [depth, ends - size, *(x.view(np.int64) for x in hashes), np.full(len(first), part, np.int32)]
             yield pa.RecordBatch.from_arrays([*(K.column(batch, c) for c in kept), *map(pa.array, new)], [*kept, "depth", "pos_start", "x0", "x1", "part"])
 
     local = materialize(ranged.mapInArrow(run, f"{schema}, {added}"), "numbered")
@@ -135,8 +163,8 @@ def numbered(rows: DataFrame) -> DataFrame:
         if r["last"] != key or r["first"] != r["last"]:
             so_far = (0, 0, 0, 0)
         n, at, x0, x1 = so_far
-        s, move = r["s"], [pow(b, n, 2**64) for b in BASES]
-        key, so_far = r["last"], (n + s["n"], at + s["at"], (x0 + move[0] * s["x0"]) % 2**64, (x1 + move[1] * s["x1"]) % 2**64)
+        s, move = r["s"], [pow(b, n, PRIME) for b in BASES]
+        key, so_far = r["last"], (n + s["n"], at + s["at"], (x0 + move[0] * s["x0"]) % PRIME, (x1 + move[1] * s["x1"]) % PRIME)
     if not before:
         return local
 
@@ -151,7 +179,7 @@ def numbered(rows: DataFrame) -> DataFrame:
                     new["depth"][here] += n
                     new["pos_start"][here] += at
                     for j in (0, 1):
-                        moved = new[f"x{j}"][here].view(np.uint64) * K.U(pow(BASES[j], n, 2**64)) + K.U(xs[j])
+                        moved = reduced(times(new[f"x{j}"][here].view(np.uint64), pow(BASES[j], n, PRIME)) + K.U(xs[j]))
                         new[f"x{j}"][here] = moved.view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(new[c]) if c in new else K.column(batch, c) for c in batch.schema.names], batch.schema.names)
 
@@ -165,7 +193,8 @@ def named(rows: DataFrame) -> DataFrame:
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             depth = K.column(batch, "depth").to_numpy()
-            up = [K.column(batch, f"x{j}").to_numpy().view(np.uint64) - K.column(batch, f"h{j}").to_numpy().view(np.uint64) * power(BASES[j], depth) for j in (0, 1)]
+            x, h = ([K.column(batch, f"{c}{j}").to_numpy().view(np.uint64) for j in (0, 1)] for c in "xh")
+            up = [minus(x[j], times(h[j], power(BASES[j], depth))) for j in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x.view(np.int64)) for x in up)], [*batch.schema.names, "u0", "u1"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

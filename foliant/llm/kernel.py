@@ -21,9 +21,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 KIND = np.where(SEP, 0, 2).astype(np.uint8)
 KIND[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 1
-BASE = 0x9E3779B97F4A7C15 | 1
-BYTES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.int64).astype(U) | U(1)
-_powers: dict[str, np.ndarray] = {}
 
 
 def release() -> None:
@@ -44,18 +41,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    return np.concatenate([np.ones(1, U), np.cumprod(np.full(n, base, U))]) if n else np.ones(1, U)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64, for i up to n."""
-    if "up" not in _powers or len(_powers["up"]) <= n:
-        n = max(n, CHUNK)
-        _powers["up"], _powers["down"] = _power(BASE % 2**64, n), _power(pow(BASE, -1, 2**64), n)
-    return _powers["up"], _powers["down"]
-
-
 @dataclass
 class Chunk:
     """Texts first..first+n of a batch: their bytes, and where each begins and ends."""
@@ -94,12 +79,26 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[Chunk]:
         at = to
 
 
-def spans_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, from one running sum over all bytes."""
-    up, down = powers(len(raw))
-    sums = np.zeros(len(raw) + 1, U)
-    np.cumsum(BYTES[raw] * up[: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U))
+def spans_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each byte span: the sum of its blocks of 8 bytes, each mixed with its place.
+
+    The mixing is not linear, so no two byte strings have equal sums by their structure, as they may have where blocks are weighed by powers.
+    """
+    size = ends - starts
+    n = (size + 7) >> 3
+    first = np.cumsum(n) - n
+    total = int(n.sum())
+    place = np.arange(total) - np.repeat(first, n)
+    at = np.repeat(starts, n) + 8 * place
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    block = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))[at]  # the 8 bytes from each place on
+    left = np.minimum(np.repeat(ends, n) - at, 8).astype(U)
+    block &= U(2**64 - 1) >> (U(64) - (left << U(3)))
+    block += place.astype(U) * U(0x9E3779B97F4A7C15) + U((seed + 1) * 0xD1B54A32D192ED03 % 2**64)
+    sums = np.zeros(len(starts), U)
+    if total:
+        sums[n > 0] = np.add.reduceat(mix(block), first[n > 0])
+    return mix(sums + size.astype(U) * U(0x9FB21C651E98DF25))
 
 
 def words(chunk: Chunk, lower: bool) -> Words:

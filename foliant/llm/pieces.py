@@ -272,12 +272,25 @@ def units(chunk: K.Chunk, v: Vocabulary) -> Units:
     begin[offsets] = True
     bounds = np.nonzero(begin)[0]
     starts, ends = bounds[:-1], bounds[1:]
-    hashes = K.spans_hash(raw, starts, ends)
-    _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-    node = v.lattices.add(raw, starts[one], (ends - starts)[one], hashes[one], v)
+    node, k = shared_nodes(raw, starts, ends, v), v.lattices
     doc = np.searchsorted(offsets, starts, "right") - 1
-    k = v.lattices
-    return Units(doc, starts - offsets[doc], node[which], np.searchsorted(starts, offsets), k.raw, k.first[: k.nodes + 1], k.end, k.piece, k.log_q, k.upto)
+    return Units(doc, starts - offsets[doc], node, np.searchsorted(starts, offsets), k.raw, k.first[: k.nodes + 1], k.end, k.piece, k.log_q, k.upto)
+
+
+def shared_nodes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, v: Vocabulary) -> np.ndarray:
+    """The lattice of each unit. Units of equal hashes share one only where their bytes are equal, too; others are hashed anew."""
+    hashes, size = K.spans_hash(raw, starts, ends), ends - starts
+    unit = np.repeat(np.arange(len(size)), size)
+    step = np.arange(len(unit)) - np.repeat(np.cumsum(size) - size, size)
+    while True:
+        _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+        node = v.lattices.add(raw, starts[one], size[one], hashes[one], v)[which]
+        held, last = v.lattices.raw, len(v.lattices.raw) - 1
+        other = held[np.minimum(node + size, last)] != STOP
+        other[unit[held[np.minimum(node[unit] + step, last)] != raw[starts[unit] + step]]] = True
+        if not other.any():
+            return node
+        hashes[other] = K.mix(hashes[other] ^ K.spans_hash(raw, starts[other], ends[other], 1))
 
 
 def numbers(key: np.ndarray, salt: int, place: np.ndarray | int) -> np.ndarray:
