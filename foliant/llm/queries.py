@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, importance, kneser_ney, licenses, merkle, mixing, near_dedup, pieces, repetition
+from . import chat, exact_dedup, importance, kneser_ney, licenses, merkle, mixing, near_dedup, pieces, repetition, simhash
 from .shared import UPPER
 
 DAMAGED, LOST, ADDED = 97, 101, 103  # where page_id is a multiple of these, op7's replica is damaged, lacks the record or has one more
@@ -66,10 +66,14 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.resolve(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_sentencepiece_samples, op2_importance_resampling, op3_exact_dedup, op4_near_dedup, op5_chat_prefix_tree,
-        op6_suffix_repetition, op7_merkle_fixity, op8_license_rules, op9_kneser_ney, op10_poisson_mixing)}
+        op6_suffix_repetition, op7_merkle_fixity, op8_license_rules, op9_kneser_ney, op10_poisson_mixing, op11_simhash_bytes)}
 
 
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
