@@ -34,7 +34,17 @@ def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/foliant/{name}-{uuid.uuid4().hex}"
     (df if rows is None else df.coalesce(max(LEAST_FILES, rows // ROWS_A_FILE))).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of `materialize` that nothing reads any more: what was made of them must be written, not only planned."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.written)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def one_each(rows: DataFrame) -> DataFrame:
