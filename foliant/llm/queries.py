@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat, exact_dedup, importance, kneser_ney, licenses, merkle, mixing, near_dedup, pieces, repetition, simhash
+from . import centroids, chat, exact_dedup, importance, kneser_ney, licenses, merkle, mixing, near_dedup, pieces, repetition, simhash, structure
 from .shared import UPPER
 
 DAMAGED, LOST, ADDED = 97, 101, 103  # where page_id is a multiple of these, op7's replica is damaged, lacks the record or has one more
@@ -70,6 +70,10 @@ def op11_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.resolve(table(spark, sf_dir, "documents"))
 
 
+def op12_rank_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.repair(structure.damaged(structure.plain(table(spark, sf_dir, "conversations"))))
+
+
 def op13_drake_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -77,7 +81,7 @@ def op13_drake_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_sentencepiece_samples, op2_importance_resampling, op3_exact_dedup, op4_near_dedup, op5_chat_prefix_tree,
-        op6_suffix_repetition, op7_merkle_fixity, op8_license_rules, op9_kneser_ney, op10_poisson_mixing, op11_simhash_bytes, op13_drake_clusters)}
+        op6_suffix_repetition, op7_merkle_fixity, op8_license_rules, op9_kneser_ney, op10_poisson_mixing, op11_simhash_bytes, op12_rank_repair, op13_drake_clusters)}
 
 
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -170,4 +174,4 @@ SELECT doc_id, text, lang, source, n_chars, copy_no, md5('{mixing.SEED}|o|' || k
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_exact_dedup": EXACT_DEDUP, "op4_near_dedup": NEAR_DEDUP, "op5_chat_prefix_tree": CHAT, "op6_suffix_repetition": REPETITION, "op7_merkle_fixity": MERKLE, "op8_license_rules": licenses.oracle(), "op10_poisson_mixing": MIXING,
-            "op13_drake_clusters": centroids.oracle()}
+            "op12_rank_repair": structure.oracle(), "op13_drake_clusters": centroids.oracle()}
