@@ -1,29 +1,15 @@
-"""Full-text search on a postings table (FTS-1 … FTS-8, JN-4, JN-5, AGG-11)."""
+"""Full-text search on a postings table or on a stored index of segments (FTS-1 … FTS-8, JN-4, JN-5, AGG-11, SNK-2)."""
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WORD = r"([\p{L}\p{N}]+)"
-
-
-def terms_of(text: str) -> list[str]:
-    """The words of a query, by the rule of WORD: letters and digits."""
-    return re.findall(r"[^\W_]+", text.lower())
-
-
-def words(text) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(1))
-
-
-def postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """term, doc, pos (from 0). `write_postings` keeps it, so that searches scan no texts."""
-    return docs.select(F.col(doc_id).alias("doc"), F.posexplode(words(F.col(text))).alias("pos", "term")).select("term", "doc", "pos")
-
+from .postings import SearchIndex, postings, terms_of, words  # noqa: F401
 
 def write_postings(index: DataFrame, path: str) -> DataFrame:
     """The index as a Parquet table in ranges of terms, sorted: a search reads only the row groups that may hold its terms."""
@@ -53,25 +39,141 @@ def match_phrase(index: DataFrame, phrase: str) -> DataFrame:
     return votes.groupBy("doc", "pos").count().filter(F.col("count") == len(terms)).select("doc", "pos")
 
 
-def search(index: DataFrame, query: str) -> DataFrame:
-    """FTS-2, FTS-6, FN-11: docs for a query of words, "phrases", OR groups in brackets and AND; a query that cannot be read finds nothing."""
-    none = index.select("doc").limit(0)
-    atom = r'"[^"]*"|[^\s()"]+'
-    group = rf"\(\s*(?:{atom})(?:\s+OR\s+(?:{atom}))*\s*\)|{atom}"
-    if not re.fullmatch(rf"\s*(?:{group})(?:\s+(?:AND\s+)?(?:{group}))*\s*", query):
-        return none
-    found = []
-    for part in re.findall(group, query):
-        if part == "AND":
-            continue
-        terms = [t for t in re.findall(atom, part.strip("()")) if t != "OR"]
-        single = [w for t in terms for w in terms_of(t) if len(terms_of(t)) == 1]
-        docs = [match_groups(index, [single])] if single else []
-        docs += [match_phrase(index, t.strip('"')).select("doc") for t in terms if len(terms_of(t)) > 1]
-        if not docs:
-            return none
-        found.append(reduce(DataFrame.unionByName, docs).distinct())
-    return reduce(lambda a, b: a.join(b, "doc", "left_semi"), found)
+TOKEN = re.compile(r'\s*(?:(?P<mark>[()+])|"(?P<quoted>(?:[^"]|"")*)"(?P<any>\s*\*)?|(?P<word>[^\s()"+]+))')
+
+
+@dataclass
+class Query:
+    """A query as a tree of ("or" | "and" | "not", left, right) over numbers of its leaves: words that follow each other, the last one a prefix or not."""
+
+    tree: tuple | int = -1
+    leaves: list[tuple[tuple[str, ...], bool]] = field(default_factory=list)
+
+
+def read_query(text: str) -> Query | None:
+    """FTS-2, FTS-6, FN-11: words, "phrases", one + two, prefixes*, brackets, NOT before AND before OR, side by side (closest of all) as AND. None if it cannot be read.
+
+    Operators are in capitals, as in quotes they are words; what a word has beside letters and digits parts it into a phrase.
+    """
+    tokens, at, out = [], 0, Query()
+    while text[at:].strip():
+        m = TOKEN.match(text, at)
+        if not m:
+            return None
+        at = m.end()
+        quoted, word = m["quoted"], m["word"]
+        if m["mark"] or word in ("AND", "OR", "NOT"):
+            tokens.append(m["mark"] or word)
+        else:
+            tokens.append((tuple(terms_of(word if quoted is None else quoted)), bool(m["any"]) or bool(word and word.endswith("*"))))
+    tokens.append(None)
+    place = 0
+
+    def peek():
+        return tokens[place]
+
+    def take():
+        nonlocal place
+        place += 1
+        return tokens[place - 1]
+
+    def either(operator: str, operand):
+        left = operand()
+        while peek() == operator:
+            take()
+            left = (operator.lower(), left, operand())
+        return left
+
+    def beside():
+        left = single()
+        while isinstance(peek(), tuple) or peek() == "(":
+            left = ("and", left, single())
+        return left
+
+    def single():
+        token = take()
+        if token == "(":
+            inside = ors()
+            if take() != ")":
+                raise ValueError
+            return inside
+        if not isinstance(token, tuple):
+            raise ValueError
+        words_, prefix = token
+        while peek() == "+":
+            take()
+            more = take()
+            if not isinstance(more, tuple):
+                raise ValueError
+            words_, prefix = words_ + more[0], more[1]
+        leaf = (words_, prefix and bool(words_))
+        if leaf not in out.leaves:
+            out.leaves.append(leaf)
+        return out.leaves.index(leaf)
+
+    nots = lambda: either("NOT", beside)
+    ands = lambda: either("AND", nots)
+    ors = lambda: either("OR", ands)
+    try:
+        out.tree = ors()
+    except (ValueError, IndexError):
+        return None
+    return out if peek() is None else None
+
+
+def is_word(term, word: str, prefix: bool) -> Column:
+    return term.startswith(word) if prefix else term == word
+
+
+def hits(index: DataFrame, leaves: list[tuple[tuple[str, ...], bool]]) -> DataFrame:
+    """doc, h (flags of the leaves): one pass over the asked postings. Word k of a phrase votes for the place pos - k; a place with a vote of each word is a hit."""
+    term, ends = F.col("term"), [(i, k, w, prefix and k == len(ws) - 1) for i, (ws, prefix) in enumerate(leaves) for k, w in enumerate(ws)]
+    if not ends:
+        return index.select("doc", F.array(*[F.lit(False)] * len(leaves)).alias("h")).limit(0)
+    asked = index.filter(reduce(lambda a, b: a | b, [is_word(term, w, p) for _, _, w, p in ends]))
+    flags = lambda hit: F.array(*[F.coalesce(F.max(hit(i)), F.lit(False)) for i in range(len(leaves))]).alias("h")
+    if all(len(ws) == 1 for ws, _ in leaves):
+        return asked.groupBy("doc").agg(flags(lambda i: is_word(term, leaves[i][0][0], leaves[i][1])))
+    place = lambda i, k: F.lit(0) if len(leaves[i][0]) == 1 else (F.col("pos") - k).cast("int")
+    votes = F.array(*[F.when(is_word(term, w, p), F.struct(F.lit(i).alias("leaf"), place(i, k).alias("place"))) for i, k, w, p in ends])
+    each = asked.select("doc", F.explode(F.filter(votes, lambda v: v.isNotNull())).alias("v")).select("doc", "v.leaf", "v.place").repartition("doc")
+    need = F.element_at(F.array(*[F.lit(len(ws)) for ws, _ in leaves]), F.col("leaf") + 1)
+    whole = each.groupBy("doc", "leaf", "place").agg(F.count("*").alias("n")).filter((F.col("n") == need) | (need == 1))
+    return whole.groupBy("doc").agg(flags(lambda i: F.col("leaf") == i))
+
+
+def holds(tree: tuple | int) -> Column:
+    if isinstance(tree, int):
+        return F.get("h", F.lit(tree))
+    kind, left, right = tree
+    return holds(left) | holds(right) if kind == "or" else holds(left) & (~holds(right) if kind == "not" else holds(right))
+
+
+def needed(tree: tuple | int) -> list[tuple | int]:
+    """Trees that must all hold for a document to be found."""
+    if isinstance(tree, int) or tree[0] == "or":
+        return [tree]
+    return needed(tree[1]) + (needed(tree[2]) if tree[0] == "and" else [])
+
+
+def leaves_of(tree: tuple | int) -> set[int]:
+    """The leaves without which a tree cannot hold: of NOT, those of its left side."""
+    return {tree} if isinstance(tree, int) else leaves_of(tree[1]) | (leaves_of(tree[2]) if tree[0] != "not" else set())
+
+
+def search(index: DataFrame | SearchIndex, query: str) -> DataFrame:
+    """FTS-2, FTS-6: doc for each document that a query finds (its language: `read_query`); a query that cannot be read finds nothing.
+
+    index: postings, or a stored index, of which only the blocks of the query's words are read, and of these those of document ranges
+    in which the query's rarest needed part occurs.
+    """
+    asked = read_query(query)
+    if isinstance(index, SearchIndex):
+        parts = [] if asked is None else [[asked.leaves[i] for i in leaves_of(t)] for t in needed(asked.tree)]
+        index = index.postings([w for w in (asked.leaves if asked else []) if w[0]], [[leaf for leaf in p if leaf[0]] for p in parts])
+    if asked is None:
+        return index.select("doc").limit(0)
+    return hits(index, asked.leaves).filter(holds(asked.tree)).select("doc")
 
 
 def snippet(text, terms: list[str], n: int = 10, marks: tuple[str, str] = ("[", "]"), dots: str = "…") -> Column:
