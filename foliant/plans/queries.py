@@ -163,13 +163,17 @@ def pattern_extract_distinct(spark, d):
     return docs(spark, d).select("doc_id", F.array_join(F.array_distinct(F.transform(found, lambda x: F.regexp_replace(x, "[.,;]+$", ""))), "|").alias("found"))
 
 
-TARGETS = ["BCO 9-3", "BCO 21-1..21-4", "RAO 16-3.e.5, 4-2", "12-5, BCO 7-2a, RAO 3-1..3", "prose + 12 conforming"]
-
-
-@query("""SELECT * FROM (VALUES ('BCO 9-3', 'BCO 9-3'), ('BCO 21-1..21-4', 'BCO 21-1|BCO 21-2|BCO 21-3|BCO 21-4'), ('RAO 16-3.e.5, 4-2', 'RAO 16-3|RAO 4-2'),
-('12-5, BCO 7-2a, RAO 3-1..3', 'BCO 12-5|BCO 7-2|RAO 3-1|RAO 3-2|RAO 3-3'), ('prose + 12 conforming', '')) AS t(targets, sections)""")
+@query("""WITH p AS (SELECT p_partkey, 1 + p_partkey % 30 AS a, 1 + p_size % 9 AS b, p_partkey % 4 AS n, p_partkey % 5 AS k FROM part)
+SELECT p_partkey, array_to_string(CASE k WHEN 0 THEN list_transform(range(b, b + n + 1), lambda i: 'BCO ' || a || '-' || i) || ['RAO ' || a || '-' || b] WHEN 1 THEN ['RAO ' || a || '-' || b, 'RAO ' || (a + 1) || '-' || b]
+WHEN 2 THEN ['BCO ' || a || '-' || b, 'BCO 7-2'] || list_transform(range(b, b + n + 1), lambda i: 'RAO 3-' || i) WHEN 3 THEN ['BCO ' || a || '-' || b] ELSE [] END, '|') AS sections FROM p""")
 def range_expand(spark, d):
-    return spark.createDataFrame([(t,) for t in TARGETS], "targets string").select("targets", F.array_join(parsing.target_sections(F.col("targets")), "|").alias("sections"))
+    """PAR-6: lists of targets from the keys and sizes of parts: ranges, kinds that carry over, letters, and prose."""
+    a, b, n = ((c).cast("string") for c in (1 + F.col("p_partkey") % 30, 1 + F.col("p_size") % 9, F.col("p_partkey") % 4))
+    up, next_ = (1 + F.col("p_size") % 9 + F.col("p_partkey") % 4).cast("string"), (2 + F.col("p_partkey") % 30).cast("string")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    kinds = [text("BCO ", a, "-", b, "..", a, "-", up, ", RAO ", a, "-", b), text("RAO ", a, "-", b, ".e.5, ", next_, "-", b), text(a, "-", b, ", BCO 7-2a, RAO 3-", b, "..", up), text("(BCO ", a, "-", b, ")"), text("prose + ", n, " conforming")]
+    rows = table(spark, d, "part").select("p_partkey", F.element_at(F.array(*kinds), (F.col("p_partkey") % 5 + 1).cast("int")).alias("targets"))
+    return rows.select("p_partkey", F.array_join(parsing.target_sections(F.col("targets")), "|").alias("sections"))
 
 
 @query(r"""SELECT c_custkey, array_to_string(list_filter(regexp_extract_all(lower(c_name || ' versus Session of ' || c_mktsegment), '[a-z][a-z''\-]{2,}'), lambda t: t NOT IN ('versus', 'session')), ' ') AS tokens FROM customer""")
@@ -307,18 +311,17 @@ def ratification_window(spark, d):
     return out.select("id", F.col("ratified_year").cast("long").alias("ratified_year"), "ratification_note")
 
 
-EVENTS = [(1980, "9", [("9-1", "9-3")]), (1990, "9", [("9-3", "12-1")]), (2000, "12", [("12-1", "12-7")]), (2005, "9", [])]
-
-
-@query("""WITH RECURSIVE e(k, adopted, chapter, f, t) AS (VALUES (1, 1980, '9', '9-1', '9-3'), (2, 1990, '9', '9-3', '12-1'), (3, 2000, '12', '12-1', '12-7')),
-c AS (SELECT '9-' || n AS section, y AS year FROM range(1, 5) a(n), range(1975, 2010, 5) b(y)),
-r AS (SELECT section, year, 0 AS k, section AS cur FROM c UNION ALL SELECT section, year, r.k + 1, CASE WHEN e.adopted > year AND e.f = cur THEN e.t ELSE cur END FROM r JOIN e ON e.k = r.k + 1)
-SELECT section, year, cur AS "current" FROM r WHERE k = 3""")
+@query("""WITH RECURSIVE e AS (SELECT row_number() OVER (ORDER BY adopted, f) AS k, * FROM (SELECT 1992 + n_nationkey % 7 AS adopted, '9-' || n_nationkey AS f, '9-' || ((n_nationkey * 3 + 1) % 25) AS t FROM nation)),
+c AS (SELECT o_orderkey, '9-' || (o_custkey % 30) AS section, year(o_orderdate) - 2 AS y FROM orders),
+r AS (SELECT o_orderkey, section, y, 0 AS k, section AS cur FROM c UNION ALL SELECT o_orderkey, section, y, r.k + 1, CASE WHEN e.adopted > y AND e.f = cur THEN e.t ELSE cur END FROM r JOIN e ON e.k = r.k + 1)
+SELECT o_orderkey, section, CAST(y AS INTEGER) AS year, cur AS "current" FROM r WHERE k = 25""")
 def concordance_resolve(spark, d):
-    schema = "adopted_year int, chapter string, ga int, kind string, status string, mappings array<struct<`from`:string,`to`:string>>"
-    events = spark.createDataFrame([(y, c, 0, "renumbered", "known", m) for y, c, m in EVENTS], schema)
-    cites = spark.createDataFrame([(f"9-{n}", y) for n in range(1, 5) for y in range(1975, 2010, 5)], "section string, year long")
-    return joins.resolve_sections(cites, readers.events_in_order(events))
+    """JN-28, SRC-14: sections cited in orders' years, through the renumberings that the nations stand for, by their year."""
+    mapping = F.array(F.struct(F.concat(F.lit("9-"), F.col("n_nationkey").cast("string")).alias("from"), F.concat(F.lit("9-"), ((F.col("n_nationkey") * 3 + 1) % 25).cast("string")).alias("to")))
+    events = table(spark, d, "nation").select((1992 + F.col("n_nationkey") % 7).cast("int").alias("adopted_year"), F.lit("9").alias("chapter"), F.lpad(F.concat(F.lit("9-"), F.col("n_nationkey").cast("string")), 9, " ").alias("_by"), F.lit(0).alias("ga"), F.lit("renumbered").alias("kind"), F.lit("known").alias("status"), mapping.alias("mappings"))
+    cites = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("9-"), (F.col("o_custkey") % 30).cast("string")).alias("section"), (F.year("o_orderdate") - 2).alias("year"))
+    met = joins.resolve_sections(cites.select("section", "year").distinct(), readers.events_in_order(events))
+    return cites.join(met, ["section", "year"]).select("o_orderkey", "section", "year", "current")
 
 
 TERMS = r"WITH t AS (SELECT doc_id, i AS pos, w[i] AS term FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents)))"
@@ -446,12 +449,17 @@ def search_index_union(spark, d):
     return out.groupBy("type").agg(F.count("*").alias("n"), F.count_distinct("title").alias("titles"), F.sum(F.length("url")).alias("url_chars"))
 
 
-@query("""SELECT * FROM (VALUES ('1990-08', '1990-8', '1990-8', '1990-08'), ('98-9', '1998-9', '1998-9', '1998-09'), ('1992-09b', '1992-9b', '1992-9', '1992-09b'), ('1988-__', NULL, NULL, NULL),
-('2017-06&-07', '2017-6', '2017-6', '2017-06'), ('Case 05-112', '2005-112', '2005-112', '2005-112')) AS t(raw, roster, audit, stub)""")
+@query("""WITH o AS (SELECT o_orderkey, 1970 + o_orderkey % 55 AS y, 1 + o_custkey % 150 AS n, o_orderkey % 6 AS k FROM orders)
+SELECT o_orderkey, CASE WHEN k < 5 THEN y || '-' || n || CASE WHEN k = 2 THEN 'b' ELSE '' END END AS roster, CASE WHEN k < 5 THEN y || '-' || n END AS audit,
+CASE WHEN k < 5 THEN y || '-' || CASE WHEN n < 10 THEN '0' ELSE '' END || n || CASE WHEN k = 2 THEN 'b' ELSE '' END END AS stub FROM o""")
 def case_key_normalise(spark, d):
-    raw = F.col("raw")
-    rows = spark.createDataFrame([(x,) for x in ("1990-08", "98-9", "1992-09b", "1988-__", "2017-06&-07", "Case 05-112")], "raw string")
-    return rows.select("raw", fn.case_key(raw).alias("roster"), fn.case_key(raw, suffix=False).alias("audit"), fn.case_key(raw, pad=2).alias("stub"))
+    """Numbers as rosters write them: padded, with a short year, with a letter, for two cases, after words, and unknown."""
+    y, n = 1970 + F.col("o_orderkey") % 55, (1 + F.col("o_custkey") % 150).cast("string")
+    short, pad = F.lpad((y % 100).cast("string"), 2, "0"), F.when(F.length(n) < 2, F.lpad(n, 2, "0")).otherwise(n)
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    kinds = [text(y, "-", pad), text(short, "-", n), text(y, "-", pad, "B"), text(y, "-", pad, "&-07"), text("Case ", short, "-", n), text(y, "-__")]
+    raw = F.element_at(F.array(*kinds), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", fn.case_key(raw).alias("roster"), fn.case_key(raw, suffix=False).alias("audit"), fn.case_key(raw, pad=2).alias("stub"))
 
 
 @query("""SELECT o_orderkey, o_orderkey || CASE WHEN o_orderkey % 100 BETWEEN 10 AND 20 THEN 'th' WHEN o_orderkey % 10 = 1 THEN 'st' WHEN o_orderkey % 10 = 2 THEN 'nd' WHEN o_orderkey % 10 = 3 THEN 'rd' ELSE 'th' END AS nth FROM orders""")
@@ -516,38 +524,54 @@ def markdown_table_scan(spark, d):
     return rows.select("section", F.col("line_no").cast("long").alias("line_no"), F.get("cells", F.lit(0)).alias("key"), F.get("cells", F.lit(1)).alias("name"))
 
 
-REVIEW_TEXT = """# Journal
-II. Report concerning the Minutes of presbyteries
-1. That the Minutes of Ascension Presbytery
-a. Be approved without exception: March 1998
-b. with exceptions of substance:
-Exception: March 7, 1998: BCO 13-6 the examination of a minister was not recorded
-2) Minutes were not signed by the clerk (BCO 10-4)
-Response: The presbytery agrees
-and will correct it.
-e. Responses found unsatisfactory:
-General: RAO 16-3 no record of a called meeting was kept
-2. That the Minutes of Calvary Presbytery
-c. exceptions of substance:
-Jan 12, 1997: no quorum was noted, see BCO 13-4
-III. Other business"""
-BROKEN = ["the ch urch in amer ica", "Robert S. went", "J U N E 3", "Pres bytery of the ch urchin"]
 TERMS_OF = {"phrase": ["church in America"], "common": ["church", "presbytery"], "name": ["roberts"], "shifted": ["church in"]}
 
 
-@query("""SELECT * FROM (VALUES ('the ch urch in amer ica', 'the church in America'), ('Robert S. went', 'Robert S. went'), ('J U N E 3', 'J U N E 3'), ('Pres bytery of the ch urchin', 'Presbytery of the church in')) AS t(broken, fixed)""")
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'the church in America, ' || p_name WHEN 1 THEN 'Robert S. went, ' || p_name WHEN 2 THEN p_name || ' J U N E 3' ELSE p_name || ', Presbytery of the church in' END AS fixed FROM part""")
 def tree_trie_despace(spark, d):
-    rows = spark.createDataFrame([(x, x) for x in BROKEN], "broken string, fixed string")
-    return repair.despace(rows, "fixed", TERMS_OF)
+    """REP-2, REP-3: names of parts beside broken phrases, and what only looks broken."""
+    whole = F.array(F.concat(F.lit("the ch urch in amer ica, "), "p_name"), F.concat(F.lit("Robert S. went, "), "p_name"), F.concat("p_name", F.lit(" J U N E 3")), F.concat("p_name", F.lit(", Pres bytery of the ch urchin")))
+    return repair.despace(table(spark, d, "part").select("p_partkey", F.element_at(whole, (F.col("p_partkey") % 4 + 1).cast("int")).alias("fixed")), "fixed", TERMS_OF)
 
 
-@query("""SELECT * FROM (VALUES ('Ascension', 'raised', 'March 7, 1998', 'the examination', 'BCO 13-6', 0), ('Ascension', 'raised', '', 'Minutes were no', 'BCO 10-4', 2), ('Ascension', 'unsatisfactory', 'General', 'RAO 16-3 no rec', 'RAO 16-3', 0),
-('Calvary', 'raised', 'Jan 12, 1997', 'no quorum was n', 'BCO 13-4', 0)) AS t(body, finding, dates, begins, provisions, replies)""")
+# What stands before a document's text, by its number, so that the documents of a language read like a volume of minutes with reviews.
+SHAPES = [
+    "'1. That the Minutes of ' || source || ' Presbytery'", "'c. exceptions of substance:'", "'Exception: March 7, 1998: BCO ' || doc_id || '-3 was not recorded'", "'General: RAO 16-3 no record of meeting ' || doc_id", "'Response: the clerk agrees, ' || doc_id",
+    "'2) Minutes were not signed by the clerk of ' || doc_id", "'d. Responses found satisfactory:'", "'Exception: no quorum at meeting ' || doc_id", "'That no response to the 25th General Assembly was submitted'", "'a. Be approved without exception: ' || doc_id",
+    "'Rationale: see ' || doc_id", "'<a id=\"ga25-p' || doc_id || '\"></a>'",
+]
+SHAPE = "CASE WHEN doc_id % 100 = 0 THEN 'II. Report concerning the Minutes of presbyteries' WHEN doc_id % 331 = 330 THEN 'IX. Other business' " + " ".join(f"WHEN doc_id % 12 = {k} THEN {x}" for k, x in enumerate(SHAPES)) + " END"
+LIKE = {k: f"regexp_matches(line, '{v}')" for k, v in parsing.REVIEW.items()}
+
+
+@query(rf"""WITH raw AS (SELECT lang AS vol, doc_id * 1000 AS line_no, {SHAPE} AS line FROM documents
+  UNION ALL SELECT lang, doc_id * 1000 + i, l[i] FROM (SELECT lang, doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT lang, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+b AS (SELECT *, row_number() OVER (PARTITION BY vol ORDER BY line_no) AS r, CASE WHEN {LIKE["body"]} THEN 1 ELSE 0 END AS is_body FROM raw),
+look AS (SELECT *, coalesce(sum(is_body) OVER (PARTITION BY vol ORDER BY r ROWS BETWEEN 1 FOLLOWING AND 899 FOLLOWING), 0) AS n FROM b),
+head AS (SELECT vol, r AS r0 FROM look WHERE {LIKE["region"]} AND NOT {LIKE["index"]} AND n > 0 QUALIFY row_number() OVER (PARTITION BY vol ORDER BY n DESC, r) = 1),
+stop AS (SELECT vol, min(r) AS r1 FROM b JOIN head USING (vol) WHERE r > r0 AND {LIKE["top"]} AND NOT regexp_matches(line, 'Presbytery|Minutes') GROUP BY vol),
+region AS (SELECT b.* FROM b JOIN head USING (vol) LEFT JOIN stop USING (vol) WHERE r >= r0 AND (r1 IS NULL OR r < r1)),
+said AS (SELECT *, lower(line) AS low FROM region),
+m AS (SELECT *, CASE WHEN {LIKE["forwarded"]} AND NOT {LIKE["response"]} THEN 'unsatisfactory' WHEN contains(low, 'unsatisfactory') THEN 'unsatisfactory' WHEN contains(low, 'satisfactory') THEN 'satisfactory' WHEN contains(low, 'without exception') THEN 'skip'
+  WHEN contains(low, 'exception of substance') OR contains(low, 'exceptions of substance') THEN 'raised' WHEN contains(low, 'exception of form') OR contains(low, 'exceptions of form') THEN 'skip' END AS mode FROM said),
+k AS (SELECT *, CASE WHEN {LIKE["body"]} THEN 'body' WHEN mode IS NOT NULL THEN 'mode' WHEN {LIKE["exception"]} THEN 'exception' WHEN length(regexp_extract(line, '{parsing.REVIEW["numbered"]}', 1)) > 12 THEN 'numbered' WHEN {LIKE["dated"]} THEN 'dated'
+  WHEN {LIKE["response"]} THEN 'response' ELSE 'text' END AS kind FROM m),
+c AS (SELECT *, last_value(CASE WHEN kind = 'body' THEN regexp_extract(line, '{parsing.REVIEW["body"]}', 1) END IGNORE NULLS) OVER w AS body, last_value(CASE WHEN kind = 'body' THEN 'none' WHEN kind = 'mode' THEN mode END IGNORE NULLS) OVER w AS finding,
+  last_value(nullif(regexp_extract(line, '{parsing.REVIEW["anchor"]}', 1), '') IGNORE NULLS) OVER w AS page_anchor FROM k WINDOW w AS (PARTITION BY vol ORDER BY r ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT * FROM c WHERE finding IN ('raised', 'satisfactory', 'unsatisfactory') OR kind IN ('body', 'mode')),
+o AS (SELECT *, sum(CASE WHEN kind IN ('exception', 'numbered', 'dated') THEN 1 ELSE 0 END) OVER w AS item, last_value(CASE WHEN kind IN ('body', 'mode') THEN 0 WHEN kind IN ('exception', 'numbered', 'dated') THEN 1 END IGNORE NULLS) OVER w AS open
+  FROM f WINDOW w AS (PARTITION BY vol ORDER BY r ROWS UNBOUNDED PRECEDING))
+SELECT vol, CAST(item AS BIGINT) AS item, any_value(body) AS body, any_value(finding) AS finding, min(line_no) AS first_line, max(line_no) AS last_line, count(*) AS n_lines, count(*) FILTER (WHERE kind = 'response') AS n_replies, arg_min(page_anchor, line_no) AS page_anchor,
+  max(CASE WHEN kind = 'dated' THEN regexp_extract(line, '{parsing.REVIEW["dated"]}', 1) WHEN kind = 'exception' AND contains(line, '1998: ') THEN 'March 7, 1998' ELSE '' END) AS dates FROM o WHERE open = 1 GROUP BY vol, item""")
 def review_state_machine(spark, d):
-    rows = readers.lines(spark.createDataFrame([("ga26_1998", REVIEW_TEXT)], "vol string, text string"), "vol")
-    out = parsing.review_records(rows)
-    begins = F.substring(F.trim(F.regexp_replace("description", r"^BCO 13-6 ", "")), 1, 15)
-    return out.select("body", "finding", "dates", begins.alias("begins"), F.array_join("provisions", "|").alias("provisions"), F.size("responses").alias("replies"))
+    """PAR-3, PAR-4, WIN-9, WIN-11: all lines of all documents of a language as one volume: its review region, and in it body, mode and open exception carried down."""
+    own = docs(spark, d).select("lang", "doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    shape = own.select(F.col("lang").alias("vol"), (F.col("doc_id") * 1000).alias("line_no"), F.expr(SHAPE).alias("line"))
+    text = own.select(F.col("lang").alias("vol"), "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("vol", (F.col("doc_id") * 1000 + F.col("at") + 1).alias("line_no"), "line")
+    events = parsing.review_events(shape.unionByName(text), parity=True)
+    return events.groupBy("vol", "item").agg(
+        F.first("body").alias("body"), F.first("finding").alias("finding"), F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"), F.count("*").alias("n_lines"),
+        F.count_if(F.col("kind") == "response").alias("n_replies"), F.min_by("page_anchor", "line_no").alias("page_anchor"), F.max("dates").alias("dates"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
