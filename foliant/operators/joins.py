@@ -166,67 +166,6 @@ def search_details(files: DataFrame, details: DataFrame) -> DataFrame:
     return met.groupBy("file").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("provisions")))).alias("provisions"), F.min_by(named, F.when(named.isNotNull(), F.struct("_p", "_seq"))).alias("disposition"))
 
 
-def alias_matches(docs: DataFrame, doc_id: str, text: str, aliases: DataFrame, anchor: int = 3) -> DataFrame:
-    """JN-20: (alias_id, doc) where the lower-case text contains the lower-case alias (alias_id, alias).
-
-    Aliases of more than `anchor` words meet documents on their inner whole words by equality, shorter ones on the runs of
-    words that hold them (`short_matches`), blank ones on every document; then `contains` decides. So the join grows with
-    the matches, not with documents times aliases.
-    """
-    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit("([^\\s]+)"), F.lit(1))
-    named = aliases.select("alias_id", "alias", words(F.col("alias")).alias("_w")).filter("alias is not null")
-    long = named.filter(F.size("_w") >= anchor + 1)
-    inner = long.select("alias_id", "alias", F.array_join(F.slice("_w", 2, anchor - 1), " ").alias("_k"))  # the first word may be the end of a longer one
-    grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - (anchor - 1), F.lit(0))), lambda i: F.array_join(F.slice("_w", i + 1, anchor - 1), " "))
-    own = docs.select(doc_id, text).withColumn("_w", words(F.col(text)))
-    keys = own.select(doc_id, F.explode(F.array_distinct(grams)).alias("_k"))
-    pairs = keys.join(F.broadcast(inner) if inner.limit(10_001).count() <= 10_000 else inner, "_k").select(doc_id, "alias_id", "alias")
-    short = named.filter(F.size("_w").between(1, anchor))
-    shapes = sorted(tuple(r) for r in short.select(F.size("_w"), F.least(F.length(F.get("_w", F.lit(0))), F.lit(3)), F.least(F.length(F.element_at("_w", -1)), F.lit(3))).distinct().collect())  # at most 9 for each number of words
-    if shapes:
-        pairs = pairs.unionByName(short_matches(own, doc_id, short, shapes))
-    blank = named.filter(F.size("_w") == 0).select("alias_id", "alias")
-    if not blank.isEmpty():
-        pairs = pairs.unionByName(docs.select(doc_id).crossJoin(blank).select(doc_id, "alias_id", "alias"))
-    return pairs.distinct().join(docs.select(doc_id, text), doc_id).filter(F.contains(F.lower(text), F.lower("alias"))).select("alias_id", doc_id)
-
-
-def short_matches(own: DataFrame, doc_id: str, short: DataFrame, shapes: list[tuple[int, int, int]]) -> DataFrame:
-    """doc_id, alias_id, alias: the aliases of few words (_w) whose words lie in a run of as many words of a document (_w).
-
-    Documents give their distinct runs. Of a run, the corpus's distinct ones meet aliases by equality on up to three letters:
-    for one word those at which the alias begins, anywhere in it; else those that end its first and begin its last word,
-    with the words between. `shapes` has the number of words and of these letters.
-    """
-    joined = short.withColumn("_a", F.array_join("_w", " "))
-    runs, met = [], []
-    for n in sorted({n for n, _, _ in shapes}):
-        at = F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1)))
-        each = F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice("_w", i, n), " ")))  # noqa: B023
-        runs.append(own.filter(F.size("_w") >= n).select(doc_id, F.explode(each).alias("_run"), F.lit(n).alias("_n")))
-    runs = runs[0] if len(runs) == 1 else functools.reduce(DataFrame.unionByName, runs)
-    known = runs.select("_run", "_n").distinct()
-    for n in sorted({n for n, _, _ in shapes}):
-        of = sorted({(a, b) if n > 1 else (a, 0) for m, a, b in shapes if m == n})
-        w, keys = F.split("_run", " "), []
-        if n == 1:
-            for a, _ in of:
-                at = F.sequence(F.lit(1), F.greatest(F.length("_run") - a + 1, F.lit(1)))
-                keys.append(F.transform(at, lambda i: F.substring(F.col("_run"), i, F.lit(a))))  # noqa: B023
-            own_key = F.substring("_a", 1, 3)
-        else:
-            first, last = F.get("_w", F.lit(0)), F.element_at("_w", -1)
-            between = lambda x: F.array_join(F.slice(x, 2, n - 2), " ")  # noqa: E731, B023
-            for a, b in of:
-                keys.append(F.array(F.concat_ws(" ", F.right(F.get(w, F.lit(0)), F.lit(a)), between(w), F.left(F.get(w, F.lit(n - 1)), F.lit(b)))))
-            own_key = F.concat_ws(" ", F.right(first, F.lit(3)), between(F.col("_w")), F.left(last, F.lit(3)))
-        keyed = known.filter(F.col("_n") == n).select("_run", F.explode(F.array_distinct(F.concat(*keys))).alias("_k"))
-        asked = joined.filter(F.size("_w") == n).select("alias_id", "alias", "_a", own_key.alias("_k"))
-        met.append(keyed.join(asked, "_k").filter(F.contains("_run", "_a")).select("_run", F.lit(n).alias("_n"), "alias_id", "alias").distinct())
-    met = functools.reduce(DataFrame.unionByName, met)
-    return runs.join(met, ["_run", "_n"]).select(doc_id, "alias_id", "alias")
-
-
 def reconcile(roster: DataFrame, matches: DataFrame, docs: DataFrame, doc_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """JN-21, AGG-12, AUD-8: roster entries without a document, documents without an entry, and one row of coverage."""
     gaps = roster.join(matches.select("alias_id").distinct(), "alias_id", "left_anti")

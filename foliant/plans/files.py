@@ -69,14 +69,14 @@ def tsv_lookup(spark, d):
     return readers.tsv_row(spark, path, "7", 3)
 
 
-@query("SELECT 'r' || n_regionkey AS slug, '# ' || n_name AS page FROM nation WHERE n_nationkey < 5")
+@query("SELECT 'r' || n_regionkey AS slug, string_agg('# ' || n_name, chr(10) || chr(10) ORDER BY n_name) AS page FROM nation WHERE n_nationkey < 15 GROUP BY 1")
 def page_folders(spark, d):
-    """SNK-5, SNK-6: a page for each slug; pages of an earlier run are gone."""
+    """SNK-5, SNK-6: a file for each slug; pages of an earlier run are gone."""
     path, n = folder(spark, "pages"), table(spark, d, "nation")
     page = lambda df, slug: df.select(F.concat(lit(slug), col("n_regionkey").cast("string")).alias("slug"), F.concat(lit("# "), "n_name").alias("page"))
     sinks.write_pages(page(n, "old"), path)
-    sinks.write_pages(page(n.filter("n_nationkey < 5"), "r"), path)
-    return spark.read.schema("value string, slug string").text(path).select("slug", col("value").alias("page"))
+    sinks.write_pages(page(n.filter("n_nationkey < 15"), "r"), path)
+    return spark.read.text(f"{path}/*.md", wholetext=True).select(F.regexp_extract("_metadata.file_name", "^(.*)[.]md$", 1).alias("slug"), col("value").alias("page"))
 
 
 @query("SELECT r_regionkey, r_name FROM region")
@@ -160,3 +160,32 @@ def pinned_rows(spark, d):
     """QC-5, FN-19: rows whose content has the pinned digest pass; another digest is an error."""
     pinned = quality.check_pin(docs(spark, d).filter("source = 'src1'"), "source", "8bdeed469ebb9e203abcf01af0bdd3cc4341b1338aa74af325626af4915518f8")
     return pinned.select("doc_id", "source", F.sha2("text", 256).alias("digest"))
+
+
+@query("SELECT 'n' || c_nationkey AS vol, c_custkey, c_name FROM customer")
+def volume_files_scan(spark, d):
+    """SRC-2: a file of JSON lines for each nation; the volume is in the file's name."""
+    path = folder(spark, "volumes")
+    line = F.to_json(F.struct("c_custkey", "c_name"))
+    each = table(spark, d, "customer").select(F.concat(lit("n"), col("c_nationkey").cast("string")).alias("slug"), line.alias("page"))
+    sinks.write_pages(each.groupBy("slug").agg(F.array_join(F.collect_list("page"), "\n").alias("page")), path, suffix=".pages.jsonl")
+    return readers.volume_files(spark, f"{path}/*.pages.jsonl", "c_custkey long, c_name string").select("vol", "c_custkey", "c_name")
+
+
+@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_id FROM orders""")
+def scanned_row_ids(spark, d):
+    """SRC-6, WIN-4: orders in files, numbered in the order of files and rows."""
+    path = folder(spark, "orders")
+    table(spark, d, "orders").select("o_orderkey", "o_orderpriority").repartitionByRange(7, "o_orderkey").sortWithinPartitions("o_orderkey").write.json(path)
+    return readers.with_sequence(spark.read.schema("o_orderkey long, o_orderpriority string").json(path)).select("o_orderkey", col("_seq").alias("row_id"))
+
+
+@query("""SELECT c_custkey::VARCHAR AS key, CASE WHEN c_custkey IN (1, 2, 3) THEN 'new ' || c_custkey ELSE c_name END AS value FROM customer UNION ALL SELECT 'rows', (SELECT count(*) FROM customer)::VARCHAR""")
+def loaded_and_set(spark, d):
+    """SNK-1, SNK-3: a table loaded anew, then settings put over and beside its rows."""
+    name, c = f"foliant_{uuid.uuid4().hex}", table(spark, d, "customer")
+    rows = c.select(col("c_custkey").cast("string").alias("key"), col("c_name").alias("value"))
+    sinks.load_table(rows.limit(1), name)
+    n = sinks.load_table(rows, name, ["key"])
+    sinks.upsert_meta(spark, name, {"1": "new 1", "2": "new 2", "3": "new 3", "rows": str(n)})
+    return spark.table(name)

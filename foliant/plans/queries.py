@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
-from ..operators import audit, catalogue, hierarchy, joins, lifecycle, parsing, quality, repair, search
+from ..operators import aliases, audit, catalogue, hierarchy, joins, lifecycle, parsing, quality, repair, search
 from ..session import shared_dir, table
 from ..sources import readers
 from ..streaming import state
@@ -266,7 +266,7 @@ def passages(spark, d) -> DataFrame:
 
 @query("SELECT item_id AS alias_id, doc_id FROM benchmark b JOIN documents d ON contains(lower(d.text), lower(b.text))")
 def alias_contains_join(spark, d):
-    return joins.alias_matches(docs(spark, d), "doc_id", "text", passages(spark, d))
+    return aliases.alias_matches(docs(spark, d), "doc_id", "text", passages(spark, d))
 
 
 SHORT_ALIASES = r"SELECT item_id AS alias_id, regexp_extract(text, CASE item_id % 3 WHEN 0 THEN '^\S+' WHEN 1 THEN '^\S+ \S+' ELSE '^\S+ \S+ \S+' END) AS alias FROM benchmark"
@@ -278,7 +278,7 @@ def alias_short_join(spark, d):
     b = table(spark, d, "benchmark")
     of = lambda n: F.regexp_extract("text", r"^\S+" + r" \S+" * (n - 1), 0)
     alias = F.when(F.col("item_id") % 3 == 0, of(1)).when(F.col("item_id") % 3 == 1, of(2)).otherwise(of(3))
-    return joins.alias_matches(docs(spark, d), "doc_id", "text", b.select(F.col("item_id").alias("alias_id"), alias.alias("alias")))
+    return aliases.alias_matches(docs(spark, d), "doc_id", "text", b.select(F.col("item_id").alias("alias_id"), alias.alias("alias")))
 
 
 @query("SELECT item_id AS alias_id FROM benchmark b WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE contains(lower(d.text), lower(b.text)))")
@@ -396,6 +396,19 @@ def scored_locate_topk(spark, d):
     return search.locate(index(spark, d), asked, known).select("key", "doc", "score", "lead_hits", F.col("rank").cast("long").alias("rank"))
 
 
+@query(r"""WITH q AS (SELECT item_id AS key, regexp_extract_all(lower(text), '[\p{L}\p{N}]{9,}') AS o FROM benchmark), l AS (SELECT DISTINCT key, unnest(o) AS term FROM q), """ + TERMS.removeprefix("WITH ") + r""",
+f AS (SELECT DISTINCT key, doc_id AS doc FROM (SELECT key, unnest(o[1:4]) AS term FROM q) JOIN t USING (term)),
+h AS (SELECT f.key, f.doc, count(*) AS lead_hits FROM f JOIN l ON l.key = f.key JOIN documents d ON d.doc_id = f.doc AND contains(lower(d.text), l.term) GROUP BY ALL),
+s AS (SELECT *, round(lead_hits * 3.0::DOUBLE, 1) AS score FROM h)
+SELECT key, doc, score, lead_hits, rank FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, doc) AS rank FROM s) WHERE rank <= 4""")
+def located_by_substring(spark, d):
+    """AGG-11, JN-5: hits counted anywhere in the texts of the candidates."""
+    lead = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]{9,})"), F.lit(1))
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("key"), lead.alias("lead"), F.array().cast("array<string>").alias("court"), F.lit(0).alias("year"), F.lit(None).cast("int").alias("ga"))
+    known = docs(spark, d).select(F.col("doc_id").alias("doc"), "text", F.lit(0).alias("year"), F.lit(None).cast("int").alias("ga"))
+    return search.locate(index(spark, d), asked, known).select("key", "doc", "score", "lead_hits", F.col("rank").cast("long").alias("rank"))
+
+
 def world(spark, d) -> DataFrame:
     """Regions, nations and suppliers as nested children."""
     s = table(spark, d, "supplier").select("s_nationkey", F.struct(F.lit("supplier").alias("type"), F.col("s_name").alias("label"), F.lit("").alias("title")).alias("n"))
@@ -411,9 +424,18 @@ UNION ALL SELECT vol, 'nation', n_name, 1, n_name, '' FROM n UNION ALL SELECT vo
 f AS (SELECT vol, type, label, level, row_number() OVER (PARTITION BY vol ORDER BY k1, k2) - 1 AS seq FROM a)"""
 
 
+@query("""WITH RECURSIVE c AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 70 > 0 AND c_custkey > 1 THEN c_custkey - 1 END AS up, c_nationkey::VARCHAR AS label FROM customer),
+r AS (SELECT id, 0 AS level, label AS path FROM c WHERE up IS NULL UNION ALL SELECT c.id, level + 1, path || '/' || label FROM c JOIN r ON c.up = r.id) SELECT id AS node_id, level::INT AS level, path FROM r""")
+def tree_path_any_depth(spark, d):
+    """TRE-3: customers in chains of 70."""
+    k = F.col("c_custkey")
+    nodes = table(spark, d, "customer").select(k.alias("node_id"), F.when((k % 70 > 0) & (k > 1), k - 1).alias("parent_id"), F.col("c_nationkey").cast("string").alias("label"))
+    return hierarchy.paths(nodes, separator="/")
+
+
 @query(WORLD + " SELECT vol, type, label, level::BIGINT AS level, seq FROM f")
 def tree_flatten(spark, d):
-    return hierarchy.flatten(world(spark, d), "parts", 3).select("vol", "type", "label", F.col("level").cast("long").alias("level"), F.col("seq").cast("long").alias("seq"))
+    return hierarchy.flatten(world(spark, d), "parts").select("vol", "type", "label", F.col("level").cast("long").alias("level"), F.col("seq").cast("long").alias("seq"))
 
 
 @query("SELECT s_suppkey::BIGINT AS supplier, r_name || ' > ' || n_name || ' > ' || s_name AS path FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
@@ -421,7 +443,7 @@ def tree_path(spark, d):
     r = table(spark, d, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("node_id"), F.lit(None).cast("string").alias("parent_id"), F.col("r_name").alias("label"))
     n = table(spark, d, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("node_id"), F.concat(F.lit("r"), "n_regionkey").alias("parent_id"), F.col("n_name").alias("label"))
     s = table(spark, d, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("node_id"), F.concat(F.lit("n"), "s_nationkey").alias("parent_id"), F.col("s_name").alias("label"))
-    return hierarchy.paths(r.unionByName(n).unionByName(s), 3).filter("level = 2").select(F.substring("node_id", 2, 20).cast("long").alias("supplier"), "path")
+    return hierarchy.paths(r.unionByName(n).unionByName(s)).filter("level = 2").select(F.substring("node_id", 2, 20).cast("long").alias("supplier"), "path")
 
 
 @query("""WITH s AS (SELECT o_custkey AS key, o_orderdate AS at, max(o_orderkey) AS section FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY ALL)
@@ -435,7 +457,7 @@ def enclosing_section(spark, d):
 
 @query(WORLD + " SELECT vol, string_agg(repeat('  ', level) || '- ' || label, chr(10) ORDER BY seq) AS outline FROM f GROUP BY 1")
 def outline_render(spark, d):
-    return hierarchy.outline(hierarchy.flatten(world(spark, d), "parts", 3), "vol")
+    return hierarchy.outline(hierarchy.flatten(world(spark, d), "parts"), "vol")
 
 
 @query("""SELECT type, count(*) AS n, count(DISTINCT title) AS titles, sum(length(url))::BIGINT AS url_chars FROM (SELECT 'document' AS type, source AS title, 'd/' || doc_id AS url FROM documents UNION ALL SELECT 'page', url, url FROM pages WHERE url NOT LIKE 'http://%'

@@ -82,13 +82,13 @@ def roster_coverage(spark, d):
 SELECT vol, label, node_id, CASE level WHEN 0 THEN NULL WHEN 1 THEN max(CASE level WHEN 0 THEN node_id END) OVER w ELSE max(CASE level WHEN 1 THEN node_id END) OVER w END AS parent_id FROM g WINDOW w AS (PARTITION BY vol ORDER BY seq)""")
 def tree_global_ids(spark, d):
     """WIN-4, TRE-1: numbers of nodes over all trees, and those of their parents."""
-    return hierarchy.with_ids(hierarchy.flatten(world(spark, d), "parts", 3)).select("vol", "label", "node_id", "parent_id")
+    return hierarchy.with_ids(hierarchy.flatten(world(spark, d), "parts")).select("vol", "label", "node_id", "parent_id")
 
 
 @query(WORLD + " SELECT vol, label FROM f WHERE level = 0")
 def tree_top_level(spark, d):
     """TRE-2."""
-    return hierarchy.children(hierarchy.with_ids(hierarchy.flatten(world(spark, d), "parts", 3)), None).select("vol", "label")
+    return hierarchy.children(hierarchy.with_ids(hierarchy.flatten(world(spark, d), "parts")), None).select("vol", "label")
 
 
 @query("""WITH r AS (SELECT n_regionkey AS vol, n_nationkey AS line_no, CASE n_nationkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS level, n_name FROM nation),

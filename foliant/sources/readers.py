@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import case_key
+from ..operators.numbering import before, row_ids
 
 PAGES = "vol string, pdf_page int, printed_page int, text string, char_count int, reocr boolean"
 # Entities that the text of a page may have. &amp; is read last, so that &amp;quot; is not read twice.
@@ -70,8 +71,13 @@ def tsv_row(spark: SparkSession, path: str, key: str, columns: int = 5) -> DataF
 
 
 def with_sequence(df: DataFrame, *order: str) -> DataFrame:
-    """SRC-6: _seq, a number in the order of a file or of the given columns; it grows but has gaps."""
-    return (df.orderBy(*order) if order else df).withColumn("_seq", F.monotonically_increasing_id())
+    """SRC-6: _seq, dense numbers from 1: of a scan straight from files in the order of files and rows, whatever the partitions; else in the order of the given columns, equal ones in any."""
+    if not order:
+        return row_ids(df, "_seq")
+    keys = F.struct(*order).alias("_k")
+    sizes = before(df.groupBy(keys).agg(F.count("*").alias("_n")), "_k", "_n", "_before").select("_k", "_before")
+    own = df.withColumn("_k", keys).withColumn("_i", F.row_number().over(Window.partitionBy("_k").orderBy(F.lit(0))))
+    return own.join(sizes, "_k").select(*df.columns, (F.col("_before") + F.col("_i")).alias("_seq"))
 
 
 def pipe_tables(rows: DataFrame, key: str = "vol") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .pages import write_pages  # noqa: F401
 
 WHOLE = 200_000  # rows of a catalogue that is loaded whole
 
@@ -17,13 +18,17 @@ def load_table(df: DataFrame, name: str, keys: list[str] | None = None) -> int:
 
 
 def upsert_meta(spark: SparkSession, name: str, values: dict[str, str]) -> None:
-    """SNK-3: sets keys of a small key-value table, if it exists."""
-    if spark.catalog.tableExists(name):
-        new = spark.createDataFrame(sorted(values.items()), "key string, value string")
-        if spark.table(name).limit(WHOLE + 1).count() > WHOLE:
-            raise ValueError(f"{name} has more than {WHOLE} rows, so it is no table of settings")
-        rows = spark.table(name).join(new, "key", "left_anti").unionByName(new).collect()  # WHOLE rows at most
-        spark.createDataFrame(rows, "key string, value string").write.mode("overwrite").saveAsTable(name)
+    """SNK-3: sets keys of a key-value table, if it exists. The new state is a table of its own before the old one goes, and then takes its name: a crash between
+    leaves it as <name>_next, which the next call finishes with."""
+    following = f"{name}_next"
+    if not spark.catalog.tableExists(name):
+        if not spark.catalog.tableExists(following):
+            return
+        spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+    new = spark.createDataFrame(sorted(values.items()), "key string, value string")
+    spark.table(name).join(F.broadcast(new), "key", "left_anti").unionByName(new).write.mode("overwrite").saveAsTable(following)  # as many as values
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -37,11 +42,6 @@ def page(title, meta, body, source=None, back: str = "[Index](../INDEX.md)") ->
     return F.concat_ws("\n\n", F.concat(F.lit("# "), title), F.nullif(line, F.lit("")), source if source is not None else F.lit(None).cast("string"), body, F.lit(back))
 
 
-def write_pages(df: DataFrame, path: str, name: str = "slug", text: str = "page") -> None:
-    """SNK-5, SNK-6: a folder for each slug with its page; the old tree is replaced."""
-    df.select(name, F.col(text).alias("value")).write.mode("overwrite").partitionBy(name).text(path)
-
-
 def json_array(df: DataFrame, order: list[str]) -> DataFrame:
     """SNK-7: one row, a compact array of all rows. For catalogues that a browser loads whole: an error beyond WHOLE rows; larger ones go to write_json_lines."""
     if df.limit(WHOLE + 1).count() > WHOLE:

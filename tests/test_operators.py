@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliant.functions import text as fn
+from foliant.operators import aliases as aliases_
 from foliant.operators import audit, hierarchy, joins, lifecycle, parsing, quality, repair, search
 from foliant.sources import readers, sinks
 from foliant.streaming import state
@@ -83,9 +84,9 @@ def test_aliases_of_any_number_of_words_are_found(spark):
     names = ["Women", "women", "oke", "book of order", "of order", "order applies", "Book  of", "ttee\ton", "e o", "e of o", "a", "b", "xab", " of ", "God is", "whole counsel of God", "hole counsel of Go", "", " ", "absent", "of absent", "the absent order", "counsel of god", None, "k of o", "and e"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     aliases = spark.createDataFrame(list(enumerate(names)), "alias_id int, alias string")
-    got = sorted(tuple(r) for r in joins.alias_matches(docs, "doc_id", "text", aliases).collect())
+    got = sorted(tuple(r) for r in aliases_.alias_matches(docs, "doc_id", "text", aliases).collect())
     assert got == sorted((i, d) for i, a in enumerate(names) for d, t in enumerate(texts) if a is not None and t is not None and a.lower() in t.lower())
-    gaps, extra, _ = joins.reconcile(aliases.filter("alias_id in (0, 19)"), joins.alias_matches(docs, "doc_id", "text", aliases.filter("alias_id in (0, 19)")), docs, "doc_id")
+    gaps, extra, _ = joins.reconcile(aliases.filter("alias_id in (0, 19)"), aliases_.alias_matches(docs, "doc_id", "text", aliases.filter("alias_id in (0, 19)")), docs, "doc_id")
     assert [r.alias_id for r in gaps.collect()] == [19] and sorted(r.doc_id for r in extra.collect()) == [0, 1, 4, 5, 6, 7, 8]
 
 
