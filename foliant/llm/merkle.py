@@ -127,7 +127,8 @@ def fixity(pages: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataFr
 
 
 def write_warc(pages: DataFrame, path: str) -> None:
-    """WARC text files in record order, one a partition. The writer ends each value with \\n, the last character of a record."""
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = pages.repartitionByRange(parts, "page_id").sortWithinPartitions("page_id")
-    ordered.select(record(F.col("page_id"), F.col("url"), F.col("html")).alias("r")).selectExpr("left(r, length(r) - 1) AS value").write.text(path)
+    """WARC text files, one a partition, whose bytes one after the other (by name) have each record where `leaves` and `fixity` say: in the order of page_id and
+    digest. The writer ends each value with \\n, the last character of a record."""
+    made = pages.select("page_id", record(F.col("page_id"), F.col("url"), F.col("html")).alias("r")).withColumn("digest", F.sha2("r", 256))
+    order = [F.col("page_id").asc_nulls_first(), F.col("digest")]
+    made.repartitionByRange(*order).sortWithinPartitions(*order).selectExpr("left(r, length(r) - 1) AS value").write.text(path)

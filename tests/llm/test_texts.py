@@ -357,3 +357,59 @@ def test_pipeline_stages_on_odd_tables(spark, tmp_path):
             if name in ("quality classifier", "exact dedup"):
                 assert docs.count() == {"quality classifier": len(table), "exact dedup": 4 if table else 0}[name]
         assert docs.select("doc_id").distinct().count() == before.select("doc_id").distinct().count()
+
+
+BSD_HEAD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+BSD_TAIL = "THIS SOFTWARE IS PROVIDED BY {} \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL {} BE LIABLE FOR ANY DIRECT DAMAGES."
+PROMOTE = "used to endorse or promote products derived from this software without specific prior written permission.\n\n"
+FREE = "This {} is free software: you can redistribute it and/or modify it under the terms of the {} as published by the Free Software Foundation, {}.\n\nThis {} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+LATER = "either version {} of the License, or (at your option) any later version"
+APACHE_TEXT = "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.\n\n      \"License\" shall mean the terms and conditions for use, reproduction,\n      and distribution as defined by Sections 1 through 9 of this document."
+PUBLISHED = [  # texts as they are published or commonly written, with the licence that each one is
+    (BSD_HEAD + "3. Neither the name of Example Inc. nor the names of its contributors may be " + PROMOTE + BSD_TAIL.format("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT OWNER"), ["BSD-3-Clause"]),
+    (BSD_HEAD + "3. Neither the name of the University of California, Berkeley nor the names of its\n   contributors may be " + PROMOTE + BSD_TAIL.format("THE REGENTS AND CONTRIBUTORS", "THE REGENTS"), ["BSD-3-Clause"]),
+    (BSD_HEAD + "3. The name of the author may not be " + PROMOTE + BSD_TAIL.format("THE AUTHOR", "THE AUTHOR"), ["BSD-3-Clause"]),
+    (BSD_HEAD + BSD_TAIL.format("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDER"), ["BSD-2-Clause"]),
+    (BSD_HEAD + BSD_TAIL.format("EXAMPLE INC", "EXAMPLE INC"), ["BSD-2-Clause"]),
+    (BSD_HEAD + "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software.\n\n4. Neither the name of the University nor the names of its contributors may be " + PROMOTE + BSD_TAIL.format("THE REGENTS AND CONTRIBUTORS", "THE REGENTS"), ["BSD-4-Clause"]),
+    (FREE.format("program", "GNU General Public License", "version 3 of the License", "program"), ["GPL-3.0-only"]),
+    (FREE.format("program", "GNU General Public License", "version 3", "program"), ["GPL-3.0-only"]),
+    (FREE.format("program", "GNU General Public License", LATER.format(2), "program").split("\n\n")[0], ["GPL-2.0-or-later"]),
+    (FREE.format("program", "GNU General Public License", LATER.format(3), "program"), ["GPL-3.0-or-later"]),
+    (FREE.format("library", "GNU Lesser General Public License", LATER.format("2.1"), "library"), ["LGPL-2.1-or-later"]),
+    (FREE.format("library", "GNU Lesser General Public License", LATER.format(3), "library"), ["LGPL-3.0-or-later"]),
+    (FREE.format("program", "GNU Affero General Public License", LATER.format(3), "program"), ["AGPL-3.0-or-later"]),
+    (FREE.format("software", "GNU Affero General Public License", "version 3 of the License", "software"), ["AGPL-3.0-only"]),
+    (APACHE_TEXT, ["Apache-2.0"]),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n", ["GPL-3.0-only"]),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n", ["MPL-2.0"]),
+    ("// SPDX-License-Identifier: Apache-2.0\nint main;", ["Apache-2.0"]), ("/* SPDX-License-Identifier: GPL-2.0+ */", ["GPL-2.0-or-later"]), ("# SPDX-License-Identifier: GPL-2.0\n", ["GPL-2.0-only"]), ("SPDX-License-Identifier: BSD-3-Clause", ["BSD-3-Clause"]), ("SPDX-License-Identifier: MPL-1.1\n", ["MPL-1.1"]),
+    ("This project is licensed under the terms of the MIT license.", ["MIT"]), ("Distributed under the terms of the GNU GPL v2.", ["GPL-2.0-only"]), ("This file is distributed under the terms of the GNU General Public License version 3 or later.", ["GPL-3.0-or-later"]),
+    ("Released under the Apache License 2.0.\n", ["Apache-2.0"]), ("Licensed under an MIT license.", ["MIT"]), ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]), ("Available under the Boost Software License, Version 1.0.", ["BSL-1.0"]), ("Licensed under the EUPL 1.2.", ["EUPL-1.2"]),
+    ("It is said to be licensed under the MIT license.", []), ("SPDX-License-Identifier: NoSuch-1.0", []), ("Neither the name of the rose nor the names of its friends matter.", []), ("The GNU General Public License version 3 is long.", []), ("Licensed under the moon.", []),
+]
+
+
+@pytest.mark.parametrize("leader", ["", " * ", "# "])
+def test_published_texts(docs, leader):
+    """Whole texts with a known answer, plain and in comments; the SQL gives the same."""
+    texts = ["\n".join((leader + x).rstrip() for x in t.split("\n")) for t, _ in PUBLISHED]
+    got = [r.licenses for r in licenses.scan(docs(texts)).orderBy("doc_id").collect()]
+    assert [(t, g) for (t, _), g in zip(PUBLISHED, got)] == PUBLISHED
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    assert con.execute(f"SELECT licenses FROM ({licenses.oracle()}) ORDER BY doc_id").fetchall() == [(",".join(x),) for _, x in PUBLISHED]
+
+
+def test_warc_files_have_records_at_the_audited_offsets(spark, tmp_path):
+    """The bytes of the files, one after the other, at each offset of the audit; repeated ids, equal rows, nulls and long pages among them."""
+    import hashlib
+
+    rows = [(i % 40 if i % 7 else None, f"http://x/{i % 9}" if i % 5 else None, f"<p>é {i % 31}</p>\r\n\n" * (i % 4) if i % 11 else None) for i in range(300)] + [(3, "u", "z" * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    merkle.write_warc(pages, f"{tmp_path}/w")
+    data = b"".join(p.read_bytes() for p in sorted((tmp_path / "w").glob("part-*")))
+    got = merkle.fixity(pages, pages).collect()
+    assert len(got) == len(rows) and sum(r.size for r in got) == len(data)
+    assert all(hashlib.sha256(data[r.start : r.start + r.size]).hexdigest() == r.digest for r in got) and [r.start for r in sorted(got, key=lambda r: r.rec_no)] == sorted(r.start for r in got)
+    merkle.write_warc(pages.limit(0), f"{tmp_path}/none")
