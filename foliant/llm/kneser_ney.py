@@ -5,8 +5,9 @@ Training runs in three Spark jobs. (1) Words are counted; the vocabulary is writ
 (2) Bigrams are counted in each partition, packed by ranges into blocks (sorted,
 differenced, compressed), shuffled and merged; each range is written as a sorted array of
 packed pairs with counts, with totals of each first word. Ranges are cut by the words' counts, so each has
-about PENDING tokens or fewer; a word of more is cut by second word, and its totals are added up. (3) The numbers of different first words of each word are
-packed, shuffled and merged likewise. Workers map the files read-only and search sorted queries.
+about PENDING tokens or fewer; a word of more is cut by second word, and its totals are added up. Where ranges and files begin stands in files, too. (3) The numbers of different first words of each word are
+packed, shuffled and merged likewise. Workers map the files read-only, at most MAPS of them at a time, and search sorted queries in those files only
+that may hold them.
 The files lie in the shared folder (spark.checkpoint.dir), which must be mounted as files on all workers.
 
 Training tokens of a text are its words (A-Z lower-cased) and one end; the first word follows a begin mark.
@@ -38,37 +39,23 @@ from .shared import materialize
 END = K.U(0x5E17D1CE0FEED5E1)
 PER_FILE = 1 << 20
 PENDING = 4 << 20
+MAPS = 4096
 _open: dict[str, "Files"] = {}
 
 
 @dataclass
 class Model:
-    """What the driver knows: the folder, the cuts of its files and a few sums."""
+    """What goes with every task: the folder and a few sums, whatever the number of files."""
 
     path: str
-    bits: int
-    starts: list[int]  # first id of each vocabulary file, and V
-    cuts: list[int]  # packed pairs at which the ranges begin, and the end of all
-    full: frozenset[int]  # the ranges that have bigrams
-    hot: dict[int, list[int]]  # total, n1, n2, n3 of first words that are cut by second word
+    bits: int  # leading bits of a hash that name its vocabulary file
+    size: int  # V
     tokens: int
     discounts: tuple[float, float, float]
     below: tuple[float, float, float]  # discounts of the continuation counts
     types: int  # different bigrams
     back: float  # weight of 1 / (V + 1) in the unigram level
 
-    @property
-    def size(self) -> int:
-        return self.starts[-1]
-
-    @property
-    def ranges(self) -> int:
-        return len(self.cuts) - 1
-
-    def low(self, k: int) -> int:
-        """The first word at which range k begins."""
-        return self.cuts[k] // (self.size + 1)
-
 
 def save(path: str, values: np.ndarray) -> None:
     """Whole or not at all, so a task that is run again does no harm."""
@@ -79,54 +66,74 @@ def save(path: str, values: np.ndarray) -> None:
 
 
 class Files:
-    """The arrays of a model in this worker, mapped when first used."""
+    """The arrays of a model in this worker, mapped when first used; of all but those of the whole model, the least lately used go beyond MAPS."""
 
     def __init__(self, model: Model):
-        self.model, self.maps = model, {}
+        self.model, self.maps, self.kept = model, {}, {}
 
     def get(self, name: str) -> np.ndarray:
-        if name not in self.maps:
-            self.maps[name] = np.load(f"{self.model.path}/{name}.npy", mmap_mode="r")
-        return self.maps[name]
+        found = self.maps.pop(name, None)
+        if found is None:
+            found = np.load(f"{self.model.path}/{name}.npy", mmap_mode="r")
+            while len(self.maps) >= MAPS:
+                del self.maps[next(iter(self.maps))]
+        self.maps[name] = found
+        return found
+
+    def whole(self, name: str) -> np.ndarray:
+        """starts: first id of each vocabulary file, and V. cuts: packed pairs at which ranges begin, and the end of all. full: which ranges have
+        bigrams. hot: word, total, n1, n2, n3 of first words that are cut by second word, in order."""
+        if name not in self.kept:
+            self.kept[name] = np.load(f"{self.model.path}/{name}.npy", mmap_mode="r")
+        return self.kept[name]
+
+    def low(self, k: int) -> int:
+        """The first word at which range k begins."""
+        return int(self.whole("cuts")[k]) // (self.model.size + 1)
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of sorted hashes, -1 where unknown."""
-        m, out = self.model, np.full(len(hashes), -1, np.int64)
-        cuts = [0, *(np.searchsorted(hashes, K.U(k << (64 - m.bits))) for k in range(1, 1 << m.bits)), len(hashes)]
-        for k in range(1 << m.bits):
-            if m.starts[k] < m.starts[k + 1] and cuts[k] < cuts[k + 1]:
-                known, asked = self.get(f"word-{k}"), hashes[cuts[k] : cuts[k + 1]]
-                at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-                out[cuts[k] : cuts[k + 1]] = np.where(known[at] == asked, at + m.starts[k], -1)
+        out, starts = np.full(len(hashes), -1, np.int64), self.whole("starts")
+        file = (hashes >> K.U(64 - self.model.bits)).astype(np.int64) if self.model.bits else np.zeros(len(hashes), np.int64)
+        for k, at in runs(file):
+            if starts[k] < starts[k + 1]:
+                known, asked = self.get(f"word-{k}"), hashes[at]
+                place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                out[at] = np.where(known[place] == asked, place + starts[k], -1)
         return out
 
     def by_word(self, name: str, ids: np.ndarray) -> np.ndarray:
         """Values of sorted ids; ids cut as the vocabulary files."""
-        m, out = self.model, np.zeros(len(ids), np.int64)
-        cuts = np.searchsorted(ids, m.starts)
-        for k in range(1 << m.bits):
-            if cuts[k] < cuts[k + 1]:
-                out[cuts[k] : cuts[k + 1]] = self.get(f"{name}-{k}")[ids[cuts[k] : cuts[k + 1]] - m.starts[k]]
+        out, starts = np.zeros(len(ids), np.int64), self.whole("starts")
+        for k, at in runs(np.searchsorted(starts, ids, "right") - 1):
+            out[at] = self.get(f"{name}-{k}")[ids[at] - starts[k]]
         return out
 
     def pairs(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts of bigrams sorted by (first, second), and total, n1, n2, n3 of their first words. Ranges without bigrams have no files."""
-        m = self.model
         counts, sums = np.zeros(len(first), np.int64), np.zeros((4, len(first)), np.int64)
-        asked = first * np.int64(m.size + 1) + second
-        cuts = np.searchsorted(asked, m.cuts)
-        for k in range(m.ranges):
-            at = slice(cuts[k], cuts[k + 1])
-            if cuts[k] < cuts[k + 1] and k in m.full:
+        asked, full, hot = first * np.int64(self.model.size + 1) + second, self.whole("full"), self.whole("hot")
+        for k, at in runs(np.searchsorted(self.whole("cuts"), asked, "right") - 1):
+            if k < len(full) and full[k]:
                 known = self.get(f"pair-{k}")
                 place = np.minimum(np.searchsorted(known, asked[at]), len(known) - 1)
                 counts[at] = np.where(known[place] == asked[at], self.get(f"times-{k}")[place], 0)
-                sums[:, at] = self.get(f"first-{k}")[:, first[at] - m.low(k)]
-        for word, of in m.hot.items():
-            sums[:, slice(*np.searchsorted(first, [word, word + 1]))] = np.array(of)[:, None]
+                sums[:, at] = self.get(f"first-{k}")[:, first[at] - self.low(k)]
+        if hot.shape[1]:
+            at = np.minimum(np.searchsorted(hot[0], first), hot.shape[1] - 1)
+            own = hot[0][at] == first
+            sums[:, own] = hot[1:, at[own]]
         return counts, sums
 
 
+def runs(sorted_: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each value that occurs, with where it stands: as many steps as different values."""
+    if len(sorted_):
+        cut = np.nonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1], [True]]))[0]
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            yield int(sorted_[a]), slice(a, b)
+
+
 def opened(model: Model) -> Files:
     if model.path not in _open or _open[model.path].model != model:  # it is completed while it is trained
         _open.clear()
@@ -272,8 +279,7 @@ def count_pairs(docs: DataFrame, model: Model) -> DataFrame:
                 _, ids, before = tokens(c, files)
                 tally.add(before * wide + ids)
         keys, counts = tally.merge()
-        cuts = np.searchsorted(keys, model.cuts)
-        rows = [(k, pack(keys[a:b]), pack(counts[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
+        rows = [(k, pack(keys[at]), pack(counts[at])) for k, at in runs(np.searchsorted(files.whole("cuts"), keys, "right") - 1)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))], ["k", "keys", "counts"])
         K.release()
 
@@ -287,9 +293,10 @@ def write_pairs(packed: DataFrame, model: Model, hot: list[int]) -> DataFrame:
     own = set(hot)
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        k, wide = int(pdf["k"].iloc[0]), np.int64(model.size + 1)
+        k, wide, files = int(pdf["k"].iloc[0]), np.int64(model.size + 1), opened(model)
         keys, counts = summed([unpack(x) for x in pdf["keys"]], [unpack(x) for x in pdf["counts"]])
-        low, n = model.low(k), -(-model.cuts[k + 1] // int(wide)) - model.low(k)
+        low = files.low(k)
+        n = -(-int(files.whole("cuts")[k + 1]) // int(wide)) - low
         first, second = keys // wide - low, keys % wide
         by = lambda weights=None: np.bincount(first, weights, minlength=n).astype(np.int64)
         save(f"{model.path}/pair-{k}.npy", keys)
@@ -297,8 +304,7 @@ def write_pairs(packed: DataFrame, model: Model, hot: list[int]) -> DataFrame:
         totals = np.stack([by(counts), by(counts == 1), by(counts == 2), by(counts >= 3)])
         save(f"{model.path}/first-{k}.npy", totals)
         words, of = np.unique(second, return_counts=True)
-        cuts = np.searchsorted(words, model.starts)
-        rows = [(j, pack(words[a:b]), pack(of[a:b]), None) for j, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
+        rows = [(j, pack(words[at]), pack(of[at]), None) for j, at in runs(np.searchsorted(files.whole("starts"), words, "right") - 1)]
         rows.append((None, None, None, [k, len(keys), *of_counts(counts)]))
         rows += [(-1, None, None, [low, *totals[:, 0].tolist()])] if low in own and n == 1 else []
         return pd.DataFrame(rows, columns=["j", "ids", "counts", "sums"]).astype({"j": "Int32"})
@@ -312,8 +318,9 @@ def write_below(rows: DataFrame, model: Model) -> DataFrame:
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         j = int(pdf["j"].iloc[0])
         ids, counts = summed([unpack(x) for x in pdf["ids"]], [unpack(x) for x in pdf["counts"]])
-        dense = np.zeros(model.starts[j + 1] - model.starts[j], np.int64)
-        dense[ids - model.starts[j]] = counts
+        starts = opened(model).whole("starts")
+        dense = np.zeros(starts[j + 1] - starts[j], np.int64)
+        dense[ids - starts[j]] = counts
         save(f"{model.path}/below-{j}.npy", dense)
         return pd.DataFrame({"sums": [[int((dense >= 3).sum()), *of_counts(dense)]]})
 
@@ -332,19 +339,24 @@ def train(docs: DataFrame, folder: str | None = None) -> Model:
     bits, starts, marks, n = write_words(counts, path)
     texts = counts.filter(F.col("w") == int(END.astype(np.int64))).first()
     cuts, hot = cut_ranges([*marks, (starts[-1], texts["n"] if texts else 0)], starts[-1])  # the begin mark comes last, once a text
-    model = Model(path, bits, starts, cuts, frozenset(), {}, n, (0.5, 0.75, 0.9), (0.5, 0.75, 0.9), 0, 1.0)
+    save(f"{path}/starts.npy", np.array(starts, np.int64))
+    save(f"{path}/cuts.npy", np.array(cuts, np.int64))
+    model = Model(path, bits, starts[-1], n, (0.5, 0.75, 0.9), (0.5, 0.75, 0.9), 0, 1.0)
     if not n:
         return model
     rows = materialize(write_pairs(count_pairs(docs, model), model, hot), "pairs")
     totals: dict[int, list[int]] = {}
     for word, *of in (r["sums"] for r in rows.filter("j = -1").select("sums").collect()):  # a row for each range of a hot word
         totals[word] = [a + b for a, b in zip(totals.get(word, [0] * 4), of)]
-    add = lambda df: np.sum([r["sums"] for r in df.select("sums").collect()], axis=0).tolist()  # noqa: E731  # a row for each file
-    full = frozenset(r["sums"][0] for r in rows.filter("j is null").select("sums").collect())
-    _, types, *of = add(rows.filter("j is null"))
-    three, *below = add(materialize(write_below(rows, model), "below"))
+    full = np.zeros(len(cuts) - 1, bool)
+    full[[r["k"] for r in rows.filter("j is null").select(F.get("sums", F.lit(0)).alias("k")).collect()]] = True  # a row for each range
+    save(f"{path}/full.npy", full)
+    save(f"{path}/hot.npy", np.array([(w, *of) for w, of in sorted(totals.items())], np.int64).reshape(-1, 5).T)
+    part = lambda of, m: [F.sum(F.get("sums", F.lit(i))).alias(str(i)) for i in range(of, m)]
+    types, *of = rows.filter("j is null").agg(*part(1, 6)).first()
+    three, *below = materialize(write_below(rows, model), "below").agg(*part(0, 5)).first()
     d = discounts(below)
-    return Model(path, bits, starts, cuts, full, totals, n, discounts(of), d, types, (d[0] * below[0] + d[1] * below[1] + d[2] * three) / types)
+    return Model(path, bits, starts[-1], n, discounts(of), d, types, (d[0] * below[0] + d[1] * below[1] + d[2] * three) / types)
 
 
 def score_chunk(chunk: K.Chunk, files: Files) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

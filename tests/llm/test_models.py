@@ -77,7 +77,34 @@ def test_kneser_ney_against_dictionaries(spark, docs, monkeypatch):
     rows += [(600 + i, f"hot w{i % 90} hot W{i % 7}") for i in range(400)]  # a first word, and the begin mark, of far more than PENDING tokens
     check_scores(spark, docs(rows).repartition(5), rows)
     model = kneser_ney.train(docs(rows))
-    assert len(model.hot) >= 2 and model.size in model.hot
+    hot = kneser_ney.opened(model).whole("hot")[0].tolist()
+    assert len(hot) >= 2 and model.size in hot and hot == sorted(hot)
+
+
+def test_lookups_visit_only_the_ranges_they_hit(tmp_path, monkeypatch):
+    """20,000 ranges of five bigrams each: a query opens the files of its own ranges, few stay mapped, and what goes with a task is small."""
+    import pickle
+    import time
+
+    monkeypatch.setattr(kneser_ney, "MAPS", 64)
+    n, size = 20_000, 99_999
+    cuts = np.arange(n + 1, dtype=np.int64) * 5 * (size + 1)
+    for name, values in (("cuts", cuts), ("starts", np.array([0, size])), ("full", np.ones(n, bool)), ("hot", np.array([[7], [40], [1], [2], [3]]))):
+        np.save(tmp_path / f"{name}.npy", values)
+    model = kneser_ney.Model(str(tmp_path), 0, size, 10, (0.5, 0.75, 0.9), (0.5, 0.75, 0.9), 1, 1.0)
+    rng = np.random.default_rng(1)
+    hit = np.unique(rng.integers(0, n, 200))
+    for k in hit:
+        words = np.arange(5 * k, 5 * k + 5)
+        np.save(tmp_path / f"pair-{k}.npy", words * (size + 1) + words)
+        np.save(tmp_path / f"times-{k}.npy", words % 7 + 1)
+        np.save(tmp_path / f"first-{k}.npy", np.tile(words % 7 + 1, (4, 1)))
+    files, first = kneser_ney.Files(model), np.sort(np.concatenate([5 * hit, 5 * hit + 3]))
+    files.pairs(first, first)
+    began = time.perf_counter()
+    counts, sums = files.pairs(first, first)
+    assert time.perf_counter() - began < 2 and len(files.maps) <= 64 and len(pickle.dumps(model)) < 1000
+    assert (counts == first % 7 + 1).all() and (sums[0] == np.where(first == 7, 40, first % 7 + 1)).all() and (files.pairs(first, first + 1)[0] == 0).all()
 
 
 def test_kneser_ney_on_the_documents(spark):
