@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import functools
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import bare, case_key
+from ..functions.text import bare, case_key, party_share
 
 
 def keep_best(df: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -108,16 +107,16 @@ def relink(missing: DataFrame, cases: DataFrame, span: int = 3) -> DataFrame:
     return a.join(b.withColumn("_r", run(F.col("_z"))), ["t", "_r"]).filter(F.abs(F.col("_y") - F.col("_z")) <= span).groupBy("key").agg(F.min_by("case_id", "_seq").alias("relink"))
 
 
-def merge_found(existing: DataFrame, found: DataFrame, share: float = 0.5) -> DataFrame:
+def merge_found(existing: DataFrame, found: DataFrame, share: float = 0.5, likeness: float | None = None) -> DataFrame:
     """JN-7, JN-8: existing and found: case_id, keys (array), lead, court, _seq. key, action and ids for each found key.
 
     Same case where at least `share` of the shorter lead is shared and courts do not conflict (both named, nothing in common): skip;
-    otherwise the holder of the key is demoted and the found case inserted.
+    otherwise the holder of the key is demoted and the found case inserted. likeness: names that are as like as this count in part (FN-21: `party_share`), as where they were misread.
     """
     own = keep_first(existing.select(F.explode("keys").alias("key"), "case_id", "lead", "court", "_seq"), ["key"], "_seq")
     new = found.select(F.explode("keys").alias("key"), F.col("case_id").alias("new_id"), F.col("lead").alias("_lead"), F.col("court").alias("_court"))
     met = new.join(own, "key", "left")
-    part = F.try_divide(F.size(F.array_intersect("lead", "_lead")).cast("double"), F.least(F.size(F.array_distinct("lead")), F.size(F.array_distinct("_lead"))).cast("double"))
+    part = party_share(F.col("lead"), F.col("_lead"), 1.0 if likeness is None else likeness)
     clash = (F.size("court") > 0) & (F.size("_court") > 0) & ~F.arrays_overlap("court", "_court")
     action = F.when(F.col("case_id").isNull(), "insert").when((F.coalesce(part, F.lit(0.0)) >= share) & ~clash, "skip").otherwise("demote_and_insert")
     return met.select("key", "new_id", "case_id", action.alias("action"))

@@ -67,14 +67,14 @@ def hit_rates(df: DataFrame, key: str, text: str, lexicon: DataFrame, least: int
     short = known.sparkSession.createDataFrame([(w, 1) for w in ABBREVIATIONS], "word string, _known int")
     known = known.unionByName(short).distinct()
     tokens = F.filter(word_tokens(F.col(text)), lambda t: F.length(t) >= least)
-    each = df.select(key, F.explode(tokens).alias("word"))
+    each = df.select(key, F.explode_outer(tokens).alias("word"))  # a text without tokens has one row without a word
+    own = F.col("word").isNotNull()
     if known.limit(SMALL + 1).count() <= SMALL:
-        met = each.join(F.broadcast(known), "word", "left").withColumn("count", F.lit(1).cast("long"))  # SMALL words at most
+        met = each.join(F.broadcast(known), "word", "left").withColumn("count", own.cast("long"))  # SMALL words at most
     else:
-        met = each.groupBy(key, "word").count().join(known, "word", "left")
+        met = each.groupBy(key, "word").agg(F.count("word").alias("count")).join(known, "word", "left")
     hits = met.groupBy(key).agg(F.sum("count").alias("n_tokens"), F.sum(F.when(F.col("_known").isNotNull(), F.col("count")).otherwise(0)).alias("_hits"))
-    out = df.select(key).distinct().join(hits, key, "left")
-    return out.select(key, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.col("_hits") / F.col("n_tokens"), F.lit(empty)).alias("hit_rate"))
+    return hits.select(key, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.try_divide(F.col("_hits"), F.col("n_tokens")), F.lit(empty)).alias("hit_rate"))
 
 
 def citations(text, limits: Limits = Limits()) -> Column:

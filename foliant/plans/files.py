@@ -120,6 +120,20 @@ def streamed_notes(spark, d):
     return state.latest_notes(state.read_notes(spark, f"{path}/out")).select("key", "text", "ts")
 
 
+@query("""WITH e AS (SELECT user_id AS key, arg_max({'t': CASE WHEN event_id % 5 = 0 THEN '' ELSE 'note ' || event_id END, 'ts': event_id}, event_id) AS n FROM events GROUP BY 1) SELECT key, n.t AS text, n.ts AS ts FROM e WHERE n.t <> ''""")
+def compacted_notes(spark, d):
+    """STR-2, STR-3: a stream in four batches, stopped and taken up again, its changes made a snapshot in between."""
+    path, e = folder(spark, "notes"), table(spark, d, "events")
+    for half in (0, 1):
+        e.filter(col("event_id") % 2 == half).repartition(2, "event_id").write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        notes = stream.select(col("user_id").alias("key"), F.when(col("event_id") % 5 == 0, "").otherwise(F.concat(lit("note "), col("event_id").cast("string"))).alias("text"),
+                              lit(False).alias("star"), lit(None).cast("string").alias("lean"), lit("").alias("seen"), col("event_id").alias("ts"))
+        state.keep_notes(notes, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+        state.compact_notes(spark, f"{path}/out")
+    return state.latest_notes(state.read_notes(spark, f"{path}/out")).select("key", "text", "ts")
+
+
 @query("SELECT event_id, event_type FROM events")
 def streamed_log(spark, d):
     """STR-1 on a stream: each row once, and none again when the log is resumed."""

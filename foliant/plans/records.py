@@ -132,6 +132,19 @@ def merge_found_cases(spark, d):
     return joins.merge_found(existing, found)
 
 
+LIKE = "CASE WHEN 1 - levenshtein({0}, {1}) / greatest(length({0}), length({1}), 1)::DOUBLE >= 0.7::DOUBLE THEN 1 - levenshtein({0}, {1}) / greatest(length({0}), length({1}), 1)::DOUBLE ELSE 0 END"
+
+
+@query(f"""WITH p AS (SELECT c_custkey, lower(n_name) AS a1, lower(c_mktsegment) AS a2, translate(lower(c_mktsegment), 'io', 'l0') AS b1, CASE WHEN c_custkey % 3 = 0 THEN 'nobody' ELSE replace(lower(n_name), 'n', 'm') END AS b2 FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, greatest({LIKE.format("a1", "b1")} + {LIKE.format("a2", "b2")}, {LIKE.format("a1", "b2")} + {LIKE.format("a2", "b1")}) / 2 AS share FROM p""")
+def misread_parties(spark, d):
+    """FN-21: parties of two names against the same ones misread and in another order, or one of them another."""
+    rows = table(spark, d, "customer").join(table(spark, d, "nation"), col("c_nationkey") == col("n_nationkey"))
+    nation, segment = F.lower("n_name"), F.lower("c_mktsegment")
+    other = F.array(F.translate(segment, "io", "l0"), F.when(col("c_custkey") % 3 == 0, "nobody").otherwise(F.replace(nation, lit("n"), lit("m"))))
+    return rows.select("c_custkey", fn.party_share(F.array(nation, segment), other).alias("share"))
+
+
 @query("""SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN '[GA' || (s_suppkey % 10 + 1) || ' O' || s_suppkey || '](p' || s_suppkey || '.md)' ELSE 'GA' || (s_suppkey % 10 + 1) || ' O' || s_suppkey END || ' again, and [GA3 O2](x.md)' AS text FROM supplier""")
 def cites_to_links(spark, d):
     """JN-23: cites of even numbers have a page; a cite that is a link stays."""

@@ -57,9 +57,43 @@ def keep_notes(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return newest.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_notes(spark: SparkSession, path: str) -> DataFrame:
-    """The changes that keep_notes wrote; to shorten them, write latest_notes of them as a batch of its own and drop the rest."""
-    return spark.read.parquet(path).drop("batch")
+def _parts(spark: SparkSession, path: str) -> tuple[int, list[int]]:
+    """The newest whole snapshot (-1 if none) and the whole batches after it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    whole = lambda kind: sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at, f"{n}/_SUCCESS")))
+    newest = max(whole("snapshot"), default=-1)
+    return newest, [n for n in whole("batch") if n > newest]
+
+
+def read_notes(spark: SparkSession, path: str, schema: str = "key string, text string, star boolean, lean string, seen string, ts long") -> DataFrame:
+    """The changes that keep_notes wrote: the newest snapshot of `compact_notes` and the batches after it. schema: of the rows where there are none yet."""
+    snapshot, batches = _parts(spark, path)
+    paths = [f"{path}/snapshot={snapshot}"] * (snapshot >= 0) + [f"{path}/batch={n}" for n in batches]
+    return spark.read.parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def compact_notes(spark: SparkSession, path: str, keep: int | None = None) -> None:
+    """STR-3: writes the newest row of each key as a snapshot of all batches so far, then deletes these and older snapshots, so there are never more files than a
+    snapshot's and the batches since. keep: empty rows (tombstones) go once they are older than the newest row by this much; a row older still that comes
+    late would then be taken for new. A run that breaks off leaves what it found; a batch that the stream writes again after it was compacted is not read twice."""
+    snapshot, batches = _parts(spark, path)
+    if not batches:
+        return
+    rows = read_notes(spark, path)
+    newest = rows.groupBy("key").agg(F.max_by(F.struct("text", "star", "lean", "seen", "ts"), F.struct("ts", "text")).alias("n")).select("key", "n.*")
+    if keep is not None:
+        bound = newest.agg(F.max("ts")).first()[0] - keep
+        empty = (F.coalesce(F.trim("text"), F.lit("")) == "") & ~F.coalesce(F.col("star"), F.lit(False)) & F.col("lean").isNull() & (F.coalesce("seen", F.lit("")) == "")
+        newest = newest.filter(~(empty & (F.col("ts") < bound)))
+    newest.write.mode("overwrite").parquet(f"{path}/snapshot={batches[-1]}")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(at):
+        kind, _, n = f.getPath().getName().partition("=")
+        if (kind == "batch" and int(n) <= batches[-1]) or (kind == "snapshot" and int(n) < batches[-1]):
+            fs.delete(f.getPath(), True)
 
 
 def log_results(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
