@@ -112,8 +112,9 @@ def recoverable(df: DataFrame, key: str, text: str) -> DataFrame:
         run = F.when(acc["word"] == w, acc["run"] + 1).otherwise(1)
         return F.struct(w.alias("word"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
 
-    out = df.select(key, F.array_sort(word_tokens(F.col(text))).alias("_t"))  # equal words stand together
-    out = out.select(key, F.size("_t").cast("long").alias("n_alpha"), F.aggregate("_t", start, step, lambda acc: acc["best"]).alias("_top"), F.size(F.filter("_t", lambda t: t.rlike("[aeiou]"))).alias("_vowel"))
+    vowels = F.regexp_count(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit("[b-df-hj-np-tv-z]*+[aeiou][a-z]*+"))  # words with a vowel
+    out = df.select(key, F.sort_array(word_tokens(F.col(text))).alias("_t"), vowels.alias("_vowel"))  # equal words stand together
+    out = out.select(key, F.size("_t").cast("long").alias("n_alpha"), F.aggregate("_t", start, step, lambda acc: acc["best"]).alias("_top"), "_vowel")
     share = lambda c: F.coalesce(F.try_divide(F.col(c).cast("double"), F.col("n_alpha").cast("double")), F.lit(0.0))
     out = out.select(key, "n_alpha", share("_vowel").alias("vowel_share"), share("_top").alias("top_share"))
     return out.withColumn("recoverable", (F.col("n_alpha") >= 20) & (F.col("vowel_share") >= 0.55) & (F.col("top_share") <= 0.15))
