@@ -1,12 +1,14 @@
-"""Whole jobs from the operators: locating missing cases, the hits of a provision, the audit of a catalogue, the search index."""
+"""Whole jobs from the operators: locating missing cases, the hits of a provision, the audit of a catalogue, the search index, the pages of overtures
+and cases, the pack of catalogues."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.functions.text import bare, case_key
-from foliant.operators import audit, catalogue, joins, parsing, quality, search
+from foliant.functions.text import bare, case_key, case_variants, ordinal, or_else
+from foliant.operators import audit, catalogue, joins, parsing, quality, repair, search
+from foliant.sources import sinks
 
 SECTIONS = ["### Judicial cases", "### Constitutional inquiries", "### Prior overtures", "### RPR exceptions", "### Note"]  # fixed values (AUD-5)
 FRONT_MATTER = ["layout: ga53-overture", "title:", "updated:"]  # fixed values (AUD-6)
@@ -69,3 +71,75 @@ def search_index(exceptions: DataFrame, inquiries: DataFrame, overtures: DataFra
         catalogue.record(cases, "Judicial case", F.coalesce("title", first), F.concat(F.lit("cases/"), "file", F.lit(".md")), F.concat(F.lit("SJC/CJB case "), first), col("provisions"), F.regexp_extract(first, r"^(\d{4})", 1).try_cast("int"), col("disposition")),
         catalogue.record(studies, "Position paper", col("topic"), F.concat(F.lit("studies/"), "file"), col("kind_label"), year=col("year")),
     )
+
+
+def bold(name: str, value) -> F.Column:
+    """A part of a page's meta line, null if there is nothing to say."""
+    return F.concat(F.lit(f"**{name}:** "), F.nullif(F.trim(value), F.lit("")))
+
+
+def overture_pages(bodies: DataFrame, titles: DataFrame, dispositions: DataFrame, least: int = 40) -> DataFrame:
+    """bodies: vol, number, ga, pdf_page, source, body, _seq; titles: vol, number, title, _seq; dispositions: vol, number, disposition, final, ratified, bco (array), note, _seq.
+    slug, page, cite (GA51 O7): one page each, for `sinks.write_pages`. Of several bodies the one that reads like an overture counts, then the longest; bodies under `least` letters
+    have no page; of several titles or dispositions the last counts."""
+    on = ["vol", "_n"]
+    text = lambda df: df.withColumn("_n", F.col("number").cast("string"))
+    best = joins.keep_best(text(bodies), on, [F.desc(quality.reads_like_motion(F.coalesce("body", F.lit("")))), F.desc(F.length(F.coalesce("body", F.lit("")))), "_seq"])
+    best = best.withColumn("body", F.trim(F.coalesce("body", F.lit("")))).filter(F.length("body") >= least).drop("_seq", "number")
+    named = joins.keep_last(text(titles).select(*on, "title", "_seq"), on, "_seq").drop("_seq")
+    said = joins.keep_last(text(dispositions).drop("number"), on, "_seq").drop("_seq")
+    rows = best.join(named, on, "left").join(said, on, "left")
+    year, ga = F.regexp_extract("vol", r"_(\d{4})$", 1), F.col("ga").cast("string")
+    assembly = F.concat(ordinal(F.col("ga")), F.when(year != "", F.concat(F.lit(" ("), year, F.lit(")"))).otherwise(""))
+    meta = [bold("Assembly", assembly), bold("Source", F.col("source")), bold("Disposition", or_else(F.col("final"), F.col("disposition"))), F.when(F.col("ratified"), F.lit("**Ratified**")), bold("BCO", F.array_join("bco", ", "))]
+    place = F.when(F.col("pdf_page").isNotNull(), F.concat(F.lit(" p. "), F.col("pdf_page").cast("string"))).otherwise("")
+    anchor = F.when(F.col("pdf_page").isNotNull(), F.concat(F.lit("#"), F.substring_index("vol", "_", 1), F.lit("-p"), F.col("pdf_page").cast("string"))).otherwise("")
+    source = F.concat(F.lit("*Source: ["), "vol", place, F.lit("](../markdown/"), "vol", F.lit(".md"), anchor, F.lit(")*"))
+    note = F.concat(F.lit("> *"), F.nullif(F.trim("note"), F.lit("")), F.lit("*"))
+    title = F.concat(F.lit("GA"), ga, F.lit(" O"), "_n", F.lit(" — "), or_else(F.col("title"), F.lit("(untitled overture)")))
+    body = F.concat_ws("\n\n", F.lit("---"), note, repair.clause_paragraphs(F.col("body")), F.lit("---"))
+    page = sinks.page(title, meta, body, source, "[← Overture catalogue](../index/OVERTURES.md)")
+    return rows.select(F.concat("vol", F.lit("__o"), "_n").alias("slug"), page.alias("page"), F.concat(F.lit("GA"), ga, F.lit(" O"), "_n").alias("cite"))
+
+
+CASE_HEADER = r"(?i)^\s*#{0,4}\s*[*_]*\s*((APPEAL|COMPLAINT|PETITION|REVIEW)\s+OF\b|(?:JUDICIAL\s+)?CASE\s+(NO\.?\s*)?\d)"  # fixed value (PAR-12): a line that opens a case
+
+
+def case_pages(cases: DataFrame, volumes: DataFrame, lines: DataFrame, reach: int = 15, least: int = 40) -> DataFrame:
+    """cases: case_id, number, parties, court, ga_ordinal, year, disposition, vote, dissent, cited, provenance, first_page, last_page, _seq; volumes: ga_ordinal, vol; lines: vol,
+    line_no, line with page marks. slug, page: one page for each case whose text is found and names it.
+
+    A case's text runs from its first page to the page where the next case of the volume begins, if that is at most `reach` pages on, and is cut at that case's header."""
+    first, last = F.col("first_page"), F.coalesce("last_page", "first_page")
+    placed = joins.volume_of_case(cases, volumes).filter("vol is not null and first_page is not null")
+    placed = joins.next_in(placed, ["vol"], [first, last, "_seq"], ["first_page", "number", "parties"])
+    ahead = F.col("next_first_page") - first
+    upto = F.when(ahead.between(0, reach), F.greatest(last, "next_first_page")).otherwise(last)
+    text = parsing.page_range(lines, placed.select(F.col("case_id").alias("id"), "vol", first.alias("start"), upto.alias("end"))).withColumnRenamed("id", "case_id")
+    names = F.slice(parsing.surnames(F.col("next_parties")), 1, 2)
+    numbers = F.array_join(case_variants(F.col("next_number")), "|")
+    either = F.filter(F.array(F.when(numbers != "", F.concat(F.lit(r"\b(?:"), numbers, F.lit(r")\b"))), F.when(F.size(names) > 0, F.concat(F.lit("^"), F.array_join(F.transform(names, lambda n: F.concat(F.lit("(?=.*"), n, F.lit(")"))), "")))), lambda x: x.isNotNull())
+    following = F.when(F.size(either) > 0, F.concat(F.lit("(?i)"), F.array_join(either, "|"))).otherwise("(?!)")
+    rows = text.join(placed.select("case_id", following.alias("_next")), "case_id").select("case_id", "_next", F.posexplode(F.split("text", "\n")).alias("_p", "line")).select("case_id", (F.col("_p") + 1).alias("line_no"), "line", "_next")
+    body = repair.promote_labels(F.col("text"))
+    own = parsing.trim_to_next(rows, "case_id", CASE_HEADER, "_next").select("case_id", body.alias("body")).join(placed, "case_id")
+    own = own.filter((F.length("body") >= least) & quality.contains_case(F.col("body"), case_variants(F.col("number")), parsing.person_tokens(F.col("parties")), F.col("provenance")))
+    pages = F.when(last != first, F.concat(F.lit(" pp. "), first.cast("string"), F.lit("–"), last.cast("string"))).otherwise(F.concat(F.lit(" p. "), first.cast("string")))
+    dash = lambda c: or_else(F.col(c), F.lit("—"))
+    meta = [bold("Court", dash("court")), bold("Assembly", F.concat(ordinal(F.col("ga_ordinal")), F.lit(" ("), F.col("year").cast("string"), F.lit(")"))), bold("Disposition", dash("disposition")), bold("Vote", F.col("vote")), F.when(F.col("dissent"), F.lit("**Dissent:** yes")), bold("BCO cited", F.left("cited", F.lit(120)))]
+    who = F.coalesce(F.concat(F.lit(" — "), F.nullif(F.trim("parties"), F.lit(""))), F.lit(""))
+    title = F.concat(F.lit("Case "), F.coalesce("number", F.concat(F.lit("p"), first.cast("string"))), who)
+    source = F.concat(F.lit("*Source: ["), "vol", pages, F.lit("](../markdown/"), "vol", F.lit(".md)*"))
+    page = sinks.page(title, meta, F.concat_ws("\n\n", F.lit("---"), "body", F.lit("---")), source, "[← Judicial case index](../index/CASES.md)")
+    return own.select(F.regexp_replace("case_id", "[^A-Za-z0-9_.-]", "_").alias("slug"), page.alias("page"))
+
+
+def catalogue_pack(catalogues: DataFrame, order: list[str], head: str, address: str) -> DataFrame:
+    """catalogues: name, text; order: names of those that are packed, in their order (others are left out). ordinal, name, text: the head and then each catalogue
+    under a banner with its address; written in the order of ordinal this is one file (SNK-9)."""
+    rule = "=" * 78
+    wanted = catalogues.sparkSession.createDataFrame(list(enumerate(order, 1)), "ordinal int, name string")
+    parts = catalogues.join(F.broadcast(wanted), "name")  # a row for each name asked for
+    banner = F.concat(F.lit(f"\n\n{rule}\n# "), "name", F.lit(f"   ({address}/"), "name", F.lit(f")\n{rule}\n\n"), "text")
+    first = catalogues.sparkSession.createDataFrame([(0, "", head)], "ordinal int, name string, text string")
+    return first.unionByName(parts.select("ordinal", "name", banner.alias("text"))).orderBy("ordinal")

@@ -10,7 +10,8 @@ from ..operators import quality, repair, search
 from ..session import shared_dir, table
 from ..sources import readers, sinks
 from ..streaming import state
-from .queries import docs, index, query
+from . import builds
+from .queries import docs, query
 
 lit, col = F.lit, F.col
 
@@ -203,3 +204,21 @@ def loaded_and_set(spark, d):
     n = sinks.load_table(rows, name, ["key"])
     sinks.upsert_meta(spark, name, {"1": "new 1", "2": "new 2", "3": "new 3", "rows": str(n)})
     return spark.table(name)
+
+
+@query("""SELECT 'ga' || (n_nationkey + 1) || '_1990__o' || c_custkey AS slug, '# GA' || (n_nationkey + 1) || ' O' || c_custkey || ' — ' || CASE WHEN c_custkey % 4 = 0 THEN '(untitled overture)' ELSE 'On ' || c_mktsegment END || chr(10) || chr(10)
+|| '**Assembly:** ' || (n_nationkey + 1) || CASE WHEN (n_nationkey + 1) BETWEEN 11 AND 20 THEN 'th' WHEN (n_nationkey + 1) % 10 = 1 THEN 'st' WHEN (n_nationkey + 1) % 10 = 2 THEN 'nd' WHEN (n_nationkey + 1) % 10 = 3 THEN 'rd' ELSE 'th' END || ' (1990) · **Source:** ' || n_name || ' Presbytery'
+|| CASE WHEN c_custkey % 3 = 0 THEN ' · **Disposition:** Approved & ratified · **Ratified** · **BCO:** 9-3, 21-' || n_nationkey ELSE '' END || chr(10) || chr(10) || '*Source: [ga' || (n_nationkey + 1) || '_1990 p. ' || (c_custkey % 300) || '](../markdown/ga' || (n_nationkey + 1) || '_1990.md#ga' || (n_nationkey + 1) || '-p' || (c_custkey % 300) || ')*'
+|| chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'An overture of ' || c_name || chr(10) || chr(10) || 'Whereas it is so, and' || chr(10) || chr(10) || 'Therefore be it done.' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '[← Overture catalogue](../index/OVERTURES.md)' AS page
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def overture_page_files(spark, d):
+    """SNK-5, JN-3, WIN-6, QC-17, REP-7: pages of overtures, each with a longer body from an index that is not taken, written as files and read again."""
+    path, k, ga = folder(spark, "overtures"), col("c_custkey"), col("n_nationkey") + 1
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), col("c_nationkey") == col("n_nationkey")).withColumn("vol", F.concat(lit("ga"), ga.cast("string"), lit("_1990")))
+    body = lambda seq, text: c.select("vol", k.alias("number"), ga.alias("ga"), (k % 300).alias("pdf_page"), F.concat("n_name", lit(" Presbytery")).alias("source"), text.alias("body"), lit(seq).alias("_seq"))
+    bodies = body(1, F.concat(lit("An overture of "), "c_name", lit(" Whereas it is so, and Therefore be it done."))).unionByName(body(2, F.concat(F.repeat(lit("PART V INDEX "), lit(20)), "c_name")))
+    titles = c.filter(k % 4 != 0).select("vol", k.alias("number"), F.concat(lit("On "), "c_mktsegment").alias("title"), lit(1).alias("_seq"))
+    bco = F.array(lit("9-3"), F.concat(lit("21-"), col("n_nationkey").cast("string")))
+    said = c.filter(k % 3 == 0).select("vol", k.alias("number"), lit("Approved").alias("disposition"), lit("Approved & ratified").alias("final"), lit(True).alias("ratified"), bco.alias("bco"), lit("").alias("note"), lit(1).alias("_seq"))
+    sinks.write_pages(builds.overture_pages(bodies, titles, said), path)
+    return spark.read.text(f"{path}/*.md", wholetext=True).select(F.regexp_extract("_metadata.file_name", "^(.*)[.]md$", 1).alias("slug"), col("value").alias("page"))
