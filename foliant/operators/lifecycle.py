@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
+SMALL = 300  # descriptions of a block that are compared with all others
+
 
 def identity(df: DataFrame) -> DataFrame:
     """JN-26: thread key: the printed id, else body, dates and provisions; and whether it is printed or inferred."""
@@ -14,20 +18,78 @@ def identity(df: DataFrame) -> DataFrame:
     return df.withColumns({"thread": F.coalesce(F.col("id"), inferred), "thread_confidence": F.when(F.col("id").isNotNull(), 1.0).when(F.coalesce("dates", F.lit("")) != "", 0.8).otherwise(0.5)})
 
 
-def likely_same(df: DataFrame, most: float = 0.3) -> DataFrame:
-    """JN-26: pairs of descriptions of one body and provision that differ in at most `most` of their letters: candidates for one thread.
+def likely_same(df: DataFrame, most: float = 0.3, small: int = SMALL) -> DataFrame:
+    """JN-26: pairs of descriptions of one body and provision that differ in at most `most` of the longer one's letters: candidates for one thread. No pair is lost.
 
-    Within a block each record is compared with all of like length (a shorter one of less than 1 - most of the other's cannot be near), so no
-    pair is lost, and the work grows with the square of a block's descriptions of like length. The lesser description is `thread`'s.
+    In blocks of up to `small` descriptions each is compared with all of like length. In larger ones those are compared that share a segment: a text of which d letters
+    may change is cut into d + 1 segments, and one of them stands, at most d letters off, in every shorter text within that distance (`near_pairs`).
+    The smaller `most`, the longer the segments and the fewer the comparisons; from a half on, no segment says anything and all are compared.
+    The lesser description is `thread`'s.
     """
-    size = F.greatest(F.length("description"), F.lit(1))
-    band = F.floor(F.log(size.cast("double")) / (-math.log(1 - most) * (1 + 1e-9))) if 0 < most < 1 else size if most <= 0 else F.lit(0)
-    each = df.select("thread", "body", "description", F.explode("provisions").alias("provision")).filter("description is not null").distinct().withColumn("_band", band.cast("long"))
-    theirs = each.select(F.col("thread").alias("other"), F.col("body").alias("_b"), F.col("provision").alias("_p"), F.col("description").alias("_d"), F.explode(F.array(*[F.col("_band") + i for i in (-1, 0, 1)])).alias("_o"))
-    met = each.join(theirs, (F.col("_band") == F.col("_o")) & F.col("body").eqNullSafe(F.col("_b")) & F.col("provision").eqNullSafe(F.col("_p")))
-    near = met.filter((F.struct("description", "thread") < F.struct(F.col("_d"), F.col("other"))) & (F.col("thread") != F.col("other")))
+    each = df.select("thread", "body", "description", F.explode("provisions").alias("provision")).filter("description is not null").distinct()
+    each = each.select("thread", "description", F.struct("body", "provision").alias("_block"), F.greatest(F.length("description"), F.lit(1)).alias("_size"))
+    each = each.withColumn("_band", band(F.col("_size"), most))
+    if 0 < most < 0.5:
+        each = written(each.withColumn("_i", F.monotonically_increasing_id()), "descriptions")
+        large = each.groupBy("_block").agg(F.count("*").alias("_n")).filter(F.col("_n") > small).select("_block")
+        few, many = each.join(large, "_block", "left_anti"), each.join(large, "_block", "left_semi")
+        pairs = all_pairs(few).unionByName(near_pairs(many, most))
+    else:
+        pairs = all_pairs(each)
+    one, two = (F.struct(F.col(d).alias("d"), F.col(t).alias("t")) for d, t in (("description", "thread"), ("_d", "other")))
+    first, second = F.least(one, two), F.greatest(one, two)
     share = F.levenshtein("description", "_d") / F.greatest(F.length("description"), F.length("_d"), F.lit(1))
-    return near.withColumn("distance", share).filter(F.col("distance") <= most).select("thread", "other", "distance").distinct()
+    near = pairs.filter(F.col("thread") != F.col("other")).withColumn("distance", share).filter(F.col("distance") <= most)
+    return near.select(first["t"].alias("thread"), second["t"].alias("other"), "distance").distinct()
+
+
+def step(most: float) -> float:
+    return -math.log(1 - most) * (1 + 1e-9)
+
+
+def band(size, most: float) -> Column:
+    """Lengths by their logarithm: a text and one within the distance are in the same band or in neighbouring ones."""
+    return (F.floor(F.log(size.cast("double")) / step(most)) if 0 < most < 1 else size if most <= 0 else F.lit(0)).cast("long")
+
+
+def all_pairs(each: DataFrame) -> DataFrame:
+    """thread, description, other, _d: each with the others of its block and of like length, once."""
+    theirs = each.select(F.col("thread").alias("other"), F.col("_block").alias("_b"), F.col("description").alias("_d"), F.explode(F.array(*[F.col("_band") + i for i in (-1, 0, 1)])).alias("_o"))
+    met = each.join(theirs, (F.col("_band") == F.col("_o")) & (F.col("_block") == F.col("_b")))
+    return met.filter(F.struct("description", "thread") < F.struct("_d", "other")).select("thread", "description", "other", "_d")
+
+
+def near_pairs(each: DataFrame, most: float) -> DataFrame:
+    """The same for those that share a segment: (_i, _j), a longer and a shorter text, and what belongs to them."""
+    found = candidates(each, most)
+    longer, shorter = each.select("_i", "thread", "description"), each.select(F.col("_i").alias("_j"), F.col("thread").alias("other"), F.col("description").alias("_d"))
+    return found.join(longer, "_i").join(shorter, "_j").select("thread", "description", "other", "_d")
+
+
+def candidates(each: DataFrame, most: float) -> DataFrame:
+    """each: _i, _block, _band, _size, description. _i, _j: texts of a block, the second not longer, that share a segment of the first at a near place.
+
+    Places are told by their run of as many letters as may change in the band, and segments are listed under the runs beside their own, too.
+    """
+    size, text = F.col("_size"), F.col("description")
+    width = lambda b: (F.floor(F.lit(most) * F.exp((b + 1) * step(most))) + 2).cast("int")
+    parts = (F.floor(F.lit(most) * size) + 1).cast("int")
+    base, extra = F.floor(F.length(text) / parts).cast("int"), (F.length(text) % parts).cast("int")
+
+    def segment(k):
+        at = k * base + F.greatest(k - (parts - extra), F.lit(0))
+        return F.struct(F.substr(text, at + 1, base + F.when(k >= parts - extra, 1).otherwise(0)).alias("piece"), F.floor(at / width(F.col("_band"))).cast("int").alias("run"))
+
+    own = each.select("_i", "_block", "_band", "_size", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), segment)).alias("s"))
+    own = own.select("_i", "_block", "_band", "_size", "s.piece", F.explode(F.array(*[F.col("s.run") + k for k in (-1, 0, 1)])).alias("run"))
+    to = each.select(F.col("_i").alias("_j"), "_block", F.col("_size").alias("_less"), "description", F.explode(F.array(F.col("_band"), F.col("_band") + 1)).alias("_band"))
+    least = F.exp(F.col("_band") * step(most)) * (1 - 1e-9)
+    shortest = F.floor(least / (F.lit(most) * least + 1)).cast("int")
+    lengths = F.filter(F.sequence(F.least(shortest, F.lit(int(1 / most) + 1)), F.lit(int(1 / most) + 1)), lambda n: n <= F.length("description"))
+    pieces = F.flatten(F.transform(lengths, lambda n: F.transform(F.sequence(F.lit(0), F.length("description") - n), lambda p: F.struct(F.substr("description", p + 1, n).alias("piece"), F.floor(p / width(F.col("_band"))).cast("int").alias("run")))))
+    theirs = to.select("_j", "_block", "_band", "_less", F.explode(F.array_distinct(pieces)).alias("s")).select("_j", "_block", "_band", "_less", "s.piece", "s.run")
+    met = own.join(theirs, ["_block", "_band", "piece", "run"]).filter((F.col("_i") != F.col("_j")) & (F.col("_less") <= F.col("_size")) & (F.col("_size") - F.col("_less") <= F.lit(most) * F.col("_size")))
+    return met.select("_i", "_j").distinct()
 
 
 def threads(df: DataFrame, key: list[str], year: str, seq: str, action: str, closed: tuple[str, ...] = ("satisfactory",)) -> DataFrame:
