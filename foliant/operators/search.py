@@ -214,7 +214,7 @@ def locate(index: DataFrame, queries: DataFrame, docs: DataFrame, k: int = 4, us
     got = got.join(docs.select("doc", F.col("year").alias("_y"), F.col("ga").alias("_g")), "doc")
     apart = F.least(F.abs(F.coalesce("_y", F.lit(0)) - F.coalesce("year", F.lit(0))), F.lit(10)).cast("double")
     score = F.col("lead_hits") * 3.0 + F.col("court_hits") * 2.0 - apart * F.lit(0.2) + F.when(F.col("ga") == F.col("_g"), 100.0).otherwise(0.0)
-    ranked = got.withColumn("score", F.round(score, 1)).withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "doc")))
+    ranked = got.withColumn("score", F.bround(score, 1)).withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "doc")))
     return ranked.filter(F.col("rank") <= k).select("key", "doc", "score", "lead_hits", "court_hits", "rank")
 
 

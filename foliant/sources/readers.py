@@ -112,11 +112,12 @@ def links(df: DataFrame, key: str, html: str, pattern: str = r'href="([^"]*)"')
     return df.select(key, F.posexplode(found).alias("at", "href"))
 
 
-def keyed_links(df: DataFrame, html: str, pattern: str = r'href="(cases/((\d{4})-[^"/]*?)\.pdf)"[^>]*>([^<]*)<') -> DataFrame:
-    """SRC-9: key (case number), url, raw (file name), year and title of the links to case files; of equal keys the last wins."""
-    rows = df.select(F.posexplode(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(pattern), F.lit(0))).alias("_at", "a"))
+def keyed_links(df: DataFrame, html: str, pattern: str = r'href="(cases/((\d{4})-[^"/]*?)\.pdf)"[^>]*>([^<]*)<', order: str | None = None) -> DataFrame:
+    """SRC-9: key (case number), url, raw (file name), year and title of the links to case files; of equal keys the last wins: that of the last row by the column order
+    (else as they are read), and in it the last."""
+    rows = df.select((F.monotonically_increasing_id() if order is None else F.col(order)).alias("_row"), F.posexplode(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(pattern), F.lit(0))).alias("_at", "a"))
     part = lambda g: F.regexp_extract("a", pattern, g)
-    rows = rows.select("_at", case_key(part(2)).alias("key"), part(1).alias("url"), part(2).alias("raw"), part(3).cast("int").alias("year"), F.trim(part(4)).alias("title"))
+    rows = rows.select(F.struct("_row", "_at").alias("_at"), case_key(part(2)).alias("key"), part(1).alias("url"), part(2).alias("raw"), part(3).cast("int").alias("year"), F.trim(part(4)).alias("title"))
     return rows.groupBy("key").agg(F.max_by(F.struct("url", "raw", "year", "title"), "_at").alias("l")).select("key", "l.*")
 
 
