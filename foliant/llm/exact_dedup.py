@@ -6,7 +6,7 @@ digests. Their exact winners and counts are verified over all rows, broadcast (a
 
 Defined cases: a null text counts as empty; a null doc_id is smaller than any other and a
 group of null ids alone keeps one of them; of rows that are equal in doc_id and text one is
-kept; an empty table gives no rows; other columns are ignored here and carried by `dedup`.
+kept; a very long text is whole, one row of one task, and only its digest is shuffled; an empty table gives no rows; other columns are ignored here and carried by `dedup`.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ records equal in page_id and digest are the same; what is left of a page_id on b
 in the order of digests as `differs`, the rest is missing or extra.
 
 Defined cases: null url or html counts as empty; a null page_id is written as empty and comes
-first; equal rows are records of their own, held as one leaf with their number; empty tables have
+first; equal rows are records of their own, held as one leaf with their number; a very long page is one
+record, one row of one task, and only its digest is shuffled; empty tables have
 no nodes and no findings; other columns are ignored.
 """
 

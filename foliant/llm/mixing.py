@@ -6,7 +6,7 @@ as the inverse of the Poisson distribution with that mean says at a uniform numb
 from (seed, doc_id, part), are added. All copies are then dealt to partitions and ordered by a second hash.
 
 Defined cases: a null source is a source of its own (""); null texts and ids are carried as they
-are; rows equal in doc_id get equal counts; a source without a target weight is dropped only if
+are; a very long text is carried whole, once for each copy; rows equal in doc_id get equal counts; a source without a target weight is dropped only if
 weights are given and lack it; an empty table gives no rows; other columns are carried, but
 those called copy_no or shuffle_key are replaced.
 """

@@ -8,7 +8,7 @@ substrings of at least `least` words. Their spans' union is limited to a share o
 the longest to a number of words.
 
 Defined cases: a null or empty text has no words, fails the base rule and is not kept; rows with
-equal ids are judged one by one; an empty table gives no rows; other columns are ignored.
+equal ids, or equal altogether, are judged one by one; a very long text is whole, held by one task; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
