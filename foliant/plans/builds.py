@@ -73,6 +73,10 @@ def search_index(exceptions: DataFrame, inquiries: DataFrame, overtures: DataFra
     )
 
 
+# Fixed values (SNK-5): the ways back from pages, as their readers know them.
+OVERTURES_BACK, CASES_BACK = "[← Overture catalogue](../index/OVERTURES.md)", "[← Judicial case index](../index/CASES.md)"
+
+
 def bold(name: str, value) -> F.Column:
     """A part of a page's meta line, null if there is nothing to say."""
     return F.concat(F.lit(f"**{name}:** "), F.nullif(F.trim(value), F.lit("")))
@@ -98,7 +102,7 @@ def overture_pages(bodies: DataFrame, titles: DataFrame, dispositions: DataFrame
     note = F.concat(F.lit("> *"), F.nullif(F.trim("note"), F.lit("")), F.lit("*"))
     title = F.concat(F.lit("GA"), ga, F.lit(" O"), "_n", F.lit(" — "), or_else(F.col("title"), F.lit("(untitled overture)")))
     body = F.concat_ws("\n\n", F.lit("---"), note, repair.clause_paragraphs(F.col("body")), F.lit("---"))
-    page = sinks.page(title, meta, body, source, "[← Overture catalogue](../index/OVERTURES.md)")
+    page = sinks.page(title, meta, body, source, OVERTURES_BACK)
     return rows.select(F.concat("vol", F.lit("__o"), "_n").alias("slug"), page.alias("page"), F.concat(F.lit("GA"), ga, F.lit(" O"), "_n").alias("cite"))
 
 
@@ -130,7 +134,7 @@ def case_pages(cases: DataFrame, volumes: DataFrame, lines: DataFrame, reach: in
     who = F.coalesce(F.concat(F.lit(" — "), F.nullif(F.trim("parties"), F.lit(""))), F.lit(""))
     title = F.concat(F.lit("Case "), F.coalesce("number", F.concat(F.lit("p"), first.cast("string"))), who)
     source = F.concat(F.lit("*Source: ["), "vol", pages, F.lit("](../markdown/"), "vol", F.lit(".md)*"))
-    page = sinks.page(title, meta, F.concat_ws("\n\n", F.lit("---"), "body", F.lit("---")), source, "[← Judicial case index](../index/CASES.md)")
+    page = sinks.page(title, meta, F.concat_ws("\n\n", F.lit("---"), "body", F.lit("---")), source, CASES_BACK)
     return own.select(F.regexp_replace("case_id", "[^A-Za-z0-9_.-]", "_").alias("slug"), page.alias("page"))
 
 
