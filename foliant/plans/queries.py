@@ -583,7 +583,7 @@ c AS (SELECT *, last_value(CASE WHEN kind = 'body' THEN regexp_extract(line, '{p
 f AS (SELECT * FROM c WHERE finding IN ('raised', 'satisfactory', 'unsatisfactory') OR kind IN ('body', 'mode')),
 o AS (SELECT *, sum(CASE WHEN kind IN ('exception', 'numbered', 'dated') THEN 1 ELSE 0 END) OVER w AS item, last_value(CASE WHEN kind IN ('body', 'mode') THEN 0 WHEN kind IN ('exception', 'numbered', 'dated') THEN 1 END IGNORE NULLS) OVER w AS open
   FROM f WINDOW w AS (PARTITION BY vol ORDER BY r ROWS UNBOUNDED PRECEDING))
-SELECT vol, CAST(item AS BIGINT) AS item, any_value(body) AS body, any_value(finding) AS finding, min(line_no) AS first_line, max(line_no) AS last_line, count(*) AS n_lines, count(*) FILTER (WHERE kind = 'response') AS n_replies, arg_min(page_anchor, line_no) AS page_anchor,
+SELECT vol, CAST(item AS BIGINT) AS item, any_value(body) AS body, any_value(finding) AS finding, min(line_no) AS first_line, max(line_no) AS last_line, count(*) AS n_lines, count(*) FILTER (WHERE kind = 'response') AS n_replies, first(page_anchor ORDER BY line_no) AS page_anchor,
   max(CASE WHEN kind = 'dated' THEN regexp_extract(line, '{parsing.REVIEW["dated"]}', 1) WHEN kind = 'exception' AND contains(line, '1998: ') THEN 'March 7, 1998' ELSE '' END) AS dates FROM o WHERE open = 1 GROUP BY vol, item""")
 def review_state_machine(spark, d):
     """PAR-3, PAR-4, WIN-9, WIN-11: all lines of all documents of a language as one volume: its review region, and in it body, mode and open exception carried down."""
