@@ -488,3 +488,14 @@ def test_as_of_clamp_is_linear_in_a_key(spark):
     left = spark.range(30_000).select(F.lit("k").alias("vol"), F.col("id").alias("line_no"))
     points = spark.createDataFrame([("k", 20_000, 7)], "vol string, at long, page int")
     assert joins.asof(left, points, ["vol"], "line_no", "at", ["page"], clamp=True).filter("page = 7").count() == 30_000
+
+
+def test_overture_bodies_of_a_long_volume(spark):
+    """One heading with 150,000 lines after it, blank ones too: the body is cut as the whole text would be, and few lines are collected."""
+    lines = [(1, i, "## Overture 7 from Calvary" if i == 3 else "  " if i % 5 == 0 else f"word{i}  more") for i in range(150_000)]
+    text = spark.createDataFrame(lines, "vol long, line_no long, line string")
+    whole = " ".join(x for _, i, x in lines if i > 3).split()
+    got = parsing.overture_bodies(text).collect()
+    assert [(r["number"], r["line_no"], r["source"]) for r in got] == [(7, 3, "Calvary")]
+    kept = " ".join(whole)[:6000]
+    assert got[0]["body"] == kept[: kept.rindex(" ")] + " …"
