@@ -11,7 +11,7 @@ from ..session import shared_dir, table
 from ..sources import readers, sinks
 from ..streaming import state
 from . import builds
-from .queries import docs, query
+from .queries import FRAGMENT, LEXICON, SHORT, docs, query
 
 lit, col = F.lit, F.col
 
@@ -162,12 +162,22 @@ def despaced_by_era(spark, d):
     return repair.despace(c, "text", TERMS, {"teh": "the"}, "year")
 
 
-@query("""SELECT c_custkey, ['despace', 'reocr', 'good'][c_custkey % 3 + 1] AS verdict FROM customer""")
+REPAIR = quality.Limits(fragments=0.25, recovered=0.5, reread=0.4)
+BROKEN = "(6 + length(text) // 8)::INT"  # how many broken words go before a text
+PUT = f"CASE doc_id % 3 WHEN 0 THEN repeat('p r e s b y t e r y of ', {BROKEN}) WHEN 1 THEN repeat('zz q qq v ', {BROKEN}) ELSE '' END"
+
+
+@query(rf"""WITH d AS (SELECT doc_id, {PUT} || text AS text, CASE WHEN doc_id % 3 = 0 THEN repeat('presbytery of ', {BROKEN}) || text ELSE {PUT} || text END AS repaired FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+lexicon AS ({LEXICON} UNION SELECT * FROM (VALUES ('presbytery'), {SHORT})), w AS (SELECT doc_id, false AS again, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM d UNION ALL SELECT doc_id, true, unnest(regexp_extract_all(lower(repaired), '[a-z]+')) FROM d),
+r AS (SELECT doc_id, again, count(lexicon.word)::DOUBLE / count(*) AS rate FROM w LEFT JOIN lexicon USING (word) GROUP BY ALL),
+m AS (SELECT doc_id, {FRAGMENT} AS frag, coalesce(a.rate, 1.0)::DOUBLE AS hit, coalesce(b.rate, 1.0)::DOUBLE AS after FROM d LEFT JOIN (SELECT * FROM r WHERE NOT again) a USING (doc_id) LEFT JOIN (SELECT * FROM r WHERE again) b USING (doc_id))
+SELECT doc_id, hit AS hit_rate, CASE WHEN frag >= 0.25::DOUBLE THEN after ELSE hit END AS despaced_rate, CASE WHEN frag >= 0.25::DOUBLE AND after >= 0.5::DOUBLE THEN 'despace' WHEN hit < 0.4::DOUBLE AND CASE WHEN frag >= 0.25::DOUBLE THEN after ELSE hit END < 0.5::DOUBLE THEN 'reocr' ELSE 'good' END AS verdict FROM m""")
 def verdicts_after_repair(spark, d):
-    """QC-4: broken texts that repair recovers, texts of no known word, and sound ones."""
-    text = F.element_at(F.array(lit("p r e s b y t e r y of the p r e s b y t e r y"), lit("zzzz qqqq xxxx"), lit("the presbytery of the church")), (col("c_custkey") % 3 + 1).cast("int"))
-    words = spark.createDataFrame([(w,) for w in "the of presbytery church".split()], "word string")
-    return quality.classify(table(spark, d, "customer").select("c_custkey", text.alias("text")), "c_custkey", "text", words, TERMS).select("c_custkey", "verdict")
+    """QC-4: whole documents, a third with a broken word before each eight characters of them that repair recovers, a third with as many that it does not."""
+    put = PUT.replace(BROKEN, "int(6 + length(text) div 8)")
+    text = docs(spark, d).select("doc_id", F.coalesce("text", lit("")).alias("text")).select("doc_id", F.expr(f"{put} || text").alias("text"))
+    words = table(spark, d, "benchmark").select(F.explode(quality.word_tokens(col("text"))).alias("word")).unionByName(spark.createDataFrame([("presbytery",)], "word string")).distinct()
+    return quality.classify(text, "doc_id", "text", words, TERMS, REPAIR).select("doc_id", "hit_rate", "despaced_rate", "verdict")
 
 
 @query("SELECT doc_id, source, sha256(text) AS digest FROM documents WHERE source = 'src1'")

@@ -21,6 +21,28 @@ def two(n):
     return F.lpad(n.cast("string"), 2, "0")
 
 
+# All lines of all documents of a language as one volume; a document's own lines are numbered from 10, so that others can be put before and after them.
+TEXT_LINES = """t AS (SELECT lang AS vol, doc_id, doc_id * 10000 + 9 + i AS line_no, l[i] AS line FROM (SELECT lang, doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT lang, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)))"""
+FIRST_LINE = "string_split(coalesce(text, ''), chr(10))[1]"
+YEAR, NUMBER = "(1980 + doc_id % 30)", "(doc_id % 7 + 1)"
+CASE, SHORT_CASE = f"({YEAR} || '-' || {NUMBER})", f"(substr(CAST({YEAR} AS STRING), 3, 2) || '-' || {NUMBER})"
+
+
+def volumes(spark, d, shapes: dict[int, str]):
+    """vol, line_no, line: the lines of all documents with a line of their own at each place of shapes, null for none."""
+    own = docs(spark, d).select("lang", "doc_id", "source", F.coalesce("text", lit("")).alias("text"))
+    out = own.select(col("lang").alias("vol"), "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("vol", (col("doc_id") * 10000 + col("at") + 10).alias("line_no"), "line")
+    for at, line in shapes.items():
+        line = line.replace(FIRST_LINE, "split(text, '\\n')[0]")
+        out = out.unionByName(own.select(col("lang").alias("vol"), (col("doc_id") * 10000 + at).alias("line_no"), F.expr(line).alias("line")).filter("line is not null"))
+    return out
+
+
+def volumes_sql(shapes: dict[int, str]) -> str:
+    more = "".join(f" UNION ALL SELECT lang, doc_id * 10000 + {at}, {line} FROM documents WHERE ({line}) IS NOT NULL" for at, line in shapes.items())
+    return f"{TEXT_LINES}, raw AS (SELECT vol, line_no, line FROM t{more})"
+
+
 def pick(n, *values):
     """One of the values by n modulo their number."""
     return F.element_at(F.array(*[lit(v) if isinstance(v, str) else v for v in values]), (n % len(values) + 1).cast("int"))
@@ -106,14 +128,21 @@ def locators(spark, d):
     return table(spark, d, "customer").select("c_custkey", at.alias("l")).filter("l is not null").select("c_custkey", "l.*")
 
 
-@query("""SELECT c_custkey, ['not_sustained', 'sustained', 'sustained_in_part', 'administratively_out_of_order', 'out_of_order', 'withdrawn', NULL][c_custkey % 7 + 1] AS found,
-['Out of Order', 'Withdrawn', 'Not Acceded to by the SJC', 'Administratively Out of Order', 'Withdrawn', 'Rendered Moot', 'Dismissed', 'Abandoned', 'Out of Order'][c_custkey % 9 + 1] AS label FROM customer""")
+TAILS = ["Not Sustained", "sustained.", "Sustained in Part", "Administratively Out of Order", "out of order", "Withdrawn", "pending", ""]
+PHRASES = ["OO", "wd", "not acceded to", "not administratively in order", "prematurely filed", "made moot", " Dismissed ", "abandoned", "not in order"]
+
+
+@query(rf"""WITH {TEXT_LINES}, x AS (SELECT doc_id, line_no, line, ['not_sustained', 'sustained', 'sustained_in_part', 'administratively_out_of_order', 'out_of_order', 'withdrawn', NULL, NULL][line_no % 8 + 1] AS said,
+  nullif(regexp_extract(lower(line), '{"|".join(parsing.DISPOSITIONS)}'), '') AS own FROM t)
+SELECT doc_id, line_no, coalesce(said, replace(own, ' ', '_')) AS found,
+CASE line_no % 10 WHEN 0 THEN 'Out of Order' WHEN 1 THEN 'Withdrawn' WHEN 2 THEN 'Not Acceded to by the SJC' WHEN 3 THEN 'Administratively Out of Order' WHEN 4 THEN 'Withdrawn' WHEN 5 THEN 'Rendered Moot' WHEN 6 THEN 'Dismissed' WHEN 7 THEN 'Abandoned' WHEN 8 THEN 'Out of Order'
+  ELSE upper(substr(lower(trim(line)), 1, 1)) || substr(lower(trim(line)), 2) END AS label FROM x""")
 def dispositions(spark, d):
-    """PAR-15, PAR-17: what a roster title ends with; labels of disposing phrases."""
-    tail = pick(col("c_custkey"), "Not Sustained", "sustained.", "Sustained in Part", "Administratively Out of Order", "out of order", "Withdrawn", "pending")
-    phrase = pick(col("c_custkey"), "OO", "wd", "not acceded to", "not administratively in order", "prematurely filed", "made moot", " Dismissed ", "abandoned", "not in order")
-    title = F.concat("c_name", lit(" [1990-1] "), tail)
-    return table(spark, d, "customer").select("c_custkey", parsing.title_disposition(title).alias("found"), parsing.disposition_label(phrase).alias("label"))
+    """PAR-15, PAR-17: each line of the documents as a roster title, with and without a disposition after its number; labels of disposing phrases and of lines."""
+    each = docs(spark, d).select("doc_id", F.posexplode(F.split(F.coalesce("text", lit("")), "\n")).alias("at", "line")).select("doc_id", (col("doc_id") * 10000 + col("at") + 10).alias("line_no"), "line")
+    title = F.concat("line", lit(" [1990-1] "), pick(col("line_no"), *TAILS))
+    phrase = pick(col("line_no"), *PHRASES, col("line"))
+    return each.select("doc_id", "line_no", parsing.title_disposition(title).alias("found"), parsing.disposition_label(phrase).alias("label"))
 
 
 @query("""SELECT c_custkey, lower(c_mktsegment) || ' smith' AS lead, 'ascension north' AS court, c_mktsegment || ' Smith' AS persons, c_mktsegment || ' Smith Ascension' AS surnames FROM customer""")
@@ -127,13 +156,18 @@ def parties_of_titles(spark, d):
         F.array_join(parsing.surnames(F.concat("c_mktsegment", lit(" Smith v. Presbytery of Ascension North"))), " ").alias("surnames"))
 
 
-@query("SELECT p_partkey, upper(p_name) AS topic FROM part")
+FRAMINGS = ["REPORT OF THE AD INTERIM COMMITTEE ON ", "THE FINAL REPORT OF THE AD-INTERIM STUDY COMMITTEE TO STUDY ", "APPENDIX T REPORT ON ", "1998 MAJORITY REPORT BY THE COMMITTEE TO STUDY THE QUESTION OF ",
+            "REPORT OF THE PCA COMMITTEE ON ", "REPORT TO THE GENERAL ASSEMBLY OF THE AD HOC COMMITTEE ON ", ""]
+
+
+@query(rf"""WITH {TEXT_LINES}, x AS (SELECT doc_id, line_no, line, line_no % 7 AS f, CASE WHEN line_no % 4 = 1 THEN ' TO THE 26TH GENERAL ASSEMBLY OF 1998' ELSE '' END AS tail FROM t),
+y AS (SELECT *, trim(regexp_replace(CASE WHEN f = 2 THEN regexp_replace(line, '(?i)^(the\s+)?(on\s+)?', '') ELSE line END, '\s+', ' ', 'g'), ' .,:-') AS own, trim(regexp_replace(CASE f WHEN 3 THEN 'THE QUESTION OF ' WHEN 2 THEN 'REPORT ON ' ELSE '' END || line || tail, '\s+', ' ', 'g'), ' .,:-') AS more FROM x)
+SELECT doc_id, line_no, CASE WHEN length(own) >= 4 THEN own ELSE more END AS topic FROM y""")
 def report_topics(spark, d):
-    """PAR-18: titles in six framings."""
-    framing = pick(col("p_partkey"), "REPORT OF THE AD INTERIM COMMITTEE ON ", "THE FINAL REPORT OF THE AD-INTERIM STUDY COMMITTEE TO STUDY ", "APPENDIX T REPORT ON ", "1998 MAJORITY REPORT BY THE COMMITTEE TO STUDY THE QUESTION OF ",
-                   "REPORT OF THE PCA COMMITTEE ON ", "REPORT TO THE GENERAL ASSEMBLY OF THE AD HOC COMMITTEE ON ")
-    tail = pick(col("p_partkey"), "", " TO THE 26TH GENERAL ASSEMBLY OF 1998", "", "")
-    return table(spark, d, "part").select("p_partkey", parsing.report_topic(F.concat(framing, F.upper("p_name"), tail)).alias("topic"))
+    """PAR-18: each line of the documents as the topic of a report, in six framings and in none; of blank or very short topics more of the title is kept."""
+    each = docs(spark, d).select("doc_id", F.posexplode(F.split(F.coalesce("text", lit("")), "\n")).alias("at", "line")).select("doc_id", (col("doc_id") * 10000 + col("at") + 10).alias("line_no"), "line")
+    title = F.concat(pick(col("line_no"), *FRAMINGS), "line", F.when(col("line_no") % 4 == 1, " TO THE 26TH GENERAL ASSEMBLY OF 1998").otherwise(""))
+    return each.select("doc_id", "line_no", parsing.report_topic(title).alias("topic"))
 
 
 @query("""WITH c AS (SELECT n_nationkey, unnest([1980 + n_nationkey, 2010]) AS year, unnest([n_nationkey + 1 || '-4,' || n_nationkey + 1 || '-5', 'Chapter ' || n_nationkey]) AS sections, unnest([false, true]) AS renumbering FROM nation) SELECT * FROM c""")
@@ -211,17 +245,22 @@ def overtures_detected(spark, d):
     return parsing.detect_overtures(rows).select("vol", "number", "quoted")
 
 
-@query("""WITH o AS (SELECT *, n_nationkey % 4 AS k FROM nation) SELECT n_regionkey AS vol, (n_nationkey + 1)::INT AS number, (n_nationkey + 3)::INT AS pdf_page, 'Presbytery ' || n_nationkey AS source,
-'Whereas ' || n_name || ' asks, therefore be it so.' || CASE WHEN k = 1 THEN '' ELSE ' 4. That Overture ' || (n_nationkey + 1) || ' be answered Second line.' END AS body FROM o""")
+OVERTURE_LINES = {
+    0: "'<!-- PAGE ga=1 pdf_page=' || doc_id || ' -->'",
+    1: "CASE doc_id % 6 WHEN 0 THEN '## Overture ' || (doc_id % 90 + 1) || '. from **Presbytery of ' || source || '**' WHEN 1 THEN 'JOURNAL OF THE ASSEMBLY' WHEN 2 THEN '4. That Overture ' || ((doc_id - 2) % 90 + 1) || ' be answered' "
+       "WHEN 3 THEN '5. That Overture 999 be answered' WHEN 4 THEN '# Minutes of ' || source END",
+}
+
+
+@query(rf"""WITH {volumes_sql(OVERTURE_LINES)}, h AS (SELECT lang AS vol, doc_id * 10000 + 1 AS start, doc_id AS pdf_page, doc_id % 90 + 1 AS number, 'Presbytery of ' || source AS source FROM documents WHERE doc_id % 6 = 0),
+s AS (SELECT raw.*, h.* EXCLUDE (vol) FROM raw ASOF JOIN h ON raw.vol = h.vol AND raw.line_no > h.start WHERE NOT contains(line, '<!-- PAGE ga=')),
+stop AS (SELECT vol, start, min(line_no) AS stop FROM s WHERE regexp_matches(line, '^#{{1,6}}\s') OR TRY_CAST(nullif(regexp_extract(line, '{parsing.DISPOSAL}', 1), '') AS INT) <> number GROUP BY ALL),
+b AS (SELECT s.vol, s.start, trim(regexp_replace(string_agg(line, ' ' ORDER BY line_no), '\s+', ' ', 'g')) AS body FROM s LEFT JOIN stop ON s.vol = stop.vol AND s.start = stop.start
+  WHERE (stop IS NULL OR line_no < stop) AND line <> 'JOURNAL OF THE ASSEMBLY' AND NOT regexp_matches(line, '{parsing.NOISE}') GROUP BY ALL)
+SELECT h.vol, number::INT AS number, pdf_page::INT AS pdf_page, source, CASE WHEN length(body) > 6000 THEN regexp_replace(regexp_replace(substr(body, 1, 6000), '(?s) [^ ]*$', ''), '[ ,;]+$', '') || ' …' ELSE coalesce(body, '') END AS body FROM h LEFT JOIN b ON h.vol = b.vol AND h.start = b.start""")
 def overture_bodies(spark, d):
-    """PAR-2: bodies end at the next heading or at a disposal of another number; page marks and noise are left out."""
-    n = col("n_nationkey")
-    lines = F.array(
-        F.concat(lit("<!-- PAGE ga=1 pdf_page="), text_of(n + 3), lit(" -->")), F.concat(lit("## Overture "), text_of(n + 1), lit(". from **Presbytery "), text_of(n), lit("**")),
-        F.concat(lit("Whereas "), "n_name", lit("   asks,")), lit("JOURNAL OF THE ASSEMBLY"), lit("therefore be it so."),
-        F.when(n % 4 == 1, "4. That Overture 99 be answered").otherwise(F.concat(lit("4. That Overture "), text_of(n + 1), lit(" be answered"))), F.when(n % 4 == 1, "Lost line.").otherwise("Second line."))
-    rows = table(spark, d, "nation").select(col("n_regionkey").alias("vol"), "n_nationkey", F.posexplode(lines).alias("p", "line")).select("vol", (n * 10 + col("p")).alias("line_no"), "line")
-    return parsing.overture_bodies(rows).select("vol", "number", "pdf_page", "source", "body")
+    """PAR-2: bodies of whole documents; they end at the next heading or at a disposal of another number; page marks and noise are left out."""
+    return parsing.overture_bodies(volumes(spark, d, OVERTURE_LINES)).select("vol", "number", "pdf_page", "source", "body")
 
 
 @query("""SELECT s_suppkey, s_nationkey % 3 >= 1 OR s_suppkey % 4 >= 2 AS strong, s_suppkey % 2 = 0 AND s_nationkey % 4 IN (1, 2) AND ((s_suppkey % 6 >= 3 AND s_nationkey >= 14) OR (s_suppkey >= 15 AND s_suppkey % 11 >= 8)) AS accepted FROM supplier""")
@@ -258,36 +297,60 @@ def labels_and_clauses(spark, d):
     return docs(spark, d).select("doc_id", labelled.alias("labelled"), clauses.alias("clauses"), plain.alias("plain"), F.array_join(kept, "|").alias("kept"))
 
 
-@query("""SELECT n_nationkey AS id, 2 AS line_no, 'Case 1990-' || n_nationkey || ' was ' || CASE n_nationkey % 3 WHEN 0 THEN 'withdrawn' WHEN 1 THEN 'dismissed' ELSE 'rendered moot' END || ' by the parties' AS sentence,
-['Withdrawn', 'Dismissed', 'Rendered Moot'][n_nationkey % 3 + 1] AS disposition FROM nation""")
+ENDED = ["withdrawn", "dismissed", "rendered moot", "administratively out of order", "not acceded to", "abandoned", "not in order"]
+DISPOSING_LINES = {
+    1: f"'Complaint ' || {CASE} || ' of ' || source",
+    9998: f"CASE WHEN doc_id % 5 > 0 THEN 'The complaint ' || CASE WHEN doc_id % 2 = 0 THEN {CASE} ELSE {SHORT_CASE} END || ' was' END",
+    9999: f"CASE WHEN doc_id % 5 > 0 THEN CASE doc_id % 7 {' '.join(f'WHEN {k} THEN {v!r}' for k, v in enumerate(ENDED))} END || ' at the request  of ' || source END",
+}
+
+
+@query(rf"""WITH {volumes_sql(DISPOSING_LINES)}, b AS (SELECT vol, line_no, line, trim(regexp_replace(line || ' ' || coalesce(lead(line) OVER (PARTITION BY vol ORDER BY line_no), ''), '\s+', ' ', 'g')) AS sentence FROM raw),
+c AS (SELECT *, lower(regexp_extract(sentence, '{parsing.CUE}', 1)) AS cue, unnest(list_distinct(regexp_extract_all(line, '\b(\d{{2,4}}-\d{{1,3}}[A-Za-z]?)\b', 1))) AS n FROM b WHERE regexp_matches(sentence, '{parsing.CUE}')),
+asked AS (SELECT doc_id AS id, lang AS vol, doc_id * 10000 AS a, unnest([{CASE}, {SHORT_CASE}]) AS n FROM documents)
+SELECT id, line_no, sentence, CASE WHEN cue = 'oo' THEN 'Out of Order' WHEN cue = 'wd' THEN 'Withdrawn' WHEN cue LIKE 'not acceded%' THEN 'Not Acceded to by the SJC' WHEN cue LIKE 'administratively%' OR cue LIKE 'not administratively%' THEN 'Administratively Out of Order'
+  WHEN cue LIKE 'out%' OR cue LIKE 'not%' THEN 'Out of Order' WHEN cue LIKE 'withd%' OR cue LIKE 'premature%' THEN 'Withdrawn' WHEN cue = 'abandoned' THEN 'Abandoned' WHEN cue LIKE '%moot' THEN 'Rendered Moot' ELSE 'Dismissed' END AS disposition
+FROM c JOIN asked USING (vol, n) QUALIFY row_number() OVER (PARTITION BY id ORDER BY (line_no >= a) DESC, length(line) DESC, line_no) = 1""")
 def disposing_sentences(spark, d):
-    """PAR-16, WIN-8: the sentence that disposes of a case, joined with the line after it."""
-    n = col("n_nationkey")
-    said = F.concat(lit("Case 1990-"), text_of(n), lit(" was "), pick(n, "withdrawn", "dismissed", "rendered moot"))
-    lines = F.array(F.concat(lit("1990-"), text_of(n), lit(" is before us")), said, lit("by the parties"), lit("The motion was dismissed"))
-    rows = table(spark, d, "nation").select(col("n_name").alias("vol"), F.posexplode(lines).alias("p", "line")).select("vol", (col("p") + 1).alias("line_no"), "line")
-    cases = table(spark, d, "nation").select(n.alias("id"), col("n_name").alias("vol"), F.array(F.concat(lit("1990-"), text_of(n))).alias("numbers"), lit(2).alias("region_from"))
-    return parsing.disposing_sentences(rows, cases)
+    """PAR-16, WIN-8: among all lines of all documents, the sentence that disposes of each document's case, joined with the line after it; several documents have one number."""
+    cases = docs(spark, d).select(col("doc_id").alias("id"), col("lang").alias("vol"), F.array(F.expr(CASE), F.expr(SHORT_CASE)).alias("numbers"), (col("doc_id") * 10000).alias("region_from"))
+    return parsing.disposing_sentences(volumes(spark, d, DISPOSING_LINES), cases)
 
 
-@query("""SELECT n_nationkey AS id, CASE WHEN n_nationkey % 2 = 0 THEN 'Complaint of ' || n_name || ' against the Presbytery' ELSE n_name || ' vs. Calvary' END AS caption FROM nation""")
-def printed_captions(spark, d):
-    """PAR-14: the longest line that begins with the number and reads like a caption; two-digit years too."""
-    n = col("n_nationkey")
-    lines = F.array(F.concat(lit("Case 1990-"), text_of(n), lit(": "), "n_name", lit(" vs. Calvary [p. 4]")),
-                    F.concat(lit("3. 90-"), text_of(n), lit(". "), F.when(n % 2 == 0, F.concat(lit("Complaint of "), "n_name", lit(" against  the Presbytery.."))).otherwise("was read at length and then referred to another body")))
-    rows = table(spark, d, "nation").select(col("n_name").alias("vol"), F.posexplode(lines).alias("p", "line")).select("vol", (col("p") + 1).alias("line_no"), "line")
-    return parsing.captions(rows, table(spark, d, "nation").select(n.alias("id"), col("n_name").alias("vol"), F.concat(lit("1990-"), text_of(n)).alias("number")))
+CAPTION_LINES = {
+    1: f"CASE doc_id % 4 WHEN 0 THEN 'Case ' || {CASE} || ': ' || source || ' vs. ' || {FIRST_LINE} WHEN 1 THEN '3. ' || {SHORT_CASE} || '. Complaint of ' || source || ' against  ' || {FIRST_LINE} || '..' "
+       f"WHEN 2 THEN {CASE} || '. was read at length and then referred to another body' ELSE 'Case No. ' || {CASE} || ' ' || source || ' v. ' || lang || ' [p. 4]' END",
+}
 
 
-@query("""SELECT n_nationkey AS case_id, CASE WHEN n_nationkey % 2 = 0 THEN 'CASE 1990-' || n_nationkey || chr(10) || n_name || ' appealed to the Assembly and was heard at length.' ELSE 'CASE 1990-' || n_nationkey || chr(10) || 'short.' || chr(10) || 'CASE 1991-1' || chr(10) || 'another' END AS text FROM nation""")
+@query(rf"""WITH {volumes_sql(CAPTION_LINES)}, f AS (SELECT vol, line_no, regexp_extract(trim(line), '{parsing.CAPTION_LINE}', 1) AS number, regexp_extract(trim(line), '{parsing.CAPTION_LINE}', 2) AS cap FROM raw WHERE regexp_matches(trim(line), '{parsing.CAPTION_LINE}')),
+g AS (SELECT vol, line_no, number, substr(regexp_replace(regexp_replace(regexp_replace(cap, '\s+', ' ', 'g'), '\.+\s*$', ''), '\s*\[.*$', ''), 1, 200) AS caption FROM f
+  WHERE regexp_matches(cap, '(?i)\bvs?\.?\s') OR regexp_matches(cap, '(?i)^(complaint|reference|appeal|petition|session|request|in re|memorial|judicial reference|application)\b')),
+asked AS (SELECT doc_id AS id, lang AS vol, unnest([{CASE}, {SHORT_CASE}]) AS number FROM documents)
+SELECT id, caption FROM g JOIN asked USING (vol, number) QUALIFY row_number() OVER (PARTITION BY id ORDER BY length(caption) DESC, line_no) = 1""")
+def printed_captions(spark, d):
+    """PAR-14: among all lines of all documents, the longest that begins with a case's number and reads like a caption; two-digit years too."""
+    cases = docs(spark, d).select(col("doc_id").alias("id"), col("lang").alias("vol"), F.expr(CASE).alias("number"))
+    return parsing.captions(volumes(spark, d, CAPTION_LINES), cases)
+
+
+@query(rf"""WITH c AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l, {YEAR} AS y, {NUMBER} AS n FROM documents),
+raw AS (SELECT doc_id, i * 4 AS line_no, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM c) UNION ALL SELECT doc_id, doc_id % 5 * 4 + 1, 'CASE ' || y || '-' || n FROM c WHERE doc_id % 3 > 0
+  UNION ALL SELECT doc_id, (doc_id % 11 + 3) * 4 + 2, 'CASE NO. ' || (y + 1) || '-' || n FROM c WHERE doc_id % 4 > 0 UNION ALL SELECT doc_id, doc_id % 9 * 4 + 3, 'as in case ' || (y + 1) || '-' || n FROM c WHERE doc_id % 6 = 5),
+a AS (SELECT doc_id, coalesce(least(CASE WHEN doc_id % 3 > 0 THEN doc_id % 5 * 4 + 1 END, CASE WHEN doc_id % 4 > 0 THEN (doc_id % 11 + 3) * 4 + 2 END), 1) AS a FROM c),
+b AS (SELECT doc_id, a, min(line_no) FILTER (line_no > a AND line_no % 4 >= 2) AS b FROM raw JOIN a USING (doc_id) GROUP BY ALL)
+SELECT doc_id AS case_id, CASE WHEN length(part) >= 40 THEN part ELSE whole END AS text FROM (SELECT doc_id, trim(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (line_no >= a AND (b IS NULL OR line_no < b)), '')) AS part,
+  trim(string_agg(line, chr(10) ORDER BY line_no)) AS whole FROM raw JOIN b USING (doc_id) GROUP BY 1)""")
 def trimmed_to_next_case(spark, d):
-    """PAR-12: a case's text up to the next header; the whole text where under 40 characters are left."""
-    n = col("n_nationkey")
-    said = F.when(n % 2 == 0, F.concat("n_name", lit(" appealed to the Assembly and was heard at length."))).otherwise("short.")
-    lines = F.array(F.concat(lit("CASE 1990-"), text_of(n)), said, lit("CASE 1991-1"), lit("another"))
-    rows = table(spark, d, "nation").select(n.alias("case_id"), F.posexplode(lines).alias("p", "line"), lit(r"^CASE 1991").alias("next")).select("case_id", (col("p") + 1).alias("line_no"), "line", "next")
-    return parsing.trim_to_next(rows, "case_id", r"^CASE \d", "next")
+    """PAR-12: whole documents with headers of cases among their lines, each from its header to the next case's, or the whole where under 40 characters are left."""
+    c = docs(spark, d).select(col("doc_id").alias("case_id"), F.coalesce("text", lit("")).alias("text"), F.expr(YEAR).alias("y"), F.expr(NUMBER).alias("n"))
+    k, after = col("case_id"), F.concat(text_of(col("y") + 1), lit("-"), text_of(col("n")))
+    put = lambda at, line: F.struct(at.alias("line_no"), line.alias("line"))
+    heads = F.array(F.when(k % 3 > 0, put(k % 5 * 4 + 1, F.concat(lit("CASE "), text_of(col("y")), lit("-"), text_of(col("n"))))), F.when(k % 4 > 0, put((k % 11 + 3) * 4 + 2, F.concat(lit("CASE NO. "), after))),
+                    F.when(k % 6 == 5, put(k % 9 * 4 + 3, F.concat(lit("as in case "), after))))
+    own = F.transform(F.split("text", "\n"), lambda x, i: put((i + 1).cast("long") * 4, x))
+    rows = c.select("case_id", F.explode(F.concat(own, F.filter(heads, lambda x: x.isNotNull()))).alias("l"), F.concat(lit("(?i)case (no[.] )?"), after, lit("$")).alias("next"))
+    return parsing.trim_to_next(rows.select("case_id", "l.line_no", "l.line", "next"), "case_id", r"^CASE (NO[.] )?\d", "next")
 
 
 LEXICON = "SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark"
