@@ -163,7 +163,7 @@ def despaced_by_era(spark, d):
 
 
 REPAIR = quality.Limits(fragments=0.25, recovered=0.5, reread=0.4)
-BROKEN = "(6 + length(text) // 8)::INT"  # how many broken words go before a text
+BROKEN = "(6 + length(text) // 24)::INT"  # how many broken words go before a text
 PUT = f"CASE doc_id % 3 WHEN 0 THEN repeat('p r e s b y t e r y of ', {BROKEN}) WHEN 1 THEN repeat('zz q qq v ', {BROKEN}) ELSE '' END"
 
 
@@ -173,8 +173,8 @@ r AS (SELECT doc_id, again, count(lexicon.word)::DOUBLE / count(*) AS rate FROM
 m AS (SELECT doc_id, {FRAGMENT} AS frag, coalesce(a.rate, 1.0)::DOUBLE AS hit, coalesce(b.rate, 1.0)::DOUBLE AS after FROM d LEFT JOIN (SELECT * FROM r WHERE NOT again) a USING (doc_id) LEFT JOIN (SELECT * FROM r WHERE again) b USING (doc_id))
 SELECT doc_id, hit AS hit_rate, CASE WHEN frag >= 0.25::DOUBLE THEN after ELSE hit END AS despaced_rate, CASE WHEN frag >= 0.25::DOUBLE AND after >= 0.5::DOUBLE THEN 'despace' WHEN hit < 0.4::DOUBLE AND CASE WHEN frag >= 0.25::DOUBLE THEN after ELSE hit END < 0.5::DOUBLE THEN 'reocr' ELSE 'good' END AS verdict FROM m""")
 def verdicts_after_repair(spark, d):
-    """QC-4: whole documents, a third with a broken word before each eight characters of them that repair recovers, a third with as many that it does not."""
-    put = PUT.replace(BROKEN, "int(6 + length(text) div 8)")
+    """QC-4: whole documents, a third with a broken word for each 24 characters of them that repair recovers, a third with as many that it does not."""
+    put = PUT.replace(BROKEN, "int(6 + length(text) div 24)")
     text = docs(spark, d).select("doc_id", F.coalesce("text", lit("")).alias("text")).select("doc_id", F.expr(f"{put} || text").alias("text"))
     words = table(spark, d, "benchmark").select(F.explode(quality.word_tokens(col("text"))).alias("word")).unionByName(spark.createDataFrame([("presbytery",)], "word string")).distinct()
     return quality.classify(text, "doc_id", "text", words, TERMS, REPAIR).select("doc_id", "hit_rate", "despaced_rate", "verdict")
