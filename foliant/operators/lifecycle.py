@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
 
-SMALL = 300  # descriptions of a block that are compared with all others
+SMALL = 300  # different descriptions of a block that are compared with all others
 
 
 def identity(df: DataFrame) -> DataFrame:
@@ -21,26 +21,37 @@ def identity(df: DataFrame) -> DataFrame:
 def likely_same(df: DataFrame, most: float = 0.3, small: int = SMALL) -> DataFrame:
     """JN-26: pairs of descriptions of one body and provision that differ in at most `most` of the longer one's letters: candidates for one thread. No pair is lost.
 
-    In blocks of up to `small` descriptions each is compared with all of like length. In larger ones those are compared that share a segment: a text of which d letters
+    Descriptions that are equal letter by letter are compared once: what is compared are the different texts of a block, and the pairs of their threads are made at the end.
+    In blocks of up to `small` texts each is compared with all of like length. In larger ones those are compared that share a segment: a text of which d letters
     may change is cut into d + 1 segments, and one of them stands, at most d letters off, in every shorter text within that distance (`near_pairs`).
     The smaller `most`, the longer the segments and the fewer the comparisons; from a half on, no segment says anything and all are compared.
-    The lesser description is `thread`'s.
+    The lesser description is `thread`'s. The pairs are as many as they are: copies of one text make a pair each with each.
     """
-    each = df.select("thread", "body", "description", F.explode("provisions").alias("provision")).filter("description is not null").distinct()
-    each = each.select("thread", "description", F.struct("body", "provision").alias("_block"), F.greatest(F.length("description"), F.lit(1)).alias("_size"))
+    rows = df.filter("description is not null and thread is not null").select("thread", "body", "description", F.explode("provisions").alias("provision"))
+    rows = rows.select("thread", F.struct("body", "provision").alias("_block"), "description").distinct()
+    rows = written(rows.withColumn("_many", F.count("*").over(Window.partitionBy("thread")) > 1), "descriptions")
+    each = rows.select("_block", "description").distinct().withColumn("_size", F.greatest(F.length("description"), F.lit(1)))
     each = each.withColumn("_band", band(F.col("_size"), most))
     if 0 < most < 0.5:
-        each = written(each.withColumn("_i", F.monotonically_increasing_id()), "descriptions")
+        each = written(each.withColumn("_i", F.monotonically_increasing_id()), "texts")
         large = each.groupBy("_block").agg(F.count("*").alias("_n")).filter(F.col("_n") > small).select("_block")
         few, many = each.join(large, "_block", "left_anti"), each.join(large, "_block", "left_semi")
         pairs = all_pairs(few).unionByName(near_pairs(many, most))
     else:
         pairs = all_pairs(each)
-    one, two = (F.struct(F.col(d).alias("d"), F.col(t).alias("t")) for d, t in (("description", "thread"), ("_d", "other")))
-    first, second = F.least(one, two), F.greatest(one, two)
     share = F.levenshtein("description", "_d") / F.greatest(F.length("description"), F.length("_d"), F.lit(1))
-    near = pairs.filter(F.col("thread") != F.col("other")).withColumn("distance", share).filter(F.col("distance") <= most)
-    return near.select(first["t"].alias("thread"), second["t"].alias("other"), "distance").distinct()
+    near = pairs.withColumn("distance", share).filter(F.col("distance") <= most)
+    if most >= 0:
+        near = near.unionByName(each.select("_block", "description", F.col("description").alias("_d"), F.lit(0.0).alias("distance")))
+    near = written(near, "near")
+    theirs = rows.select("_block", F.col("description").alias("_d"), F.col("thread").alias("other"), F.col("_many").alias("_more"))
+    out = near.join(rows, ["_block", "description"]).join(theirs, ["_block", "_d"])
+    out = out.filter((F.col("thread") != F.col("other")) & ((F.col("description") != F.col("_d")) | (F.col("thread") < F.col("other"))))
+    if rows.filter("_many").isEmpty():
+        return out.select("thread", "other", "distance")
+    # a pair comes twice only if one of the two has several descriptions, bodies or provisions
+    again = F.col("_many") | F.col("_more")
+    return out.filter(~again).select("thread", "other", "distance").unionByName(out.filter(again).select("thread", "other", "distance").distinct())
 
 
 def step(most: float) -> float:
@@ -53,17 +64,18 @@ def band(size, most: float) -> Column:
 
 
 def all_pairs(each: DataFrame) -> DataFrame:
-    """thread, description, other, _d: each with the others of its block and of like length, once."""
-    theirs = each.select(F.col("thread").alias("other"), F.col("_block").alias("_b"), F.col("description").alias("_d"), F.explode(F.array(*[F.col("_band") + i for i in (-1, 0, 1)])).alias("_o"))
+    """_block, description, _d: each with the others of its block and of like length, once."""
+    theirs = each.select(F.col("_block").alias("_b"), F.col("description").alias("_d"), F.explode(F.array(*[F.col("_band") + i for i in (-1, 0, 1)])).alias("_o"))
     met = each.join(theirs, (F.col("_band") == F.col("_o")) & (F.col("_block") == F.col("_b")))
-    return met.filter(F.struct("description", "thread") < F.struct("_d", "other")).select("thread", "description", "other", "_d")
+    return met.filter(F.col("description") < F.col("_d")).select("_block", "description", "_d")
 
 
 def near_pairs(each: DataFrame, most: float) -> DataFrame:
     """The same for those that share a segment: (_i, _j), a longer and a shorter text, and what belongs to them."""
     found = candidates(each, most)
-    longer, shorter = each.select("_i", "thread", "description"), each.select(F.col("_i").alias("_j"), F.col("thread").alias("other"), F.col("description").alias("_d"))
-    return found.join(longer, "_i").join(shorter, "_j").select("thread", "description", "other", "_d")
+    longer, shorter = each.select("_i", "_block", F.col("description").alias("_a")), each.select(F.col("_i").alias("_j"), F.col("description").alias("_c"))
+    met = found.join(longer, "_i").join(shorter, "_j")
+    return met.select("_block", F.least("_a", "_c").alias("description"), F.greatest("_a", "_c").alias("_d"))
 
 
 def candidates(each: DataFrame, most: float) -> DataFrame:
