@@ -2,7 +2,7 @@
 
 import duckdb
 
-from foliant.operators import lifecycle
+from foliant.operators import lifecycle, parsing
 from foliant.plans import queries as plans
 
 
@@ -31,3 +31,27 @@ def test_copies_of_a_description_are_compared_once(spark, monkeypatch):
     n = [sum(r[2] == x for r in rows) for x in ("large ring", "large rink", "blue anvil")]
     assert len(got) == len({(r.thread, r.other) for r in got}) == sum(k * (k - 1) // 2 for k in n) + n[0] * n[1]
     assert {r.distance for r in got} == {0.0, 0.1}
+
+
+def widest(df):
+    """The largest number of rows that a join of the executed plan gives out."""
+    df.collect()
+    plan, most = [df._jdf.queryExecution().executedPlan()], 0
+    while plan:
+        p = plan.pop()
+        for name in ("executedPlan", "plan"):
+            if p.getClass().getSimpleName() in ("AdaptiveSparkPlanExec",) and name == "executedPlan" or p.getClass().getSimpleName().endswith("QueryStageExec") and name == "plan":
+                plan.append(getattr(p, name)())
+        if "Join" in p.nodeName():
+            most = max(most, p.metrics().apply("numOutputRows").value())
+        kids = p.children()
+        plan += [kids.apply(i) for i in range(kids.size())]
+    return most
+
+
+def test_lines_of_a_number_do_not_multiply_with_its_cases(spark):
+    rows = spark.createDataFrame([("v", i * 10, f"1990-1. Complaint of {'A' * (i % 40)} vs. B") for i in range(300)], "vol string, line_no long, line string")
+    cases = spark.createDataFrame([(f"c{i}", "v", "1990-1") for i in range(300)], "id string, vol string, number string")
+    got = parsing.captions(rows, cases)
+    assert {r.caption for r in got.collect()} == {f"Complaint of {'A' * 39} vs. B"} and got.count() == 300
+    assert widest(got) <= 600
