@@ -295,10 +295,10 @@ def roster_extra(spark, d):
 
 @query("""SELECT s_suppkey AS key, min(c_custkey) AS relink FROM supplier JOIN customer ON s_nationkey = c_nationkey AND abs(CAST(s_acctbal AS INT) - CAST(c_acctbal AS INT)) <= 300 GROUP BY 1""")
 def relink_within_range(spark, d):
-    """JN-6 with nations as names and balances as years."""
+    """JN-6 with nations as names and balances as years; halves go to the even number, as in its SQL."""
     tokens = lambda c: F.array(F.col(c).cast("string"))
-    missing = table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), tokens("s_nationkey").alias("lead"), F.round("s_acctbal").cast("int").alias("year"))
-    cases = table(spark, d, "customer").select(F.col("c_custkey").alias("case_id"), F.col("c_custkey").alias("_seq"), tokens("c_nationkey").alias("lead"), F.round("c_acctbal").cast("int").alias("year"))
+    missing = table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), tokens("s_nationkey").alias("lead"), F.rint("s_acctbal").cast("int").alias("year"))
+    cases = table(spark, d, "customer").select(F.col("c_custkey").alias("case_id"), F.col("c_custkey").alias("_seq"), tokens("c_nationkey").alias("lead"), F.rint("c_acctbal").cast("int").alias("year"))
     return joins.relink(missing, cases, 300)
 
 

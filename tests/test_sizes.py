@@ -33,6 +33,12 @@ def test_copies_of_a_description_are_compared_once(spark, monkeypatch):
     assert {r.distance for r in got} == {0.0, 0.1}
 
 
+def test_halves_go_to_the_even_number(spark, tmp_path):
+    put(spark, tmp_path, "supplier", [(1, 3, 0.0)], "s_suppkey long, s_nationkey int, s_acctbal double")
+    put(spark, tmp_path, "customer", [(1, 3, 301.5), (2, 3, 300.5), (3, 3, 1.0)], "c_custkey long, c_nationkey int, c_acctbal double")
+    assert same_as_sql(spark, tmp_path, "relink_within_range") == [(1, 2)]
+
+
 def test_few_real_hits_do_not_count_as_blocks(spark, tmp_path):
     put(spark, tmp_path, "supplier", [(k, n) for k in range(120) for n in range(25)], "s_suppkey long, s_nationkey int")
     assert (8, True, False) in same_as_sql(spark, tmp_path, "location_predicates")
