@@ -160,9 +160,12 @@ def files_of_cases(files: DataFrame) -> DataFrame:
 def search_details(files: DataFrame, details: DataFrame) -> DataFrame:
     """JN-19, AGG-9: files: file, numbers; details: number, provisions, disposition, _seq. file, provisions (sorted union), disposition (first that is not blank)."""
     each = files.select("file", F.posexplode("numbers").alias("_p", "n")).withColumn("number", case_key(F.col("n")))
-    met = each.join(details, "number", "left")
-    named = F.when(F.trim("disposition") != "", F.col("disposition"))
-    return met.groupBy("file").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("provisions")))).alias("provisions"), F.min_by(named, F.when(named.isNotNull(), F.struct("_p", "_seq"))).alias("disposition"))
+    # one row a number before the join, so that numbers with many details and many files do not multiply
+    own = details.select("number", F.explode("provisions").alias("v")).distinct().groupBy("number").agg(F.collect_list(F.struct("v")).alias("_own"))
+    said = details.filter(F.trim("disposition") != "").groupBy("number").agg(F.min_by("disposition", F.struct("_seq")).alias("_said"))
+    met = each.join(own, "number", "left").join(said, "number", "left")
+    provisions = F.array_distinct(F.transform(F.flatten(F.collect_list("_own")), lambda x: x["v"]))
+    return met.groupBy("file").agg(F.array_sort(provisions).alias("provisions"), F.min_by("_said", F.when(F.col("_said").isNotNull(), F.col("_p"))).alias("disposition"))
 
 
 def reconcile(roster: DataFrame, matches: DataFrame, docs: DataFrame, doc_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 import duckdb
 
-from foliant.operators import lifecycle, parsing
+from foliant.operators import joins, lifecycle, parsing
 from foliant.plans import queries as plans
 
 
@@ -60,6 +60,14 @@ def widest(df):
     return most
 
 
+def test_details_of_a_number_do_not_multiply_with_its_files(spark):
+    files = spark.createDataFrame([(f"f{i:03d}", ["1990-1", "none", "1990-2"]) for i in range(200)], "file string, numbers array<string>")
+    details = spark.createDataFrame([("1990-1", [f"p{i % 3}", None], " ", i) for i in range(150)] + [("1990-2", None, f"d{9 - i}", i) for i in range(5)] + [("1990-2", ["q"], None, 9)], "number string, provisions array<string>, disposition string, _seq int")
+    got = joins.search_details(files, details)
+    assert {(tuple(r.provisions), r.disposition) for r in got.collect()} == {(("p0", "p1", "p2", "q", None), "d9")} and got.count() == 200
+    assert widest(got) <= 600
+
+
 def test_lines_of_a_number_do_not_multiply_with_its_cases(spark):
     rows = spark.createDataFrame([("v", i * 10, f"1990-1. Complaint of {'A' * (i % 40)} vs. B") for i in range(300)], "vol string, line_no long, line string")
     cases = spark.createDataFrame([(f"c{i}", "v", "1990-1") for i in range(300)], "id string, vol string, number string")
