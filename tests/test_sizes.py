@@ -74,3 +74,12 @@ def test_lines_of_a_number_do_not_multiply_with_its_cases(spark):
     got = parsing.captions(rows, cases)
     assert {r.caption for r in got.collect()} == {f"Complaint of {'A' * 39} vs. B"} and got.count() == 300
     assert widest(got) <= 600
+
+
+def test_disposing_lines_do_not_multiply_with_cases(spark):
+    rows = [("v", i * 10, f"Case 1990-1 was dismissed {'x' * (i * 7 % 40)}") for i in range(300)]
+    asked = [(f"c{i}", "v", ["1990-1", "77-7"], i * 20) for i in range(300)] + [("none", "v", ["1990-1"], None)]
+    got = parsing.disposing_sentences(spark.createDataFrame(rows, "vol string, line_no long, line string"), spark.createDataFrame(asked, "id string, vol string, numbers array<string>, region_from long"))
+    want = {i: min(rows, key=lambda r: (a is not None and r[1] < a, -len(r[2]), r[1]))[1] for i, _, _, a in asked}
+    assert {r.id: r.line_no for r in got.collect()} == want
+    assert widest(got) <= 1200
