@@ -231,4 +231,4 @@ def overture_page_files(spark, d):
     bco = F.array(lit("9-3"), F.concat(lit("21-"), col("n_nationkey").cast("string")))
     said = c.filter(k % 3 == 0).select("vol", k.alias("number"), lit("Approved").alias("disposition"), lit("Approved & ratified").alias("final"), lit(True).alias("ratified"), bco.alias("bco"), lit("").alias("note"), lit(1).alias("_seq"))
     sinks.write_pages(builds.overture_pages(bodies, titles, said), path)
-    return spark.read.text(f"{path}/*.md", wholetext=True).select(F.regexp_extract("_metadata.file_name", "^(.*)[.]md$", 1).alias("slug"), col("value").alias("page"))
+    return sinks.read_pages(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .pages import write_pages  # noqa: F401
+from .pages import read_pages, write_pages  # noqa: F401
 
 WHOLE = 200_000  # rows of a catalogue that is loaded whole
 

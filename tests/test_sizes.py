@@ -4,6 +4,7 @@ import duckdb
 
 from foliant.operators import joins, lifecycle, parsing
 from foliant.plans import queries as plans
+from foliant.sources import sinks
 
 
 def same_as_sql(spark, folder, name):
@@ -83,3 +84,14 @@ def test_disposing_lines_do_not_multiply_with_cases(spark):
     want = {i: min(rows, key=lambda r: (a is not None and r[1] < a, -len(r[2]), r[1]))[1] for i, _, _, a in asked}
     assert {r.id: r.line_no for r in got.collect()} == want
     assert widest(got) <= 1200
+
+
+def test_pages_are_read_without_a_list_of_files_on_the_driver(spark, tmp_path):
+    sinks.write_pages(spark.createDataFrame([("old", "x")], "slug string, page string"), str(tmp_path))
+    pages = [(f"p{i}.md" if i % 3 else f"é {i}", f"# {i}\n\nschön\n") for i in range(60)] + [("none", None)]
+    sinks.write_pages(spark.createDataFrame(pages, "slug string, page string"), f"file://{tmp_path}")
+    got = sinks.read_pages(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted((s, p or "") for s, p in pages) == sorted(map(tuple, sinks.read_pages(spark, f"file://{tmp_path}").collect()))
+    assert not got.inputFiles()
+    (tmp_path / "note.txt").write_text("no page")
+    assert got.count() == 61
