@@ -68,18 +68,20 @@ class SearchIndex:
         """Adds the documents as a segment of their own; nothing that is there is read or written."""
         number, segments = self.live()
         n = docs.count()
-        name = self._write(postings(docs, doc_id, text), n)
-        self._enter(number + 1, [*segments, name])
+        own = dealt(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("_text")), n)  # whole texts are shuffled, not their words
+        rows = own.select("range", "doc", F.posexplode(words(F.col("_text"))).alias("pos", "term"))
+        self._enter(number + 1, [*segments, self._write(blocks_of(rows, F.collect_list("pos")))])
         return self
 
-    def _write(self, rows: DataFrame, n: int) -> str:
+    def _write(self, blocks: DataFrame) -> str:
+        """Blocks are put in order from a table of their own, as dividing them into ranges of words goes through its input twice."""
         name = f"segments/{uuid.uuid4().hex}"
-        at = F.pmod(F.xxhash64("doc"), F.lit(max(1, -(-n // RANGE)))).cast("int")
-        each = rows.groupBy("term", "doc").agg(F.array_sort(F.collect_list("pos")).alias("places"))
-        blocks = each.groupBy("term", at.alias("range")).agg(F.array_sort(F.collect_list(F.struct("doc", "places"))).alias("b"))
-        blocks = blocks.select("term", "range", F.size("b").alias("n"), F.col("b.doc").alias("docs"), F.col("b.places").alias("places"))
-        out = blocks.repartitionByRange("term", "range").sortWithinPartitions("term", "range")
-        out.write.option("parquet.writer.version", "v2").option("parquet.enable.dictionary", "false").parquet(f"{self.path}/{name}/blocks")
+        compact = lambda df: df.write.option("parquet.writer.version", "v2").option("parquet.enable.dictionary", "false")
+        compact(blocks).parquet(f"{self.path}/{name}/unsorted")
+        made = self.spark.read.schema(blocks.schema).parquet(f"{self.path}/{name}/unsorted")
+        compact(made.repartitionByRange("term", "range").sortWithinPartitions("term", "range")).parquet(f"{self.path}/{name}/blocks")
+        fs, at = self._folder(f"{self.path}/{name}/unsorted")
+        fs.delete(at, True)
         counts = self._blocks(name).groupBy("term").agg(F.sum("n").alias("df"))
         counts.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{self.path}/{name}/terms")
         return name
@@ -91,8 +93,10 @@ class SearchIndex:
         """One segment of all. The old ones are deleted by `sweep`, once no reader uses them."""
         number, segments = self.live()
         if len(segments) > 1:
-            rows = opened(reduce(DataFrame.unionByName, [self._blocks(s) for s in segments]))
-            name = self._write(rows, rows.select("doc").distinct().count())
+            blocks = reduce(DataFrame.unionByName, [self._blocks(s) for s in segments])
+            rows = opened(blocks, places=True)
+            n = rows.select("doc").distinct().count()
+            name = self._write(blocks_of(dealt(rows, n), F.flatten(F.collect_list("places"))))
             self._enter(number + 1, [name])
         return self
 
@@ -153,7 +157,22 @@ def _any(asked: list[Word]) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def opened(blocks: DataFrame) -> DataFrame:
-    """term, doc, pos of blocks."""
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """rows with the range of their doc, dealt out by it; n: how many documents there are. Twice as many tasks as ranges, so that few tasks have several."""
+    ranges = max(1, -(-n // RANGE))
+    return rows.withColumn("range", F.pmod(F.xxhash64("doc"), F.lit(ranges)).cast("int")).repartition(2 * ranges, "range")
+
+
+def blocks_of(rows: DataFrame, places: Column) -> DataFrame:
+    """rows: range, doc, term and what `places` takes, dealt out by range: blocks are made where these are, without another shuffle."""
+    each = rows.groupBy("range", "term", "doc").agg(F.array_sort(places).alias("places"))
+    blocks = each.groupBy("range", "term").agg(F.array_sort(F.collect_list(F.struct("doc", "places"))).alias("b"))
+    return blocks.select("term", "range", F.size("b").alias("n"), F.col("b.doc").alias("docs"), F.col("b.places").alias("places"))
+
+
+def opened(blocks: DataFrame, places: bool = False) -> DataFrame:
+    """term, doc, pos of blocks; or term, doc, places, one row a word and document."""
     each = blocks.select("term", F.explode(F.arrays_zip("docs", "places")).alias("b"))
+    if places:
+        return each.select("term", F.col("b.docs").alias("doc"), F.col("b.places").alias("places"))
     return each.select("term", F.col("b.docs").alias("doc"), F.explode("b.places").alias("pos"))

@@ -1,8 +1,9 @@
 """What larger tables showed: copies, common keys and rounding at the edges."""
 
 import duckdb
+from pyspark.sql import functions as F
 
-from foliant.operators import joins, lifecycle, parsing
+from foliant.operators import joins, lifecycle, parsing, postings, search
 from foliant.plans import queries as plans
 from foliant.sources import sinks
 
@@ -95,3 +96,15 @@ def test_pages_are_read_without_a_list_of_files_on_the_driver(spark, tmp_path):
     assert not got.inputFiles()
     (tmp_path / "note.txt").write_text("no page")
     assert got.count() == 61
+
+
+def test_blocks_of_an_index_are_made_where_the_texts_are(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"the word w{i % 7} of the text {i}") for i in range(300)], "doc_id long, text string")
+    rows = postings.dealt(docs.select(F.col("doc_id").alias("doc"), "text"), 300).select("range", "doc", F.posexplode(postings.words(F.col("text"))).alias("pos", "term"))
+    blocks = postings.blocks_of(rows, F.collect_list("pos"))
+    assert blocks._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    index = search.SearchIndex(spark, str(tmp_path / "i")).append(docs.filter("doc_id < 200"), "doc_id", "text").append(docs.filter("doc_id >= 150"), "doc_id", "text")
+    place = lambda: sorted((r.term, r.doc, r.pos) for r in index.postings().collect())
+    before = place()
+    assert place() == before and {r.doc for r in search.search(index.merge().sweep(), '"the text" NOT w3').collect()} == {i for i in range(300) if i % 7 != 3}
+    assert place() == before and not list((tmp_path / "i").rglob("unsorted"))
