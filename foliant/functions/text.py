@@ -183,6 +183,11 @@ def likeness(a, b) -> Column:
     return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
+def bound(value, f) -> Column:
+    """f of a value that is worked out once: what a lambda function takes from outside is worked out again at each of its calls."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def party_share(a, b, least: float = 0.7) -> Column:
     """FN-21: how much of the shorter list of names the other has, names that differ by a misreading or so counted by their likeness: the best sum over all ways to
     pair each name with one other, of pairs of `least` likeness or more, by the size of the shorter list; null if a list is empty.
@@ -190,27 +195,34 @@ def party_share(a, b, least: float = 0.7) -> Column:
     Equal names are paired first. Of up to MATCHED others all pairings are tried (the best sum for each set of used names); of longer lists each name
     takes the nearest one left.
     """
-    a, b = F.array_distinct(a), F.array_distinct(b)
-    same, left, right = F.size(F.array_intersect(a, b)), F.array_except(a, b), F.array_except(b, a)
-    near = lambda x, y: F.when(likeness(x, y) >= least, likeness(x, y)).otherwise(0.0)
-    few, many = F.when(F.size(left) <= F.size(right), left).otherwise(right), F.when(F.size(left) <= F.size(right), right).otherwise(left)
-    rows = F.transform(many, lambda x: F.transform(few, lambda y: near(x, y)))  # likenesses of each of the longer list
-    places = F.sequence(F.lit(0), F.size(few) - 1)
-    sets = F.sequence(F.lit(0), F.pow(F.lit(2), F.least(F.size(few), F.lit(MATCHED))).cast("int") - 1)
-
-    def take(best, row):
-        """best[s]: the best sum that uses the names of set s at most, after one more row."""
-        with_row = lambda s: F.array_max(F.transform(places, lambda j: F.when(F.floor(s / F.pow(F.lit(2), j)) % 2 == 1, F.get(best, s - F.pow(F.lit(2), j).cast("int")) + F.get(row, j)).otherwise(0.0)))
-        return F.transform(sets, lambda s: F.greatest(F.get(best, s), F.coalesce(with_row(s), F.lit(0.0))))
-
-    tried = F.element_at(F.aggregate(rows, F.transform(sets, lambda s: F.lit(0.0)), take), -1)
-    start = F.struct(few.alias("left"), F.lit(0.0).alias("sum"))
+    near = lambda x, y: bound(likeness(x, y), lambda s: F.when(s >= least, s).otherwise(0.0))
+
+    def tried(few, many):
+        rows = F.transform(many, lambda x: F.transform(few, lambda y: near(x, y)))  # likenesses of each of the longer list
+        places = F.sequence(F.lit(0), F.size(few) - 1)
+        sets = F.sequence(F.lit(0), F.pow(F.lit(2), F.least(F.size(few), F.lit(MATCHED))).cast("int") - 1)
+        return bound(F.struct(rows.alias("rows"), places.alias("places"), sets.alias("sets")), best_of)
+
+    def best_of(v):
+        def take(best, row):
+            """best[s]: the best sum that uses the names of set s at most, after one more row."""
+            with_row = lambda s: F.array_max(F.transform(v["places"], lambda j: F.when(F.floor(s / F.pow(F.lit(2), j)) % 2 == 1, F.get(best, s - F.pow(F.lit(2), j).cast("int")) + F.get(row, j)).otherwise(0.0)))
+            return F.transform(v["sets"], lambda s: F.greatest(F.get(best, s), F.coalesce(with_row(s), F.lit(0.0))))
+
+        return F.element_at(F.aggregate(v["rows"], F.transform(v["sets"], lambda s: F.lit(0.0)), take), -1)
 
     def nearest(acc, x):
         best = F.array_max(F.transform(acc["left"], lambda y: F.struct(near(x, y).alias("s"), y.alias("y"))))
         hit = F.coalesce(best["s"], F.lit(0.0)) > 0
         return F.struct(F.when(hit, F.array_remove(acc["left"], best["y"])).otherwise(acc["left"]).alias("left"), (acc["sum"] + F.when(hit, best["s"]).otherwise(0.0)).alias("sum"))
 
-    greedy = F.aggregate(many, start, nearest, lambda acc: acc["sum"])
-    rest = F.when(F.size(few) == 0, F.lit(0.0)).when(F.size(few) <= MATCHED, tried).otherwise(greedy)
-    return F.try_divide(same + rest, F.least(F.size(a), F.size(b)).cast("double"))
+    def rest(few, many):
+        greedy = F.aggregate(many, F.struct(few.alias("left"), F.lit(0.0).alias("sum")), nearest, lambda acc: acc["sum"])
+        return F.when(F.size(few) == 0, F.lit(0.0)).when(F.size(few) <= MATCHED, tried(few, many)).otherwise(greedy)
+
+    def share(d):
+        same, left, right = F.size(F.array_intersect(d["a"], d["b"])), F.array_except(d["a"], d["b"]), F.array_except(d["b"], d["a"])
+        sides = bound(F.struct(left.alias("l"), right.alias("r")), lambda v: F.when(F.size(v["l"]) <= F.size(v["r"]), F.struct(v["l"].alias("few"), v["r"].alias("many"))).otherwise(F.struct(v["r"].alias("few"), v["l"].alias("many"))))
+        return F.try_divide(same + bound(sides, lambda v: rest(v["few"], v["many"])), F.least(F.size(d["a"]), F.size(d["b"])).cast("double"))
+
+    return bound(F.struct(F.array_distinct(a).alias("a"), F.array_distinct(b).alias("b")), share)

@@ -3,6 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
+from foliant.functions import text as fn
 from foliant.operators import joins, lifecycle, parsing, postings, search
 from foliant.plans import queries as plans
 from foliant.sources import sinks
@@ -108,3 +109,9 @@ def test_blocks_of_an_index_are_made_where_the_texts_are(spark, tmp_path):
     before = place()
     assert place() == before and {r.doc for r in search.search(index.merge().sweep(), '"the text" NOT w3').collect()} == {i for i in range(300) if i % 7 != 3}
     assert place() == before and not list((tmp_path / "i").rglob("unsorted"))
+
+
+def test_likeness_of_names_is_worked_out_once_a_pair(spark):
+    rows = spark.createDataFrame([(["ann", "bob"], ["anm", "bop"])], "a array<string>, b array<string>").select(fn.party_share(F.col("a"), F.col("b")).alias("s"))
+    assert rows._jdf.queryExecution().analyzed().expressions().mkString(" ").count("levenshtein(") <= 5
+    assert rows.first().s == 0.0  # two letters of three are too few
