@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,13 +37,13 @@ def found(texts: DataFrame, doc_id: str, names: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = automaton(key, names)
         for batch in batches:
-            at, hits = [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                if text is not None:
+            at, hits = array("q"), array("i")
+            for i, text in enumerate(batch.column(1)):  # one text at a time as a Python string
+                if (text := text.as_py()) is not None:
                     own = {n for _, n in made.iter(text)} if len(made) else set()
                     own.update(everywhere)
-                    at += [i] * len(own)
-                    hits += sorted(own)
+                    at.extend([i] * len(own))
+                    hits.extend(sorted(own))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(hits, pa.int32())], [doc_id, "_n"])
 
     return texts.select(doc_id, "_text").mapInArrow(run, f"`{doc_id}` {kind}, _n int")
