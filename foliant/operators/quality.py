@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from string import ascii_lowercase
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +21,7 @@ STRAY = r"(?:(?<=\s)|^)[B-HJ-Zb-hj-z](?=\s)"
 SYMBOL = r"[^\p{L}\p{N}_\s.,;:'\"()\-/&]"
 
 
-SMALL = 500_000  # words of a lexicon that is broadcast
+SMALL = 500_000  # words of a lexicon that goes to the workers whole
 
 
 @dataclass(frozen=True)
@@ -35,11 +40,47 @@ def word_tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z]+)"), F.lit(1))
 
 
+def cut(texts: pa.Array, table: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The tokens between blanks of all texts in a row, and where each text's begin. Bytes are first put through the table. Ends may have empty tokens."""
+    texts = texts.fill_null("").cast("large_string")
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    put = (memoryview(texts.buffers()[2])[at[0] : at[-1]].tobytes() if at[-1] else b"").translate(table)
+    tokens = pc.ascii_split_whitespace(pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(at - at[0]), pa.py_buffer(put)))
+    return tokens.flatten(), np.asarray(tokens.offsets)
+
+
+def in_parts(count: Callable[[pa.Array], list[np.ndarray]], names: list[str]) -> Callable[..., Column]:
+    """A column function of a text, a struct of numbers: `count` takes the texts of a batch in Arrow, 256 at a time."""
+
+    def struct(texts: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()) for n in count(texts)], names)
+
+    @F.arrow_udf(f"struct<{', '.join(f'{n}: long' for n in names)}>")
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.concat_arrays([struct(texts.slice(at, 256)) for at in range(0, max(len(texts), 1), 256)])
+
+    return counted
+
+
+def in_each(flags: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many flags are set in each text."""
+    return np.diff(np.concatenate([[0], np.cumsum(flags)])[ends])
+
+
 def fragments(text) -> Column:
-    """QC-2: one-letter words among the words that are letters only; 0 without any."""
-    tokens = F.filter(F.split(F.trim(F.coalesce(text, F.lit(""))), r"\s+"), lambda t: t.rlike(r"^\p{L}+$"))
-    single = F.filter(tokens, lambda t: F.length(t) == 1)
-    return F.coalesce(F.try_divide(F.size(single).cast("double"), F.size(tokens).cast("double")), F.lit(0.0))
+    """QC-2: one-letter words among the words that are letters only; 0 without any. Words stand between blank, tab, \\n, \\f and \\r, as in the SQL."""
+    table = bytes(c if c != 11 else 95 for c in range(256))
+
+    def count(texts: pa.Array) -> list[np.ndarray]:
+        tokens, ends = cut(texts, table)
+        letters = np.array(pc.ascii_is_alpha(tokens))
+        other = np.flatnonzero(~np.asarray(pc.string_is_ascii(tokens)))
+        letters[other] = np.asarray(pc.match_substring_regex(tokens.take(pa.array(other)), r"\A\p{L}+\z"))
+        return [in_each(letters & np.asarray(pc.equal(pc.utf8_length(tokens), 1)), ends), in_each(letters, ends)]
+
+    n = in_parts(count, ["single", "letters"])(text)
+    return F.coalesce(F.try_divide(n["single"].cast("double"), n["letters"].cast("double")), F.lit(0.0))
 
 
 def stray_letters(text) -> Column:
@@ -57,24 +98,39 @@ def symbol_share(text) -> Column:
     return F.regexp_count(text, F.lit(SYMBOL)).cast("double") / F.greatest(F.length(text), F.lit(1)).cast("double")
 
 
-def hit_rates(df: DataFrame, key: str, text: str, lexicon: DataFrame, least: int = 1, empty: float = 1.0) -> DataFrame:
-    """QC-1 (least 1, empty 1.0) and QC-9 (least 2, empty 0.0): key, n_tokens, hit_rate.
+def known_in(words: pa.Array, least: int) -> Callable[..., Column]:
+    """A column function of a lower-case text: struct n_tokens, hits."""
+    table = bytes(c if chr(c) in ascii_lowercase else 32 for c in range(256))
+
+    def count(texts: pa.Array) -> list[np.ndarray]:
+        tokens, ends = cut(texts, table)
+        long = np.asarray(pc.greater_equal(pc.binary_length(tokens), least))
+        return [in_each(long, ends), in_each(np.asarray(pc.is_in(tokens, value_set=words)) & long, ends)]
+
+    return in_parts(count, ["n_tokens", "hits"])
+
 
-    lexicon: distinct lower-case `word`. Up to SMALL words it is broadcast, so what is shuffled is one row a document and partition; beyond,
-    tokens are counted within each document first, so what is joined is document vocabularies.
+def word_counts(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, least: int = 1) -> DataFrame:
+    """keys, n_tokens, hits: tokens of `least` letters and how many of them the lexicon or the abbreviations have; one row or more for the keys.
+
+    lexicon: lower-case `word`. Up to SMALL words it goes to the workers, which count within each text; beyond, tokens are counted within the keys first,
+    so what is joined is document vocabularies.
     """
-    known = lexicon.select("word").distinct().withColumn("_known", F.lit(1))
-    short = known.sparkSession.createDataFrame([(w, 1) for w in ABBREVIATIONS], "word string, _known int")
-    known = known.unionByName(short).distinct()
+    known = lexicon.select("word").filter("word IS NOT NULL")
+    known = known.unionByName(known.sparkSession.createDataFrame([(w,) for w in ABBREVIATIONS], "word string")).distinct()
+    words = known.limit(SMALL + 1).toArrow().column("word").cast("large_string").combine_chunks()  # SMALL words at most
+    if len(words) <= SMALL:
+        return df.select(*keys, known_in(words, least)(F.lower(F.col(text))).alias("_c")).select(*keys, "_c.*")
     tokens = F.filter(word_tokens(F.col(text)), lambda t: F.length(t) >= least)
-    each = df.select(key, F.explode_outer(tokens).alias("word"))  # a text without tokens has one row without a word
-    own = F.col("word").isNotNull()
-    if known.limit(SMALL + 1).count() <= SMALL:
-        met = each.join(F.broadcast(known), "word", "left").withColumn("count", own.cast("long"))  # SMALL words at most
-    else:
-        met = each.groupBy(key, "word").agg(F.count("word").alias("count")).join(known, "word", "left")
-    hits = met.groupBy(key).agg(F.sum("count").alias("n_tokens"), F.sum(F.when(F.col("_known").isNotNull(), F.col("count")).otherwise(0)).alias("_hits"))
-    return hits.select(key, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.try_divide(F.col("_hits"), F.col("n_tokens")), F.lit(empty)).alias("hit_rate"))
+    each = df.select(*keys, F.explode_outer(tokens).alias("word"))  # a text without tokens has one row without a word
+    met = each.groupBy(*keys, "word").agg(F.count("word").alias("n_tokens")).join(known.withColumn("_known", F.lit(1)), "word", "left")
+    return met.select(*keys, "n_tokens", F.when(F.col("_known").isNotNull(), F.col("n_tokens")).otherwise(0).alias("hits"))
+
+
+def hit_rates(df: DataFrame, key: str, text: str, lexicon: DataFrame, least: int = 1, empty: float = 1.0) -> DataFrame:
+    """QC-1 (least 1, empty 1.0) and QC-9 (least 2, empty 0.0): key, n_tokens, hit_rate. What is shuffled is one row a document, if the lexicon is small."""
+    met = word_counts(df, [key], text, lexicon, least).groupBy(key).agg(F.sum("n_tokens").alias("n_tokens"), F.sum("hits").alias("_hits"))
+    return met.select(key, "n_tokens", F.coalesce(F.try_divide("_hits", "n_tokens"), F.lit(empty)).alias("hit_rate"))
 
 
 def citations(text, limits: Limits = Limits()) -> Column:
@@ -95,13 +151,21 @@ def verdict(frag, hit, despaced, limits: Limits = Limits()) -> Column:
 
 
 def classify(df: DataFrame, key: str, text: str, lexicon: DataFrame, terms: dict[str, list[str]], limits: Limits = Limits()) -> DataFrame:
-    """QC-4: key, frag, hit_rate, despaced_rate, verdict. Only texts with enough fragments are despaced and rated again."""
-    base = df.select(key, text, fragments(F.col(text)).alias("frag"))
-    broken = despace(base.filter(F.col("frag") >= limits.fragments), text, terms)
-    again = hit_rates(broken, key, text, lexicon).select(key, F.col("hit_rate").alias("_after"))
-    met = base.select(key, "frag").join(hit_rates(df, key, text, lexicon), key).join(again, key, "left")
-    after = F.coalesce("_after", "hit_rate")
-    return met.select(key, "frag", "hit_rate", after.alias("despaced_rate"), verdict(F.col("frag"), F.col("hit_rate"), after, limits).alias("verdict"))
+    """QC-4: key, frag, hit_rate, despaced_rate, verdict: a row for each of df; rates are of all texts of a key. Only texts with enough fragments are despaced,
+    and only those that this changes are counted again."""
+    frag, t = F.col("frag"), F.col(text)
+    base = df.select(key, F.coalesce(t, F.lit("")).alias(text)).withColumn("frag", fragments(t))
+    tried = despace(base.select(key, t.alias("_was"), F.when(frag >= limits.fragments, t).alias(text)), text, terms)
+    of = lambda kind, c: F.struct(F.lit(kind).alias("_kind"), F.col(c).alias(text))
+    changed = t.isNotNull() & (t != F.col("_was"))
+    each = tried.select(key, F.inline(F.when(changed, F.array(of("before", "_was"), of("after", text))).otherwise(F.array(of("both", "_was")))))
+    n = lambda c, kind: F.sum(F.when(F.col("_kind").isin(kind, "both"), F.col(c)))
+    rate = lambda kind: F.try_divide(n("hits", kind), n("n_tokens", kind)).alias(kind)
+    rates = word_counts(each, [key, "_kind"], text, lexicon).groupBy(key).agg(rate("before"), rate("after"))
+    hit = F.coalesce("before", F.lit(1.0))
+    after = F.when(frag >= limits.fragments, F.coalesce("after", F.lit(1.0))).otherwise(hit)
+    met = base.select(key, "frag").join(rates, key, "left").select(key, "frag", hit.alias("hit_rate"), after.alias("despaced_rate"))
+    return met.withColumn("verdict", verdict(frag, F.col("hit_rate"), F.col("despaced_rate"), limits))
 
 
 def recoverable(df: DataFrame, key: str, text: str) -> DataFrame:

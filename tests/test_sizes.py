@@ -1,10 +1,12 @@
 """What larger tables showed: copies, common keys and rounding at the edges."""
 
+import random
+
 import duckdb
 from pyspark.sql import functions as F
 
 from foliant.functions import text as fn
-from foliant.operators import joins, lifecycle, parsing, postings, search
+from foliant.operators import joins, lifecycle, parsing, postings, quality, repair, search
 from foliant.plans import queries as plans
 from foliant.sources import sinks
 
@@ -115,3 +117,67 @@ def test_likeness_of_names_is_worked_out_once_a_pair(spark):
     rows = spark.createDataFrame([(["ann", "bob"], ["anm", "bop"])], "a array<string>, b array<string>").select(fn.party_share(F.col("a"), F.col("b")).alias("s"))
     assert rows._jdf.queryExecution().analyzed().expressions().mkString(" ").count("levenshtein(") <= 5
     assert rows.first().s == 0.0  # two letters of three are too few
+
+
+def test_only_tokens_that_may_spell_a_term_are_looked_at_and_equal_runs_once(monkeypatch):
+    cuts, tokens_of = [], repair.tokens_of
+    monkeypatch.setattr(repair, "tokens_of", lambda text: cuts.append(text) or tokens_of(text))
+    fix = repair.despacer({"common": ["presbytery"]})
+    assert fix("zz q qq v " * 500) == "zz q qq v " * 500 and cuts == []
+    assert fix("p r e s b y t e r y of " * 500) == "presbytery of " * 500 and cuts == ["p r e s b y t e r y", "presbytery"]
+
+
+def joined_token_by_token(text, speller, most_tokens):
+    tokens, out, done, at = list(repair.tokens_of(text)), [], 0, 0
+    while at < len(tokens):
+        node, best = 0, None
+        for end in range(at, min(at + most_tokens, len(tokens))):
+            node = speller.follow(node, tokens[end].letters) if tokens[end].letters else None
+            if node is None:
+                break
+            if end > at and node in speller.terms and repair.fits(speller.terms[node], tokens[at : end + 1]):
+                best = end
+                term = repair.cased(speller.terms[node], "".join(t.letters for t in tokens[at : end + 1]))
+        if best:
+            out += [text[done : tokens[at].head], term]
+            done, at = tokens[best].tail, best
+        at += 1
+    return "".join([*out, text[done:]])
+
+
+def test_joined_as_token_by_token():
+    dice, changed = random.Random(10), 0
+    for _ in range(400):
+        terms = {k: ["".join(dice.choices("abcAB ", k=dice.randint(0, 6))) for _ in range(dice.randint(0, 3))] for k in ("phrase", "common", "name", "shifted")}
+        speller, most = repair.Speller(terms | {"common": [*terms["common"], "a" * 14, "abé"]}), dice.choice([2, 4, 12])
+        for _ in range(10):
+            text = "".join(dice.choice(dice.choices(["abcAB", " \n\x0b", ".-’", "1é$ſ_"], [60, 28, 9, 3])[0]) for _ in range(dice.randint(0, 60)))
+            want = joined_token_by_token(text, speller, most)
+            assert repair.joined(text, speller, most) == want
+            changed += want != text
+    assert changed > 100
+
+
+def test_verdicts_of_odd_documents_in_one_pass_of_texts(spark, tmp_path):
+    real = "the church of god and a man "
+    odd = [None, "", " ", "a\x0bb c dd", "a  b\u0085 c d ee", "é ü ññ Ω ab́ c", "\t\nI\r\fx", real * 9, "q " * 90, "zz " * 90 + real]
+    rows = [(k, text) for k, text in enumerate(odd)] + [(k + 1, text) for k, text in enumerate(odd)] + [(None, real), (None, "q r s")]
+    put(spark, tmp_path, "documents", rows, "doc_id long, text string")
+    put(spark, tmp_path, "benchmark", [(real,)], "text string")
+    verdicts = same_as_sql(spark, tmp_path, "verdicts_after_repair")
+    assert len(verdicts) == len(rows) and {v[-1] for v in verdicts} == {"good", "despace", "reocr"}
+    same_as_sql(spark, tmp_path, "qc_whitespace_frag")
+    plan = plans.queries()["verdicts_after_repair"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(" not in plan and plan.count("documents.parquet") + plan.count("Relation [doc_id") <= 2
+
+
+def test_rates_of_many_large_and_empty_texts(spark, monkeypatch):
+    texts = [None, "", "The cat, the CAT" * 3, "x" * 70_000 + " the " * 30_000, "Ké the", "K the", "a I"] * 60
+    docs = spark.createDataFrame(list(enumerate(texts)), "k int, t string").coalesce(1)
+    lexicon = spark.createDataFrame([("the",), ("k",), (None,)], "word string")
+    for least in (1, 2):
+        got = sorted(map(tuple, quality.hit_rates(docs, "k", "t", lexicon, least).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(quality, "SMALL", 1)
+            assert got == sorted(map(tuple, quality.hit_rates(docs, "k", "t", lexicon, least).collect()))
+        assert len(got) == len(texts) and got[0][1:] == (0, 1.0) and got[4][1:] == (3 - least, 1.0)
