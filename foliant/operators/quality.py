@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .repair import despace
+from .repair import despacer
 
 # Abbreviations that count as words.
 ABBREVIATIONS = "sjc ccb bco rao pca opc arp epc wcf wlc wsc te re ga gas msc msa mtw mna ac cmc rpr byfc ruf pcus pcusa nae".split()
@@ -49,18 +49,19 @@ def cut(texts: pa.Array, table: bytes) -> tuple[pa.Array, np.ndarray]:
     return tokens.flatten(), np.asarray(tokens.offsets)
 
 
-def in_parts(count: Callable[[pa.Array], list[np.ndarray]], names: list[str]) -> Callable[..., Column]:
-    """A column function of a text, a struct of numbers: `count` takes the texts of a batch in Arrow, 256 at a time."""
+def in_parts(measure: Callable[[pa.Array], dict], kind: str) -> Callable[..., Column]:
+    """A column function of a text, a struct of that kind: `measure` takes the texts of a batch in Arrow, 256 at a time."""
 
     def struct(texts: pa.Array) -> pa.Array:
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()) for n in count(texts)], names)
+        got = {name: x if isinstance(x, pa.Array) else pa.array(x, pa.int64()) for name, x in measure(texts).items()}
+        return pa.StructArray.from_arrays(list(got.values()), list(got))
 
-    @F.arrow_udf(f"struct<{', '.join(f'{n}: long' for n in names)}>")
-    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf(kind)
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.concat_arrays([struct(texts.slice(at, 256)) for at in range(0, max(len(texts), 1), 256)])
 
-    return counted
+    return measured
 
 
 def in_each(flags: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -68,18 +69,18 @@ def in_each(flags: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(flags)])[ends])
 
 
-def fragments(text) -> Column:
-    """QC-2: one-letter words among the words that are letters only; 0 without any. Words stand between blank, tab, \\n, \\f and \\r, as in the SQL."""
-    table = bytes(c if c != 11 else 95 for c in range(256))
+def letter_words(texts: pa.Array) -> dict:
+    """In each text, words that are letters only, and those of one letter. Words stand between blank, tab, \\n, \\f and \\r, as in the SQL."""
+    tokens, ends = cut(texts, bytes(c if c != 11 else 95 for c in range(256)))
+    letters = np.array(pc.ascii_is_alpha(tokens))
+    other = np.flatnonzero(~np.asarray(pc.string_is_ascii(tokens)))
+    letters[other] = np.asarray(pc.match_substring_regex(tokens.take(pa.array(other)), r"\A\p{L}+\z"))
+    return {"single": in_each(letters & np.asarray(pc.equal(pc.utf8_length(tokens), 1)), ends), "letters": in_each(letters, ends)}
 
-    def count(texts: pa.Array) -> list[np.ndarray]:
-        tokens, ends = cut(texts, table)
-        letters = np.array(pc.ascii_is_alpha(tokens))
-        other = np.flatnonzero(~np.asarray(pc.string_is_ascii(tokens)))
-        letters[other] = np.asarray(pc.match_substring_regex(tokens.take(pa.array(other)), r"\A\p{L}+\z"))
-        return [in_each(letters & np.asarray(pc.equal(pc.utf8_length(tokens), 1)), ends), in_each(letters, ends)]
 
-    n = in_parts(count, ["single", "letters"])(text)
+def fragments(text) -> Column:
+    """QC-2: one-letter words among the words that are letters only; 0 without any."""
+    n = in_parts(letter_words, "struct<single: long, letters: long>")(text)
     return F.coalesce(F.try_divide(n["single"].cast("double"), n["letters"].cast("double")), F.lit(0.0))
 
 
@@ -102,12 +103,12 @@ def known_in(words: pa.Array, least: int) -> Callable[..., Column]:
     """A column function of a lower-case text: struct n_tokens, hits."""
     table = bytes(c if chr(c) in ascii_lowercase else 32 for c in range(256))
 
-    def count(texts: pa.Array) -> list[np.ndarray]:
+    def count(texts: pa.Array) -> dict:
         tokens, ends = cut(texts, table)
         long = np.asarray(pc.greater_equal(pc.binary_length(tokens), least))
-        return [in_each(long, ends), in_each(np.asarray(pc.is_in(tokens, value_set=words)) & long, ends)]
+        return {"n_tokens": in_each(long, ends), "hits": in_each(np.asarray(pc.is_in(tokens, value_set=words)) & long, ends)}
 
-    return in_parts(count, ["n_tokens", "hits"])
+    return in_parts(count, "struct<n_tokens: long, hits: long>")
 
 
 def word_counts(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, least: int = 1) -> DataFrame:
@@ -150,21 +151,33 @@ def verdict(frag, hit, despaced, limits: Limits = Limits()) -> Column:
     return F.when((frag >= limits.fragments) & (after >= limits.recovered), "despace").when((hit < limits.reread) & (after < limits.recovered), "reocr").otherwise("good")
 
 
+def recovered(terms: dict[str, list[str]], least: float) -> Callable[..., Column]:
+    """A column function of a text: struct text, the text despaced; null where fragments are under `least` or nothing is changed."""
+    repair = despacer(terms)
+
+    def attempt(texts: pa.Array) -> dict:
+        n, out = letter_words(texts), [None] * len(texts)
+        for k in np.flatnonzero(n["single"] / np.maximum(n["letters"], 1) >= least):
+            was = texts[int(k)].as_py() or ""
+            out[k] = now if (now := repair(was)) != was else None
+        return {"text": pa.array(out, pa.string())}
+
+    return in_parts(attempt, "struct<text: string>")
+
+
 def classify(df: DataFrame, key: str, text: str, lexicon: DataFrame, terms: dict[str, list[str]], limits: Limits = Limits()) -> DataFrame:
     """QC-4: key, frag, hit_rate, despaced_rate, verdict: a row for each of df; rates are of all texts of a key. Only texts with enough fragments are despaced,
     and only those that this changes are counted again."""
     frag, t = F.col("frag"), F.col(text)
-    base = df.select(key, F.coalesce(t, F.lit("")).alias(text)).withColumn("frag", fragments(t))
-    tried = despace(base.select(key, t.alias("_was"), F.when(frag >= limits.fragments, t).alias(text)), text, terms)
+    tried = df.select(key, t, recovered(terms, limits.fragments)(t).alias("_now"))
     of = lambda kind, c: F.struct(F.lit(kind).alias("_kind"), F.col(c).alias(text))
-    changed = t.isNotNull() & (t != F.col("_was"))
-    each = tried.select(key, F.inline(F.when(changed, F.array(of("before", "_was"), of("after", text))).otherwise(F.array(of("both", "_was")))))
+    each = tried.select(key, F.inline(F.when(F.col("_now.text").isNotNull(), F.array(of("before", text), of("after", "_now.text"))).otherwise(F.array(of("both", text)))))
     n = lambda c, kind: F.sum(F.when(F.col("_kind").isin(kind, "both"), F.col(c)))
     rate = lambda kind: F.try_divide(n("hits", kind), n("n_tokens", kind)).alias(kind)
     rates = word_counts(each, [key, "_kind"], text, lexicon).groupBy(key).agg(rate("before"), rate("after"))
     hit = F.coalesce("before", F.lit(1.0))
     after = F.when(frag >= limits.fragments, F.coalesce("after", F.lit(1.0))).otherwise(hit)
-    met = base.select(key, "frag").join(rates, key, "left").select(key, "frag", hit.alias("hit_rate"), after.alias("despaced_rate"))
+    met = df.select(key, fragments(t).alias("frag")).join(rates, key, "left").select(key, "frag", hit.alias("hit_rate"), after.alias("despaced_rate"))
     return met.withColumn("verdict", verdict(frag, F.col("hit_rate"), F.col("despaced_rate"), limits))
 
 
